@@ -235,3 +235,47 @@ def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def weather_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = weather(spark, sf_dir).withColumn("offset", F.unix_micros("time"))
     return encode_messages(rows, "zone", WEATHER.fieldNames(), carry=["offset"])
+
+
+def order_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One instant per order over several years, so that DST and holidays occur."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("row_id"),
+        (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 24).cast("int"))).alias("time"),
+        F.round(F.col("o_totalprice") % 60 - 20).alias("temperature"),
+        F.col("o_orderstatus").alias("zone"),
+        F.round("o_totalprice").alias("demand_mw"),
+    )
+
+
+def territories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as utilities: a diamond each, on a plane that grows with their number."""
+    key = F.col("s_suppkey")
+    cx, cy = (key * 37) % 211 + F.floor(key / 1000) * 250, (key * 53) % 199
+    r = F.lit(3) + key % 11
+    corners = [(cx - r, cy), (cx, cy + r), (cx + r, cy), (cx, cy - r)]
+    ring = F.array(*[F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")) for x, y in corners])
+    return table(spark, sf_dir, "supplier").select(
+        key.alias("entity"), F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("name"), ring.alias("ring")
+    )
+
+
+def territory_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Utility name -> zone; every third nation has no zone of its own."""
+    return (
+        table(spark, sf_dir, "nation")
+        .filter(F.col("n_nationkey") % 3 != 0)
+        .select(
+            F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("name"),
+            F.concat(F.lit("Z"), F.col("n_regionkey").cast("string")).alias("zone_id"),
+        )
+    )
+
+
+def facility_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        key.alias("facility_id"),
+        ((key * 41) % 260 + 0.25).alias("x"),
+        ((key * 29) % 210 + 0.75).alias("y"),
+    )

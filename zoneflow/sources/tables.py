@@ -40,15 +40,21 @@ def _nullable(schema: T.StructType, *extra: T.StructField) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields] + list(extra))
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType, extra: list[T.StructField] | None = None):
-    """The table with its `date` column; an empty frame before the first write."""
-    full = _nullable(schema, *(extra or []), T.StructField(DATE, T.DateType()))
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A folder under a declared schema; an empty frame before the first write."""
     try:
-        return spark.read.schema(full).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
             raise
-        return spark.createDataFrame([], full)
+        return spark.createDataFrame([], schema)
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, extra: list[T.StructField] | None = None
+) -> DataFrame:
+    """The table with its `date` column."""
+    return read_or_empty(spark, path, _nullable(schema, *(extra or []), T.StructField(DATE, T.DateType())))
 
 
 def since(df: DataFrame, at: Column | None) -> DataFrame:
