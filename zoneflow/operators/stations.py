@@ -24,7 +24,7 @@ def station_subsets(temps: DataFrame) -> DataFrame:
     """Every non-empty subset of a zone's stations as a bit mask. A zone has a handful of
     stations; their names are collected as a distinct set, not per reading."""
     zones = temps.groupBy("zone").agg(F.sort_array(F.collect_set("city")).alias("cities"))
-    masks = F.sequence(F.lit(1), F.shiftleft(F.lit(1), F.size("cities")) - 1)
+    masks = F.expr("sequence(1, shiftleft(1, size(cities)) - 1)")
     subset = F.filter("cities", lambda c, i: F.getbit(F.col("mask"), i) == 1)
     return (
         zones.select("zone", "cities", F.explode(masks).alias("mask"))

@@ -127,7 +127,7 @@ VIEWS = {
         select zone, m as mask, bit_count(m)::int as n, x.stations
         from (select zone, list_sort(list(distinct city)) as cities from temps group by zone) z,
              lateral (select unnest(range(1, (1 << len(cities))::bigint)) as m) g,
-             lateral (select array_to_string(list_filter(cities, (c, i) -> (g.m >> (i - 1)) & 1 = 1), ' + ')
+             lateral (select array_to_string(list_filter(cities, lambda c, i: (g.m >> (i - 1)) & 1 = 1), ' + ')
                       as stations) x""",
     "rings": """
         select s_suppkey as entity, 'N' || s_nationkey as name,
