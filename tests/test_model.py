@@ -77,11 +77,12 @@ def test_subset_scores_equal_row_level_regression(spark):
     load = pd.DataFrame({"zone": "A", "time": hours, "demand_mw": 1000 + 50 * rng.standard_normal(len(hours)) + np.arange(len(hours)) % 24})
     t = spark.createDataFrame(temps)
     l = spark.createDataFrame(load)
-    scores = {r.stations: r for r in stations.score_subsets(t, l).collect()}
+    dim = t.select("zone", "city").distinct()
+    scores = {r.stations: r for r in stations.score_subsets(t, l, dim).collect()}
     assert len(scores) == 7 and scores["x + z"].n == 2
-    rows = stations.subset_observations(t, l).toPandas()
+    rows = stations.subset_observations(t, l, dim).toPandas()
     for name, group in rows.groupby("stations"):
         assert scores[name].partial_r2 == pytest.approx(_lstsq_partial_r2(group), abs=1e-9), name
-    best = stations.best_subsets(stations.score_subsets(t, l)).first()
+    best = stations.best_subsets(stations.score_subsets(t, l, dim)).first()
     single = max((r for r in scores.values() if r.n == 1), key=lambda r: r.partial_r2)
     assert best.best_single == single.stations and best.gain == pytest.approx(best.composite_r2 - best.single_r2)

@@ -70,7 +70,7 @@ def test_replace_zones_and_backfill(spark, frame, tmp_path):
     old = frame([(f"2026-01-0{d} 00:10:00", z, *row) for d in (1, 2) for z in "AB"], WEATHER_DDL)
     tables.append_batch(old, path, "b0")
     new = frame([("2026-01-05 00:00:00", "A", *row)], WEATHER_DDL)
-    tables.replace_zones_table(spark, path, WEATHER, new, "b1")
+    tables.replace_zones_table(spark, path, WEATHER, new, ["A"], "b1")
     held = [("2026-01-01 00:10:00", "B"), ("2026-01-02 00:10:00", "B"), ("2026-01-05 00:00:00", "A")]
     assert values(tables.read_appended(spark, path, WEATHER).select("time", "zone")) == held
 

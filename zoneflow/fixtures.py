@@ -173,27 +173,12 @@ def facility_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Which messages of the stream are bad, and how. The first match applies.
-FAULTS = [
-    (11, "truncated"),
-    (13, "missing key"),
-    (17, "null in a required column"),
-    (19, "not a number"),
-    (23, "null in a nullable column"),
-    (29, "extra key"),
-    (31, "number as text"),
-    (37, "not a timestamp"),
-    (41, "trailing text"),
-    (43, "not an object"),
-]
-DEAD = {11, 13, 17, 19, 37, 41, 43}
-
-
-def _fault(offset: Column) -> Column:
-    out = F.lit(0)
-    for modulus, _ in reversed(FAULTS):
-        out = F.when(offset % modulus == modulus - 1, F.lit(modulus)).otherwise(out)
-    return out
+# Message `offset` is faulty in the first way whose modulus m gives
+# offset % m = m - 1.
+#   11 truncated                 13 key missing           17 null in a required column
+#   19 not a number              23 null, nullable column 29 extra key
+#   31 number as text            37 not a timestamp       41 trailing text
+#   43 not an object
 
 
 def load_stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,20 +200,27 @@ def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The load rows as keyed JSON messages with faults injected."""
     rows = load_stream_rows(spark, sf_dir)
     good = encode_messages(rows, "zone", LOAD.fieldNames(), carry=["offset"])
-    v, fault = F.col("value"), _fault(F.col("offset"))
-    broken = (
-        F.when(fault == 11, F.expr("substring(value, 1, length(value) - 1)"))
-        .when(fault == 13, F.regexp_replace(v, r',"net_generation_mw":null', ""))
-        .when(fault == 17, F.regexp_replace(v, r'"demand_mw":[0-9.E]+', '"demand_mw":null'))
-        .when(fault == 19, F.regexp_replace(v, r'"demand_mw":[0-9.E]+', '"demand_mw":"12x"'))
-        .when(fault == 23, F.regexp_replace(v, r'"is_verified":(true|false)', '"is_verified":null'))
-        .when(fault == 29, F.regexp_replace(v, r"}$", ',"note":"extra"}'))
-        .when(fault == 31, F.regexp_replace(v, r'"demand_mw":[0-9.E]+', '"demand_mw":"12.5"'))
-        .when(fault == 37, F.regexp_replace(v, r'"time":"[^"]*"', '"time":"soon"'))
-        .when(fault == 41, F.concat(v, F.lit(" }")))
-        .when(fault == 43, F.concat(F.lit("["), v, F.lit("]")))
-        .otherwise(v)
-    )
+    v = F.col("value")
+
+    def mw(text: str) -> Column:
+        return F.regexp_replace(v, r'"demand_mw":[0-9.E]+', f'"demand_mw":{text}')
+
+    faults = {
+        11: F.expr("substring(value, 1, length(value) - 1)"),
+        13: F.replace(v, F.lit(',"net_generation_mw":null'), F.lit("")),
+        17: mw("null"),
+        19: mw('"12x"'),
+        23: F.regexp_replace(v, r'"is_verified":(true|false)', '"is_verified":null'),
+        29: F.regexp_replace(v, r"}$", ',"note":"extra"}'),
+        31: mw('"12.5"'),
+        37: F.regexp_replace(v, r'"time":"[^"]*"', '"time":"soon"'),
+        41: F.concat(v, F.lit(" }")),
+        43: F.concat(F.lit("["), v, F.lit("]")),
+    }
+    broken = F
+    for m, value in faults.items():
+        broken = broken.when(F.col("offset") % m == m - 1, value)
+    broken = broken.otherwise(v)
     return good.select(*[broken.alias(n) if n == "value" else n for n in MESSAGE.fieldNames()])
 
 

@@ -16,8 +16,6 @@ from zoneflow.schemas import Contract
 # wider (`1d`, a bare year).
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 STAMP_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
-NUMBER_KINDS = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"
-NESTED_KINDS = r"^(OBJECT|ARRAY)"
 
 
 def encode_messages(
@@ -35,24 +33,37 @@ def encode_messages(
     return df.select(F.col(key_col).alias("key"), body.alias("value"), *(carry or []))
 
 
-def _typed(fields: Column, name: str, dtype: T.DataType) -> tuple[Column, Column]:
-    """(value, acceptable) for one key of a parsed message; a JSON null is acceptable."""
-    raw = fields[name]
-    kind = F.schema_of_variant(raw)
-    text = F.expr(f"try_cast(_fields['{name}'] as string)")
-    is_null = F.coalesce(F.is_variant_null(raw), F.lit(True))
-    is_text = kind == "STRING"
+def _kind_and_text(name: str) -> Column:
+    """What one key of the parsed message holds. The kind is NULL for a missing key and
+    VOID for a JSON null."""
+    field = f"_fields['{name}']"
+    return F.struct(
+        F.schema_of_variant(F.expr(field)).alias("kind"), F.expr(f"try_cast({field} as string)").alias("text")
+    ).alias(name)
+
+
+def _typed(name: str, dtype: T.DataType) -> Column:
+    """The value of a key, NULL when it does not cast to the column."""
+    kind, text = F.col(f"_raw.{name}.kind"), F.col(f"_raw.{name}.text")
+    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     if isinstance(dtype, T.DoubleType):
-        value = F.when(is_text & ~text.rlike(NUMBER_TEXT), None).otherwise(text.try_cast("double"))
-        value = F.when(kind.rlike(NUMBER_KINDS) | is_text, nan_to_null(value))
+        value = F.when((kind != "BOOLEAN") & text.rlike(NUMBER_TEXT), text.try_cast("double"))
     elif isinstance(dtype, T.TimestampType):
-        value = F.when(is_text & text.rlike(STAMP_TEXT), text.try_cast("timestamp"))
+        value = F.when((kind == "STRING") & text.rlike(STAMP_TEXT), text.try_cast("timestamp"))
     elif isinstance(dtype, T.BooleanType):
-        value = F.when((kind == "BOOLEAN") | is_text, text.try_cast("boolean"))
+        value = F.when((kind == "BOOLEAN") | (kind == "STRING"), text.try_cast("boolean"))
     else:
-        value = F.when(~kind.rlike(NESTED_KINDS), text)
-    value = F.when(~is_null, value)
-    return value.alias(name), is_null | value.isNotNull()
+        value = F.when(~nested, text)
+    return F.when(kind != "VOID", value).alias(name)
+
+
+def _once(df: DataFrame, keep: list[str], value: Column, name: str) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    A plain projection would be merged into every filter and column that reads it. A
+    one-element explode is a boundary the optimizer does not merge across.
+    """
+    return df.select(*keep, F.explode(F.array(value)).alias(name))
 
 
 def decode_messages(messages: DataFrame, contract: Contract) -> DataFrame:
@@ -60,27 +71,30 @@ def decode_messages(messages: DataFrame, contract: Contract) -> DataFrame:
 
     A message is invalid when its value is not one JSON object, a declared key is missing
     (even a nullable one), a required column is null, or a field does not cast. Extra keys
-    are ignored. The parse is wrapped in an array because a JSON parser stops at the end of
-    the first object and would not see text after it.
-    """
-    one_object = """
-        case when size(try_cast(_array as array<variant>)) = 1
-             then try_cast(try_variant_get(_array, '$[0]', 'variant') as map<string, variant>) end
+    are ignored. The value is parsed inside an array because a JSON parser stops at the end
+    of the first value and would not see what follows it; a second element shows it.
     """
-    parsed = messages.withColumn("_array", F.expr("try_parse_json(concat('[', value, ']'))"))
-    # a one-element explode keeps the parse in one place: without it the optimizer copies
-    # the parse into every column and filter that reads a field
-    parsed = parsed.select(*messages.columns, F.explode(F.array(F.expr(one_object))).alias("_fields"))
-    fields = F.col("_fields")
-    typed = [_typed(fields, f.name, f.dataType) for f in contract.schema.fields]
-    checks = [F.map_contains_key(fields, f.name) for f in contract.schema.fields]
-    checks += [ok for _, ok in typed]
-    decoded = parsed.select(
-        *messages.columns, *[v for v, _ in typed], reduce(lambda a, b: a & b, checks).alias("_shape_ok")
+    keep, fields = messages.columns, contract.schema.fields
+    parsed = _once(messages, keep, F.expr("try_parse_json(concat('[', value, ']'))"), "_array")
+    single = F.expr(
+        """case when variant_get(_array, '$[1]', 'variant') is null
+                then try_variant_get(_array, '$[0]', 'map<string, variant>') end"""
+    )
+    split = _once(parsed, keep, single, "_fields")
+    raw = _once(split, keep, F.struct(*[_kind_and_text(f.name) for f in fields]), "_raw")
+    typed = _once(
+        raw.withColumn("_t", F.struct(*[_typed(f.name, f.dataType) for f in fields])),
+        [*keep, "_raw"],
+        F.col("_t"),
+        "_typed",
     )
-    required = [F.col(n).isNotNull() for n in contract.required]
-    is_valid = reduce(lambda a, b: a & b, required, F.coalesce("_shape_ok", F.lit(False)))
-    return decoded.withColumn("is_valid", is_valid).drop("_shape_ok")
+
+    def accepted(f: T.StructField) -> Column:
+        has_value = F.col(f"_typed.{f.name}").isNotNull()
+        return has_value | (F.col(f"_raw.{f.name}.kind") == "VOID") if f.nullable else has_value
+
+    checks = reduce(lambda a, b: a & b, map(accepted, fields))
+    return typed.select(*keep, "_typed.*", F.coalesce(checks, F.lit(False)).alias("is_valid"))
 
 
 def split_valid(decoded: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:

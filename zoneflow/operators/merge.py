@@ -12,8 +12,11 @@ from zoneflow.plans.staging import last_per_key
 
 def incremental_merge(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Delete the target rows whose key is in `new`, then insert `new`. Keys absent from
-    `new` stay; several rows of one key inside `new` all stay."""
-    return target.join(new.select(*keys), keys, "left_anti").unionByName(new)
+    `new` stay; several rows of one key inside `new` all stay.
+
+    The keys are reduced before they are shuffled for the join.
+    """
+    return target.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
 
 
 def keyed_upsert(
@@ -46,14 +49,10 @@ def keyed_upsert(
     return joined.select(*[c if c in keys else pick(c) for c in columns])
 
 
-def replace_zones(target: DataFrame, new: DataFrame, zones: DataFrame | None = None) -> DataFrame:
-    """Delete every row of the listed zones (default: the zones of `new`), insert `new`.
-
-    The zone list is a dimension, one row per zone, so the anti-join needs no shuffle of
-    the target when Spark finds it small.
-    """
-    listed = (new if zones is None else zones).select("zone").distinct()
-    return target.join(listed, "zone", "left_anti").unionByName(new.select(*target.columns))
+def replace_zones(target: DataFrame, new: DataFrame, zones: list[str]) -> DataFrame:
+    """Delete every row of the listed zones, insert `new`: a filter and a union, no join."""
+    kept = target.filter(F.col("zone").isNull() | ~F.col("zone").isin(zones))
+    return kept.unionByName(new.select(*target.columns))
 
 
 def absent_hours(target: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -61,7 +60,7 @@ def absent_hours(target: DataFrame, candidates: DataFrame) -> DataFrame:
 
     The target is not updated in between: two candidates of one absent hour both stay.
     """
-    hours = target.select("zone", F.date_trunc("hour", "time").alias("_hour"))
+    hours = target.select("zone", F.date_trunc("hour", "time").alias("_hour")).distinct()
     return (
         candidates.withColumn("_hour", F.date_trunc("hour", "time"))
         .join(hours, ["zone", "_hour"], "left_anti")

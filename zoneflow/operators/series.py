@@ -8,7 +8,7 @@ offsets as well as for time ranges, with gaps or without.
 
 What each bucket needs is read from a day index: rows per (zone, day). It is a small table,
 bounded by zones x calendar days. It is joined without a hint, so Spark broadcasts it when
-its size is known to be small.
+its size is known to be small. Key and time are required columns: never NULL.
 """
 
 from __future__ import annotations

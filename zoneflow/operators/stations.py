@@ -20,10 +20,10 @@ MOMENTS = ["y", "c", "h"]
 SCORES = "zone string, mask int, n int, stations string, partial_r2 double"
 
 
-def station_subsets(temps: DataFrame) -> DataFrame:
-    """Every non-empty subset of a zone's stations as a bit mask. A zone has a handful of
-    stations; their names are collected as a distinct set, not per reading."""
-    zones = temps.groupBy("zone").agg(F.sort_array(F.collect_set("city")).alias("cities"))
+def station_subsets(candidates: DataFrame) -> DataFrame:
+    """Every non-empty subset of a zone's stations as a bit mask. `candidates` is the station
+    list (zone, city), a handful per zone."""
+    zones = candidates.groupBy("zone").agg(F.sort_array(F.collect_set("city")).alias("cities"))
     masks = F.expr("sequence(1, shiftleft(1, size(cities)) - 1)")
     subset = F.filter("cities", lambda c, i: F.getbit(F.col("mask"), i) == 1)
     return (
@@ -38,18 +38,20 @@ def station_pivot(temps: DataFrame, cities: list[str]) -> DataFrame:
     return temps.groupBy("zone", "time").pivot("city", cities).agg(F.avg("temperature"))
 
 
-def subset_observations(temps: DataFrame, load: DataFrame) -> DataFrame:
+def subset_observations(temps: DataFrame, load: DataFrame, candidates: DataFrame) -> DataFrame:
     """One row per (zone, hour, subset): demand with the subset's degree hours.
 
     `temps` is (time = hour beginning, zone, city, temperature), `load` is (time, zone,
     demand_mw). Stations missing in an hour are left out of its mean. Load is joined before
-    the rows are multiplied by the subsets.
+    the rows are multiplied by the subsets. The subsets are joined on the zone alone, which
+    suits a broadcast only: pass `candidates` as a file or a written table, so that Spark
+    knows how small it is.
     """
     per_city = temps.groupBy("zone", "time", "city").agg(F.avg("temperature").alias("t"))
     entry = F.struct("city", "t")
     hourly = per_city.groupBy("zone", "time").agg(F.map_from_entries(F.collect_list(entry)).alias("by_city"))
     joined = hourly.withColumn("time", plus_hours("time", 1)).join(load, ["zone", "time"])
-    rows = joined.join(station_subsets(temps), "zone")
+    rows = joined.join(station_subsets(candidates), "zone")
     known = F.filter(F.transform("subset", lambda c: F.try_element_at("by_city", c)), lambda t: t.isNotNull())
     total = F.aggregate(known, F.lit(0.0), lambda acc, t: acc + t)
     mean_c = F.when(F.size(known) > 0, total / F.size(known))
@@ -113,9 +115,9 @@ def _score(cells: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def score_subsets(temps: DataFrame, load: DataFrame) -> DataFrame:
+def score_subsets(temps: DataFrame, load: DataFrame, candidates: DataFrame) -> DataFrame:
     """Partial R2 of degree hours over hour and weekday, per zone and station subset."""
-    cells = _cells(subset_observations(temps, load))
+    cells = _cells(subset_observations(temps, load, candidates))
     return cells.groupBy(*SUBSET).applyInPandas(_score, SCORES)
 
 

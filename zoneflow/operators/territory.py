@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneflow.operators.merge import fill_from
+from zoneflow.session import materialize
 
 CELL = ["cell_x", "cell_y"]
 # What counts as a small enclave, how far one may lie from its zone, and the
@@ -160,10 +161,12 @@ def assign_territories(
     """(zone_id, entity, cell) of every cell a zone owns.
 
     Mapped entities are major. A small unmapped one joins the zone it overlaps most, else
-    the nearest zone within reach, else it is dropped.
+    the nearest zone within reach, else it is dropped. `cells` is read several times: pass a
+    written table. The entity list is written too, so that Spark broadcasts it when it is
+    small; when it is not, adaptive execution splits the entities that hold most cells.
     """
     area = entity_area(cells, cell_km)
-    known = assign_known(entities.select("entity", "name"), lookup).join(area, "entity")
+    known = materialize(assign_known(entities.select("entity", "name"), lookup).join(area, "entity"), "entities")
     major = known.filter(F.col("zone_id").isNotNull())
     minor = known.filter(is_minor(minor_km2)).drop("zone_id")
     major_cells = cells.join(major.select("entity", "zone_id"), "entity")

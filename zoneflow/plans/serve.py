@@ -17,6 +17,7 @@ from zoneflow.functions.display import (
     weather_condition,
 )
 from zoneflow.operators import metrics
+from zoneflow.plans.staging import last_per_key
 from zoneflow.schemas import HORIZONS, SYSTEM_ZONE, WEATHER_COLS
 
 Predictor = Callable[[DataFrame], DataFrame]
@@ -45,12 +46,7 @@ def for_zone(df: DataFrame, zone: str | None) -> DataFrame:
 
 def latest_features(features: DataFrame, zone: str | None = None) -> DataFrame:
     """Most recent row per zone: one row per zone and input partition is shuffled."""
-    kept = for_zone(features, zone)
-    rest = [c for c in features.columns if c not in ("zone", "time")]
-    latest = kept.groupBy("zone").agg(
-        F.max("time").alias("time"), *[F.max_by(c, "time").alias(c) for c in rest]
-    )
-    return latest.select(*features.columns)
+    return last_per_key(for_zone(features, zone), ["zone"], "time")
 
 
 def features_window(

@@ -26,12 +26,22 @@ def stg_weather(weather: DataFrame, zones: list[str], since: Column | None = Non
     return _since(weather.filter(F.col("zone").isin(zones)), since).select(*WEATHER.fieldNames())
 
 
+FIXED_WIDTH = ("double", "float", "bigint", "int", "boolean", "timestamp", "timestamp_ntz", "date")
+
+
 def last_per_key(messages: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     """The last message of each key, whole rows: nulls of a later message win too.
 
     A partial maximum runs before the shuffle, so a key with very many messages sends one
-    row per input partition.
+    row per input partition. Rows of fixed-width columns are kept column by column, which
+    aggregates by hash; text columns need the row as one struct, which aggregates by sort.
     """
-    rest = [c for c in messages.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.col(order_col)).alias("_last")
-    return messages.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*messages.columns)
+    types = dict(messages.dtypes)
+    rest = [c for c in messages.columns if c not in [*keys, order_col]]
+    last = F.max(order_col).alias(order_col)
+    if all(types[c] in FIXED_WIDTH for c in rest):
+        picked = messages.groupBy(*keys).agg(last, *[F.max_by(c, order_col).alias(c) for c in rest])
+    else:
+        row = F.max_by(F.struct(*rest), F.col(order_col)).alias("_row")
+        picked = messages.groupBy(*keys).agg(last, row).select(*keys, order_col, "_row.*")
+    return picked.select(*messages.columns)

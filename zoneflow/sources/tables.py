@@ -171,14 +171,14 @@ def _finish_swap(spark: SparkSession, path: str) -> None:
 
 
 def replace_zones_table(
-    spark: SparkSession, path: str, schema: T.StructType, new: DataFrame, batch_id: str
+    spark: SparkSession, path: str, schema: T.StructType, new: DataFrame, zones: list[str], batch_id: str
 ) -> None:
-    """Delete all rows of the zones in `new`, then insert `new`. Any date can hold such
+    """Delete all rows of the listed zones, then insert `new`. Any date can hold such
     rows, so the next version of the table is written beside it and then takes its place;
     a run that dies in between is finished by the next one."""
     _finish_swap(spark, path)
     old = read_appended(spark, path, schema).drop(DATE)
-    replaced = merge.replace_zones(old, new.select(*schema.fieldNames()))
+    replaced = merge.replace_zones(old, new.select(*schema.fieldNames()), zones)
     _write(_dated(replaced).withColumn(BATCH, F.lit(batch_id)), f"{path}__next", [DATE, BATCH], dynamic=False)
     _finish_swap(spark, path)
 

@@ -62,14 +62,19 @@ def _predictions(s: SparkSession, d: str) -> DataFrame:
     return serve.predictions(_features(s, d), serve.baseline_predictor)
 
 
+def _feature_table(s: SparkSession, d: str) -> DataFrame:
+    """The feature table as its readers find it: written. For queries that read it twice."""
+    return session.materialize(_features(s, d), "features")
+
+
 def _system_history(s: SparkSession, d: str) -> DataFrame:
-    return serve.system_history(_features(s, d), serve.baseline_predictor, fx.as_of())
+    return serve.system_history(_feature_table(s, d), serve.baseline_predictor, fx.as_of())
 
 
 def _scored(s: SparkSession, d: str) -> DataFrame:
     """Labelled rows with the persistence forecast, one row per horizon."""
-    labelled = feats.build_labels(_load_features(s, d)).filter(F.col("demand_lag_168h").isNotNull())
-    frame = model.with_split(labelled, test_days=7, val_days=7)
+    labelled = feats.build_labels(session.materialize(_load_features(s, d), "load-features"))
+    frame = model.with_split(labelled.filter(F.col("demand_lag_168h").isNotNull()), test_days=7, val_days=7)
     forecast = {1: F.col("demand_lag_72h"), 24: F.round("demand_roll_24h"), 72: F.col("demand_lag_168h")}
     rows = [
         F.struct(F.lit(h).alias("horizon_h"), F.col(f"y_{h}h").alias("actual"), forecast[h].alias("pred"))
@@ -168,7 +173,7 @@ def lmp_lookup_table(s: SparkSession, d: str) -> DataFrame:
     located = fx.zone_dim(s, d).select(
         F.col("zone_id").alias("zone"), F.upper(F.substring("zone_id", 1, 3)).alias("location")
     )
-    return shaping.lmp_by_lookup(fx.lmp_raw(s, d), located.distinct())
+    return shaping.lmp_by_lookup(fx.lmp_raw(s, d), session.materialize(located.distinct(), "locations"))
 
 
 # --- keyed writes ---------------------------------------------------------------------
@@ -216,14 +221,17 @@ def weather_incremental(s: SparkSession, d: str) -> DataFrame:
     return merge.incremental_merge(old, new, ["time", "zone"])
 
 
+RESTATIONED = ["click", "view"]
+
+
 def _restationed(s: SparkSession, d: str) -> DataFrame:
     readings = fx.station_readings(s, d).select(F.col("poll").alias("time"), "zone", *WEATHER_COLS)
-    return shaping.composite_by_time(readings.filter(F.col("zone").isin("click", "view")))
+    return shaping.composite_by_time(readings.filter(F.col("zone").isin(RESTATIONED)))
 
 
 @query
 def replace_zones(s: SparkSession, d: str) -> DataFrame:
-    return merge.replace_zones(fx.weather(s, d), _restationed(s, d))
+    return merge.replace_zones(fx.weather(s, d), _restationed(s, d), RESTATIONED)
 
 
 def _hour_grid(s: SparkSession, d: str) -> DataFrame:
@@ -493,7 +501,7 @@ def predictions_weather_join(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def history_alignment(s: SparkSession, d: str) -> DataFrame:
-    return serve.history(_features(s, d), serve.baseline_predictor, fx.as_of(), 144)
+    return serve.history(_feature_table(s, d), serve.baseline_predictor, fx.as_of(), 144)
 
 
 @query
@@ -525,7 +533,7 @@ def weather_summary(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def load_ratio(s: SparkSession, d: str) -> DataFrame:
-    feature_rows = _features(s, d)
+    feature_rows = _feature_table(s, d)
     preds = serve.predictions(feature_rows, serve.baseline_predictor)
     peaks = serve.recent_peak(feature_rows, fx.as_of())
     return _rounded(serve.load_ratio(preds, peaks, fx.zone_dim(s, d), 24), "load_ratio", "heat")
@@ -543,7 +551,9 @@ def top_zones(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def top_zone_series(s: SparkSession, d: str) -> DataFrame:
-    hist, preds = _system_history(s, d), _predictions(s, d)
+    table = _feature_table(s, d)
+    hist = serve.system_history(table, serve.baseline_predictor, fx.as_of())
+    preds = serve.predictions(table, serve.baseline_predictor)
     return serve.ordered(serve.top_zone_series(hist, preds, 24, 2))
 
 
@@ -637,7 +647,7 @@ def corr_matrix(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def binned_mi(s: SparkSession, d: str) -> DataFrame:
-    return _rounded(profile.binned_mi(_features(s, d), "demand_mw", NUMERIC, ["zone"]), "mi")
+    return _rounded(profile.binned_mi(_feature_table(s, d), "demand_mw", NUMERIC, ["zone"]), "mi")
 
 
 # --- stations and territories ---------------------------------------------------------
@@ -647,9 +657,13 @@ def _candidates(s: SparkSession, d: str) -> DataFrame:
     return fx.candidate_temps(s, d).withColumnRenamed("zone_id", "zone")
 
 
+def _station_list(s: SparkSession, d: str) -> DataFrame:
+    return session.materialize(_candidates(s, d).select("zone", "city").distinct(), "stations")
+
+
 def _subset_scores(s: SparkSession, d: str) -> DataFrame:
     load = fx.load_pjm(s, d).select("time", "zone", "demand_mw")
-    return stations.score_subsets(_candidates(s, d), load)
+    return stations.score_subsets(_candidates(s, d), load, _station_list(s, d))
 
 
 @query
@@ -659,13 +673,13 @@ def station_pivot(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def station_subsets(s: SparkSession, d: str) -> DataFrame:
-    return stations.station_subsets(_candidates(s, d)).select("zone", "mask", "n", "stations")
+    return stations.station_subsets(_station_list(s, d)).select("zone", "mask", "n", "stations")
 
 
 @query
 def subset_observations(s: SparkSession, d: str) -> DataFrame:
     load = fx.load_pjm(s, d).select("time", "zone", "demand_mw")
-    return _rounded(stations.subset_observations(_candidates(s, d), load), "c", "h")
+    return _rounded(stations.subset_observations(_candidates(s, d), load, _station_list(s, d)), "c", "h")
 
 
 @query
@@ -692,14 +706,15 @@ def territory_area(s: SparkSession, d: str) -> DataFrame:
     return territory.entity_area(_cells(s, d))
 
 
-def _land(s: SparkSession, d: str) -> DataFrame:
-    """Cells of the plane's land: all but a diagonal strip of water."""
-    return _cells(s, d).select(*territory.CELL).distinct().filter((F.col("cell_x") + F.col("cell_y")) % 50 != 0)
+def _land(cells: DataFrame) -> DataFrame:
+    """Cells of the plane's land: all but diagonal strips of water."""
+    return cells.select(*territory.CELL).distinct().filter((F.col("cell_x") + F.col("cell_y")) % 50 != 0)
 
 
 def _owned(s: SparkSession, d: str) -> DataFrame:
+    cells = session.materialize(_cells(s, d), "cells")
     return territory.assign_territories(
-        fx.territories(s, d), _cells(s, d), fx.territory_lookup(s, d), _land(s, d), minor_km2=150.0
+        fx.territories(s, d), cells, fx.territory_lookup(s, d), _land(cells), minor_km2=150.0
     )
 
 
@@ -719,7 +734,7 @@ def territory_points(s: SparkSession, d: str) -> DataFrame:
 @query
 def gbt_forecast(s: SparkSession, d: str) -> DataFrame:
     """Train one model per horizon on the feature table, then forecast the latest rows."""
-    table = session.materialize(_features(s, d), "features")
+    table = _feature_table(s, d)
     frame = session.materialize(
         model.with_split(model.training_frame(table), test_days=7, val_days=7), "training"
     )
