@@ -83,6 +83,17 @@ def test_clock(spark):
     }
 
 
+def test_hours_between(spark):
+    df = spark.sql("select timestamp'2026-01-01 00:00:00' a, timestamp'2026-01-01 05:00:00' b")
+    n = df.select(F.size(clock.hours_between("a", "b")), F.size(clock.hours_between("a", "b", 2)), F.size(clock.hours_between("b", "a")), F.size(clock.hours_between("a", "a")))
+    assert tuple(n.first()) == (5, 3, 0, 0)
+
+
+def test_horizon_text(spark):
+    df = spark.createDataFrame([("24h",), ("y_72h",)], "t string")
+    assert [r[0] for r in df.select(display.horizon_hours("t")).collect()] == [24, 72]
+
+
 def test_conditions(spark):
     rows = [(5.0, 0.2, 0.0), (0.0, 0.2, 0.0), (5.0, 0.1, 85.0), (5.0, 0.0, 40.0), (5.0, 0.0, 39.9)]
     df = spark.createDataFrame(rows, "t double, p double, c double")

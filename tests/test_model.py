@@ -33,6 +33,7 @@ def test_model_inputs(table):
 def test_train_register_promote_predict(spark, table, tmp_path):
     frame = model.with_split(model.training_frame(table), test_days=7, val_days=7).cache()
     models, report = model.train_all(frame, max_iter=5, max_depth=3)
+    assert model.declared_inputs(models[1])[0] == "_zone" and len(model.declared_inputs(models[1])) == 21
     rows = {(r.horizon_h, r.split): r for r in report.collect()}
     assert set(rows) == {(h, s) for h in (1, 24, 72) for s in model.SPLITS}
     assert rows[1, "test"].r2 > 0.8

@@ -67,6 +67,13 @@ def parse_us_date(text: Column | str) -> Column:
     return F.to_date(F.try_to_timestamp(col(text), F.lit("M/d/yyyy")))
 
 
+def hours_between(start: Column | str, end: Column | str, step_hours: int = 1) -> Column:
+    """Array of the instants from `start` up to but not including `end`; empty when none."""
+    step = F.make_dt_interval(F.lit(0), F.lit(step_hours))
+    last = F.greatest(col(start), col(end))
+    return F.filter(F.sequence(col(start), last, step), lambda t: t < col(end))
+
+
 def age_hours(time: Column | str, as_of: Column) -> Column:
     return (F.unix_micros(as_of) - F.unix_micros(col(time))) / F.lit(3_600_000_000.0)
 

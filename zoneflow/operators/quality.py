@@ -15,16 +15,24 @@ EXPECTED_POLLS = 3
 FRESHNESS_SLA = {"load": (6, 24), "lmp": (6, 24), "weather": (2, 6)}
 
 
-def _long(df: DataFrame, check: str) -> DataFrame:
-    """One row of per-column counts -> one row per column."""
-    wide = df.unpivot([], df.columns, "column_name", "failures")
-    return wide.select(F.lit(check).alias("check_name"), "column_name", "failures")
+def row_checks(
+    df: DataFrame, not_null: Iterable[str] = (), accepted: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """Every check that looks at one row at a time, in one pass over the table. NULL is not
+    a value outside an accepted list."""
+    checks = [("not_null", c, F.col(c).isNull()) for c in not_null]
+    checks += [("accepted_values", c, ~F.col(c).isin(v)) for c, v in (accepted or {}).items()]
+    counts = df.agg(*[F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(checks)])
+    rows = [
+        F.struct(F.lit(k).alias("check_name"), F.lit(c).alias("column_name"), F.col(f"n{i}").alias("failures"))
+        for i, (k, c, _) in enumerate(checks)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def null_audit(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """NULLs per column, all columns in one pass."""
-    counts = [F.count_if(F.col(c).isNull()).alias(c) for c in columns or df.columns]
-    return _long(df.agg(*counts), "not_null")
+    """NULLs per column."""
+    return row_checks(df, columns or df.columns)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -46,10 +54,6 @@ def outside_values(df: DataFrame, column: str, accepted: list[str]) -> DataFrame
     return df.filter(~F.col(column).isin(accepted)).groupBy(column).agg(F.count("*").alias("n"))
 
 
-def accepted_values(df: DataFrame, column: str, accepted: list[str]) -> DataFrame:
-    return _count_as(df.filter(~F.col(column).isin(accepted)), "accepted_values", column)
-
-
 def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Values without a parent, with their row counts. Rows are counted per value before the
     join, so a value that most rows share is one row by then."""

@@ -381,6 +381,18 @@ def oracle_sql() -> dict[str, str]:
                      partition by time, zone, source order by "offset" desc) = 1) a
                full join load_all b using (time, zone, source)""",
         ),
+        "dedupe_first": _sql(
+            "lmp_msgs",
+            """select * rename (offset_id as "offset") from lmp_msgs
+               qualify row_number() over (partition by time, pnode_id order by offset_id) = 1""",
+        ),
+        "horizon_series": _sql(
+            "load_features",
+            """select time + interval 1 hour as time, zone, 1 as horizon_h, demand_lag_72h as predicted_mw
+               from load_features
+               union all select time + interval 24 hours, zone, 24, round(demand_roll_24h) from load_features
+               union all select time + interval 72 hours, zone, 72, demand_lag_168h from load_features""",
+        ),
         "delete_insert_incremental": _incremental(),
         "weather_incremental": _sql(
             "stg_weather",

@@ -34,8 +34,17 @@ def feature_columns(columns: list[str]) -> list[str]:
 
 def training_frame(features: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """Labels first, on the raw series; then features; then rows that have their longest lag."""
-    labelled = build_features(build_labels(features, index))
-    return labelled.filter(F.col("demand_lag_168h").isNotNull())
+    return with_longest_lag(build_features(build_labels(features, index)))
+
+
+def with_longest_lag(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("demand_lag_168h").isNotNull())
+
+
+def newest_time(features: DataFrame) -> Column:
+    """Newest time of the rows that can be used for training, as a scalar subquery. Labels
+    drop no rows, so it is read from the table and not from the labelled frame."""
+    return with_longest_lag(features).agg(F.max("time")).scalar()
 
 
 def split_by_date(df: DataFrame, start: Column | None, end: Column | None) -> DataFrame:
@@ -56,12 +65,14 @@ def with_split(
     val_months: int = VAL_MONTHS,
     test_days: int | None = None,
     val_days: int | None = None,
+    newest: Column | None = None,
 ) -> DataFrame:
     """Chronological split counted back from the newest row, as a column in one pass.
 
-    The newest time is a scalar subquery. Day lengths replace the month lengths when given.
+    The newest time is a scalar subquery; pass it when `df` is costly to derive. Day lengths
+    replace the month lengths when given.
     """
-    newest = df.agg(F.max("time")).scalar()
+    newest = df.agg(F.max("time")).scalar() if newest is None else newest
     if test_days is not None and val_days is not None:
         test_start = minus_days(newest, test_days)
         val_start = minus_days(newest, test_days + val_days)
@@ -110,6 +121,11 @@ def train_horizon(
     return pipeline.fit(fit_on.withColumn("_is_val", F.col("split") == "val"))
 
 
+def declared_inputs(model: PipelineModel) -> list[str]:
+    """The assembled inputs of a trained model, in its order."""
+    return next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+
+
 def score(df: DataFrame, models: dict[int, PipelineModel]) -> DataFrame:
     """One prediction column per horizon; the helper columns of the pipelines are dropped."""
     keep = list(df.columns)

@@ -29,19 +29,29 @@ def stg_weather(weather: DataFrame, zones: list[str], since: Column | None = Non
 FIXED_WIDTH = ("double", "float", "bigint", "int", "boolean", "timestamp", "timestamp_ntz", "date")
 
 
-def last_per_key(messages: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """The last message of each key, whole rows: nulls of a later message win too.
+def _extreme_per_key(df: DataFrame, keys: list[str], order_col: str, top, by) -> DataFrame:
+    """The row of each key with the extreme `order_col`, reduced before the shuffle: a key
+    with very many rows sends one row per input partition.
 
-    A partial maximum runs before the shuffle, so a key with very many messages sends one
-    row per input partition. Rows of fixed-width columns are kept column by column, which
-    aggregates by hash; text columns need the row as one struct, which aggregates by sort.
+    Rows of fixed-width columns are kept column by column, which aggregates by hash; text
+    columns need the row as one struct, which aggregates by sort.
     """
-    types = dict(messages.dtypes)
-    rest = [c for c in messages.columns if c not in [*keys, order_col]]
-    last = F.max(order_col).alias(order_col)
+    types = dict(df.dtypes)
+    rest = [c for c in df.columns if c not in [*keys, order_col]]
+    bound = top(order_col).alias(order_col)
     if all(types[c] in FIXED_WIDTH for c in rest):
-        picked = messages.groupBy(*keys).agg(last, *[F.max_by(c, order_col).alias(c) for c in rest])
+        picked = df.groupBy(*keys).agg(bound, *[by(c, order_col).alias(c) for c in rest])
     else:
-        row = F.max_by(F.struct(*rest), F.col(order_col)).alias("_row")
-        picked = messages.groupBy(*keys).agg(last, row).select(*keys, order_col, "_row.*")
-    return picked.select(*messages.columns)
+        row = by(F.struct(*rest), F.col(order_col)).alias("_row")
+        picked = df.groupBy(*keys).agg(bound, row).select(*keys, order_col, "_row.*")
+    return picked.select(*df.columns)
+
+
+def last_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+    """The last row of each key, whole: nulls of a later row win too."""
+    return _extreme_per_key(df, keys, order_col, F.max, F.max_by)
+
+
+def first_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+    """Deduplicate by key, keeping the first row in `order_col`."""
+    return _extreme_per_key(df, keys, order_col, F.min, F.min_by)

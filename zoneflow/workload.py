@@ -13,7 +13,7 @@ from zoneflow.functions import calendar, clock, codec, display
 from zoneflow.operators import merge, metrics, profile, quality, stations, territory
 from zoneflow.plans import features as feats
 from zoneflow.plans import model, serve, staging
-from zoneflow.schemas import CONTRACTS, HORIZONS, LOAD, TOTAL_ZONE, WEATHER_COLS
+from zoneflow.schemas import CONTRACTS, HORIZONS, LOAD, SOURCES, TOTAL_ZONE, WEATHER_COLS
 from zoneflow.sources import tables
 from zoneflow.streaming import hourly, ingest, shaping
 
@@ -73,8 +73,9 @@ def _system_history(s: SparkSession, d: str) -> DataFrame:
 
 def _scored(s: SparkSession, d: str) -> DataFrame:
     """Labelled rows with the persistence forecast, one row per horizon."""
-    labelled = feats.build_labels(session.materialize(_load_features(s, d), "load-features"))
-    frame = model.with_split(labelled.filter(F.col("demand_lag_168h").isNotNull()), test_days=7, val_days=7)
+    table = session.materialize(_load_features(s, d), "load-features")
+    labelled = model.with_longest_lag(feats.build_labels(table))
+    frame = model.with_split(labelled, test_days=7, val_days=7, newest=model.newest_time(table))
     forecast = {1: F.col("demand_lag_72h"), 24: F.round("demand_roll_24h"), 72: F.col("demand_lag_168h")}
     rows = [
         F.struct(F.lit(h).alias("horizon_h"), F.col(f"y_{h}h").alias("actual"), forecast[h].alias("pred"))
@@ -196,6 +197,11 @@ def partial_upsert(s: SparkSession, d: str) -> DataFrame:
     return merge.keyed_upsert(target, batch, keys, update_cols=["demand_mw", "is_verified"])
 
 
+@query
+def dedupe_first(s: SparkSession, d: str) -> DataFrame:
+    return staging.first_per_key(fx.lmp_messages(s, d), ["time", "pnode_id"], "offset")
+
+
 CUT = "2024-01-26 00:00:00"
 
 
@@ -238,8 +244,7 @@ def _hour_grid(s: SparkSession, d: str) -> DataFrame:
     """Every hour from the first to the last reading, for every zone of the data."""
     per_zone = fx.events(s, d).groupBy(F.col("event_type").alias("zone"))
     spans = per_zone.agg(clock.hour_start(F.min("ts")).alias("a"), clock.hour_start(F.max("ts")).alias("b"))
-    hours = F.explode(F.sequence("a", "b", F.expr("interval 1 hour"))).alias("time")
-    return spans.select("zone", "b", hours).filter(F.col("time") < F.col("b")).select("time", "zone")
+    return spans.select(F.explode(clock.hours_between("a", "b")).alias("time"), "zone")
 
 
 @query
@@ -339,6 +344,12 @@ def degree_days(s: SparkSession, d: str) -> DataFrame:
     return _rounded(both.select("row_id", "hdd", "cdd", "cdh", "hdh"), "hdd", "cdd")
 
 
+@query
+def horizon_series(s: SparkSession, d: str) -> DataFrame:
+    """Stored predictions, one row per horizon at the hour each is for."""
+    return serve.by_horizon(serve.baseline_predictor(_load_features(s, d)))
+
+
 @query
 def market_calendar(s: SparkSession, d: str) -> DataFrame:
     out = calendar.market_on_peak_flag(calendar.holiday_flag(fx.order_hours(s, d)))
@@ -456,7 +467,8 @@ def promotion(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def run_record(s: SparkSession, d: str) -> DataFrame:
-    frame = model.with_split(_load_features(s, d).filter(F.col("demand_lag_168h").isNotNull()), test_days=7, val_days=7)
+    table = session.materialize(_load_features(s, d), "load-features")
+    frame = model.with_split(model.with_longest_lag(table), test_days=7, val_days=7)
     return model.run_record(frame, "v1", "features", fx.as_of())
 
 
@@ -526,7 +538,7 @@ def drilldown_zone(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def weather_summary(s: SparkSession, d: str) -> DataFrame:
-    preds = _predictions(s, d)
+    preds = serve.predictions(_feature_table(s, d), serve.baseline_predictor)
     both = serve.weather_summary(preds).unionByName(serve.weather_summary(preds, "view"))
     return _rounded(both, *WEATHER_COLS, "temp_f", "wind_mph")
 
@@ -571,9 +583,11 @@ def dq_report(s: SparkSession, d: str) -> DataFrame:
     stations_dim = fx.zone_dim(s, d)
     return quality.report(
         [
-            quality.null_audit(load, ["time", "zone", "source", "demand_mw"]),
-            quality.accepted_values(load, "zone", [*fx.ZONES, TOTAL_ZONE]),
-            quality.accepted_values(load, "source", ["pjm", "eia"]),
+            quality.row_checks(
+                load,
+                not_null=["time", "zone", "source", "demand_mw"],
+                accepted={"zone": [*fx.ZONES, TOTAL_ZONE], "source": SOURCES},
+            ),
             quality.unique_keys(lmp, ["time", "pnode_id"]),
             quality.unique_keys(weather, ["time", "zone"]),
             quality.unique_keys(stations_dim, ["zone_id", "city"]),
@@ -736,7 +750,10 @@ def gbt_forecast(s: SparkSession, d: str) -> DataFrame:
     """Train one model per horizon on the feature table, then forecast the latest rows."""
     table = _feature_table(s, d)
     frame = session.materialize(
-        model.with_split(model.training_frame(table), test_days=7, val_days=7), "training"
+        model.with_split(
+            model.training_frame(table), test_days=7, val_days=7, newest=model.newest_time(table)
+        ),
+        "training",
     )
     models, _ = model.train_all(frame, max_iter=10, max_depth=4)
     return serve.predictions(table, model.model_predictor(models))
