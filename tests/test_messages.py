@@ -111,6 +111,23 @@ def test_stream_upserts_and_dead_letters(spark, tmp_path):
     assert {r.value for r in spark.read.parquet(dlq).collect()} == {"junk"}
 
 
+def test_failed_batch_is_taken_again(spark, tmp_path, monkeypatch):
+    """An outage while writing stops the run; nothing is recorded as read."""
+    topic, table = str(tmp_path / "topic"), str(tmp_path / "load")
+    _topic(spark, topic, [_message(0, 1.0)], 1)
+
+    def drain():
+        source = ingest.file_source(spark, f"{topic}/*")
+        return ingest.drain(source, CONTRACTS["load"], table, str(tmp_path / "dlq"), str(tmp_path / "cp"))
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "upsert_table", lambda *a, **k: 1 / 0)
+        with pytest.raises(Exception, match="ZeroDivisionError|division"):
+            drain()
+    assert drain().written == 1
+    assert tables.read_table(spark, table, LOAD).count() == 1
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     batch = spark.createDataFrame([_message(0, 1.0), ("k", "junk", 1)], MESSAGE)
     for _ in range(2):

@@ -76,3 +76,12 @@ def test_degree_area(spark):
 def test_dissolve_is_distinct(spark):
     df = spark.createDataFrame([("Z", 1, 1), ("Z", 1, 1)], "zone_id string, cell_x int, cell_y int")
     assert territory.dissolve(df).count() == 1
+
+
+def test_every_zone_has_a_utility(spark):
+    from zoneflow.schemas import ZONES
+    from zoneflow.utilities import utility_lookup
+
+    df = utility_lookup(spark)
+    assert {r.zone_id for r in df.collect()} == set(ZONES)
+    assert df.select("name").distinct().count() == df.count()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from zoneflow.functions.clock import hour_ending, hour_start
 from zoneflow.functions.codec import encode_messages
 from zoneflow.plans import staging
-from zoneflow.schemas import LOAD, MESSAGE, WEATHER
+from zoneflow.schemas import LMP, LOAD, MESSAGE, WEATHER
 from zoneflow.streaming import shaping
 
 ZONES = ["click", "purchase", "signup", "view"]
@@ -224,6 +224,10 @@ def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select(*[broken.alias(n) if n == "value" else n for n in MESSAGE.fieldNames()])
 
 
+def price_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_messages(lmp_messages(spark, sf_dir), "zone", LMP.fieldNames(), carry=["offset"])
+
+
 def weather_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = weather(spark, sf_dir).withColumn("offset", F.unix_micros("time"))
     return encode_messages(rows, "zone", WEATHER.fieldNames(), carry=["offset"])

@@ -441,6 +441,13 @@ def oracle_sql() -> dict[str, str]:
             """select * exclude ("offset") from message_rows qualify row_number() over (
                partition by time, zone, source order by "offset" desc) = 1""",
         ),
+        "stream_dead_letters": _sql(
+            "messages",
+            f"""select key, {_dead_value()} as value, "offset" from messages
+                where fault in (11, 13, 17, 19, 37, 41, 43)""",
+        ),
+        "stream_lmp_upsert": _sql("lmp", "select * from lmp"),
+        "stream_weather_append": _sql("weather", "select * from weather"),
         "stream_weather_hourly": _sql(
             "weather",
             """select date_trunc('hour', time) + interval 1 hour as time, zone, avg(temperature) as temperature,

@@ -12,16 +12,30 @@ from zoneflow.schemas import MESSAGE, Contract
 from zoneflow.sources import tables
 
 
-def topic_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+def topic_source(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    offsets_per_batch: int | None = None,
+    min_partitions: int | None = None,
+) -> DataFrame:
     """Topic from its earliest offset. Needs the Kafka connector on the classpath; progress
-    is kept in the query's checkpoint, which takes the place of a manual commit."""
-    raw = (
+    is kept in the query's checkpoint, which takes the place of a manual commit.
+
+    `offsets_per_batch` bounds a micro-batch; `min_partitions` splits the offsets of a topic
+    partition over several tasks, for topics whose key puts most messages into one.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .load()
     )
+    if offsets_per_batch:
+        reader = reader.option("maxOffsetsPerTrigger", offsets_per_batch)
+    if min_partitions:
+        reader = reader.option("minPartitions", min_partitions)
+    raw = reader.load()
     return raw.select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "partition", "offset"
     )

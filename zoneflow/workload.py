@@ -13,7 +13,7 @@ from zoneflow.functions import calendar, clock, codec, display
 from zoneflow.operators import merge, metrics, profile, quality, stations, territory
 from zoneflow.plans import features as feats
 from zoneflow.plans import model, serve, staging
-from zoneflow.schemas import CONTRACTS, HORIZONS, LOAD, SOURCES, TOTAL_ZONE, WEATHER_COLS
+from zoneflow.schemas import CONTRACTS, HORIZONS, LMP, LOAD, SOURCES, TOTAL_ZONE, WEATHER, WEATHER_COLS
 from zoneflow.sources import tables
 from zoneflow.streaming import hourly, ingest, shaping
 
@@ -297,14 +297,37 @@ def dlq_split(s: SparkSession, d: str) -> DataFrame:
     return codec.split_valid(decoded, CONTRACTS["load"])[1]
 
 
+def _drained(s: SparkSession, messages: DataFrame, topic: str) -> str:
+    """Write messages as a topic, drain it into its table, return the folder of both."""
+    root = session.scratch(s, f"stream-{topic}")
+    messages.repartitionByRange("offset").write.parquet(f"{root}/topic")
+    source = ingest.file_source(s, f"{root}/topic")
+    ingest.drain(source, CONTRACTS[topic], f"{root}/table", f"{root}/dlq", f"{root}/checkpoint")
+    return root
+
+
 @query
 def stream_upsert(s: SparkSession, d: str) -> DataFrame:
-    """Messages written as a topic, drained into the load table by the streaming query."""
-    root = session.scratch(s, "stream-upsert")
-    fx.load_messages(s, d).repartitionByRange("offset").write.parquet(f"{root}/topic")
-    source = ingest.file_source(s, f"{root}/topic")
-    ingest.drain(source, CONTRACTS["load"], f"{root}/load", f"{root}/dlq", f"{root}/checkpoint")
-    return tables.read_table(s, f"{root}/load", LOAD).drop(tables.DATE)
+    root = _drained(s, fx.load_messages(s, d), "load")
+    return tables.read_table(s, f"{root}/table", LOAD).drop(tables.DATE)
+
+
+@query
+def stream_dead_letters(s: SparkSession, d: str) -> DataFrame:
+    root = _drained(s, fx.load_messages(s, d), "load")
+    return s.read.parquet(f"{root}/dlq").drop(tables.BATCH)
+
+
+@query
+def stream_lmp_upsert(s: SparkSession, d: str) -> DataFrame:
+    root = _drained(s, fx.price_messages(s, d), "lmp")
+    return tables.read_table(s, f"{root}/table", LMP).drop(tables.DATE)
+
+
+@query
+def stream_weather_append(s: SparkSession, d: str) -> DataFrame:
+    root = _drained(s, fx.weather_messages(s, d), "weather")
+    return tables.read_appended(s, f"{root}/table", WEATHER).drop(tables.DATE)
 
 
 @query
