@@ -1,9 +1,12 @@
+import random
+
 import pytest
 from conftest import FULL, values
 from pyspark.sql import functions as F
 
 from zoneflow import fixtures as fx
 from zoneflow.operators import merge
+from zoneflow.plans import serve
 from zoneflow.plans.build import SCHEMAS, Lookback, Warehouse
 from zoneflow.schemas import LOAD, WEATHER
 from zoneflow.sources import tables
@@ -39,6 +42,27 @@ def test_partial_upsert_keeps_other_columns(spark, frame, tmp_path):
     assert got == [("A", 9.0, 5.0), ("B", 3.0, 4.0)]
 
 
+def test_batches_equal_one_upsert_at_a_time(spark, tmp_path):
+    """Random messages in three batches against a dictionary written message by message."""
+    rng, path = random.Random(11), str(tmp_path / "load")
+    keys, held, offset = ["time", "zone", "source"], {}, 0
+    for _ in range(3):
+        rows = []
+        for _ in range(300):
+            hour, zone = rng.randrange(72), rng.choice("AB")
+            mw, forecast = float(rng.randrange(1000)), rng.choice([None, 1.0, 2.0])
+            rows.append((hour * 3600, zone, "pjm", mw, forecast, offset))
+            held[hour, zone] = (mw, forecast)
+            offset += 1
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "s long, zone string, source string, demand_mw double, demand_forecast_mw double, offset long")
+        df = df.withColumns({"time": F.timestamp_seconds("s"), "net_generation_mw": F.lit(None).cast("double"), "total_interchange_mw": F.lit(None).cast("double"), "is_verified": F.lit(True)})
+        tables.upsert_table(spark, path, LOAD, df.repartition(5).select(*LOAD.fieldNames(), "offset"), keys, "offset")
+    got = tables.read_table(spark, path, LOAD).select(F.unix_seconds("time").alias("s"), "zone", "demand_mw", "demand_forecast_mw")
+    assert {(r.s // 3600, r.zone): (r.demand_mw, r.demand_forecast_mw) for r in got.collect()} == held
+    assert got.count() == len(held)
+
+
 def test_merge_keeps_absent_keys_and_batch_repeats(frame):
     target = _load(frame, ("2026-01-01 00:00:00", "A", 1.0, None), ("2026-01-01 01:00:00", "A", 2.0, None))
     new = _load(frame, ("2026-01-01 01:00:00", "A", 7.0, None), ("2026-01-01 01:00:00", "A", 8.0, None))
@@ -89,6 +113,9 @@ def test_snapshots(spark, tmp_path):
     df = spark.read.parquet(path)
     assert df.count() == 4
     assert values(tables.latest_snapshot(df).select("facility_name")) == [("b",), ("c",)]
+    stored = tables.read_latest_snapshot(spark, path, df.drop("synced_at").schema)
+    assert values(stored.select("facility_name")) == [("b",), ("c",)]
+    assert "PartitionFilters: [isnotnull(synced_at" in stored._jdf.queryExecution().executedPlan().toString()
 
 
 def test_high_water_prunes(spark, frame, tmp_path):
@@ -102,6 +129,17 @@ def test_high_water_prunes(spark, frame, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan and "PushedFilters: [IsNotNull(time)" in plan
 
 
+def test_trailing_reads_prune_dates(spark, frame, tmp_path):
+    path = str(tmp_path / "load")
+    rows = [(f"2026-01-{d:02} 05:00:00", "A", float(d), None) for d in range(1, 29)]
+    tables.write_table(_load(frame, *rows), path)
+    table, at = tables.read_table(spark, path, LOAD), F.lit("2026-01-28 06:00:00").cast("timestamp")
+    window, peak = serve.features_window(table, at, 48), serve.recent_peak(table, at, 7)
+    assert window.columns == LOAD.fieldNames() and window.count() == 2 and peak.first().peak_mw == 28.0
+    for df in (window, peak):
+        assert "PartitionFilters: [isnotnull(date" in df._jdf.queryExecution().executedPlan().toString()
+
+
 CUT = "2024-01-26 00:00:00"
 
 

@@ -368,7 +368,7 @@ def oracle_sql() -> dict[str, str]:
         "upsert_last_wins": _sql(
             "lmp_msgs",
             """select * exclude (offset_id) from lmp_msgs qualify row_number() over (
-               partition by time, pnode_id order by offset_id % 2 desc, offset_id desc) = 1""",
+               partition by time, pnode_id order by congestion_price >= 20 desc, offset_id desc) = 1""",
         ),
         "partial_upsert": _sql(
             "messages load_all",

@@ -19,6 +19,7 @@ from zoneflow.functions.display import (
 from zoneflow.operators import metrics
 from zoneflow.plans.staging import last_per_key
 from zoneflow.schemas import HORIZONS, SYSTEM_ZONE, WEATHER_COLS
+from zoneflow.sources.tables import DATE, since
 
 Predictor = Callable[[DataFrame], DataFrame]
 
@@ -52,7 +53,8 @@ def latest_features(features: DataFrame, zone: str | None = None) -> DataFrame:
 def features_window(
     features: DataFrame, as_of: Column, hours: int = DRILLDOWN_HOURS, zone: str | None = None
 ) -> DataFrame:
-    return for_zone(features, zone).filter(F.col("time") >= plus_hours(as_of, -hours))
+    """Trailing rows. On a written table the date partitions before the window are pruned."""
+    return since(for_zone(features, zone), plus_hours(as_of, -hours)).drop(DATE)
 
 
 def ordered(df: DataFrame) -> DataFrame:
@@ -61,7 +63,7 @@ def ordered(df: DataFrame) -> DataFrame:
 
 
 def recent_peak(features: DataFrame, as_of: Column, days: int = 30, zone: str | None = None) -> DataFrame:
-    recent = for_zone(features, zone).filter(F.col("time") >= minus_days(as_of, days))
+    recent = since(for_zone(features, zone), minus_days(as_of, days))
     return recent.groupBy("zone").agg(F.max("demand_mw").alias("peak_mw"))
 
 

@@ -65,6 +65,12 @@ def since(df: DataFrame, at: Column | None) -> DataFrame:
     return sliced.filter(F.col(DATE) >= F.to_date(at)) if DATE in df.columns else sliced
 
 
+def _micros_literal(df: DataFrame, value: Column) -> Column | None:
+    """An aggregate timestamp as a literal, by way of microseconds: no local time is involved."""
+    micros = df.agg(F.unix_micros(value)).first()[0]
+    return None if micros is None else F.timestamp_micros(F.lit(micros))
+
+
 def high_water(df: DataFrame) -> Column | None:
     """max(time) as a literal, or None for an empty table.
 
@@ -76,8 +82,7 @@ def high_water(df: DataFrame) -> Column | None:
         if latest is None:
             return None
         df = df.filter(F.col(DATE) == F.lit(latest))
-    micros = df.agg(F.unix_micros(F.max("time"))).first()[0]
-    return None if micros is None else F.timestamp_micros(F.lit(micros))
+    return _micros_literal(df, F.max("time"))
 
 
 def _dated(df: DataFrame) -> DataFrame:
@@ -203,6 +208,14 @@ def append_snapshot(df: DataFrame, path: str, synced_at: Column) -> None:
     stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("synced_at").parquet(path)
 
 
+def read_latest_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The latest snapshot of a written log; the stamp is looked up first, so that the read
+    is of one partition."""
+    table = read_or_empty(spark, path, _nullable(schema, T.StructField("synced_at", T.TimestampType())))
+    last = _micros_literal(table, F.max("synced_at"))
+    return table if last is None else table.filter(F.col("synced_at") == last)
+
+
 def latest_snapshot(df: DataFrame, stamp_col: str = "synced_at") -> DataFrame:
     """Rows of the latest snapshot, selected by a scalar subquery on the stamp."""
     return df.filter(F.col(stamp_col) == df.agg(F.max(stamp_col)).scalar())
