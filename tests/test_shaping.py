@@ -127,3 +127,21 @@ def test_pivot_means(frame):
         "time timestamp, zone string, city string, temperature double",
     )
     assert values(stations.station_pivot(df, ["x", "y"]), "x", "y") == [(2.0, 5.0)]
+
+
+def test_load_side_is_shuffled_once(spark, tmp_path):
+    """Both joins of the feature table share its partitioning, so three sides, three shuffles."""
+    from zoneflow.plans.build import SCHEMAS
+    from zoneflow.sources.tables import read_or_empty
+
+    sides = []
+    for name in ("load_features", "lmp_features", "weather_features"):
+        spark.createDataFrame([], SCHEMAS[name]).write.parquet(str(tmp_path / name))
+        sides.append(read_or_empty(spark, str(tmp_path / name), SCHEMAS[name]))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = feats.features(*sides)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning") == 3

@@ -6,6 +6,8 @@ from conftest import SMALL
 
 import __spark_entry__ as entry
 
+# joins that compare all pairs, and Python that runs row by row
+UNSCALABLE = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"]
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
@@ -19,6 +21,8 @@ def test_query(spark, con, name):
     if name == "gbt_forecast":
         pytest.skip("the small tables are too short for a split; test_model covers training")
     df = QUERIES[name](spark, SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [bad for bad in UNSCALABLE if bad in plan]
     if name in SQL:
         assert compare(df, con, SQL[name]) is None
     else:

@@ -59,15 +59,16 @@ def binned_mi(
     discrete = discrete or []
     ranged = [target, *numeric]
     bounds = [F.min(c).alias(f"lo_{c}") for c in ranged] + [F.max(c).alias(f"hi_{c}") for c in ranged]
-    limits = df.agg(F.struct(*bounds).alias("b")).scalar()
+    # one column, so that the plan holds the subquery once and not per use
+    bounded = df.withColumn("_b", df.agg(F.struct(*bounds)).scalar())
 
     def binned(c: str):
-        low, high = limits[f"lo_{c}"], limits[f"hi_{c}"]
+        low, high = F.col(f"_b.lo_{c}"), F.col(f"_b.hi_{c}")
         share = (F.col(c) - low) / F.when(high > low, high - low)
         code = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * bins), F.lit(bins - 1))
         return F.when(F.col(c).isNotNull(), code.cast("string")).alias(c)
 
-    coded = df.select(
+    coded = bounded.select(
         *[binned(c) for c in ranged], *[F.col(c).cast("string").alias(c) for c in discrete]
     )
     long = coded.unpivot([target], [*numeric, *discrete], "feature", "bin").na.drop("any")

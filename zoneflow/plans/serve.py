@@ -177,4 +177,6 @@ def load_ratio(preds: DataFrame, peaks: DataFrame, zones: DataFrame, horizon: in
     rows = zones.select(F.col("zone_id").alias("zone")).distinct().join(picked, "zone").join(peaks, "zone")
     rows = rows.withColumn("load_ratio", F.col("predicted_mw") / F.when(F.col("peak_mw") != 0, F.col("peak_mw")))
     spread = rows.agg(F.struct(F.min("load_ratio").alias("lo"), F.max("load_ratio").alias("hi"))).scalar()
-    return rows.withColumn("heat", scale_unit(F.col("load_ratio"), spread["lo"], spread["hi"]))
+    rows = rows.withColumn("_spread", spread)
+    heat = scale_unit(F.col("load_ratio"), F.col("_spread.lo"), F.col("_spread.hi"))
+    return rows.withColumn("heat", heat).drop("_spread")

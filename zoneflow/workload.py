@@ -208,10 +208,12 @@ CUT = "2024-01-26 00:00:00"
 
 @query
 def delete_insert_incremental(s: SparkSession, d: str) -> DataFrame:
-    """A run over the data before a cut, then an incremental run over all of it."""
+    """A run over the data before a cut, then an incremental run over all of it. The first
+    result is a written table, and its high-water mark a constant, as in a build."""
     stg = _stg_load(s, d)
-    old = feats.load_features(stg.filter(F.col("time") < clock.utc_literal(CUT)), fx.ZONES)
-    newest = old.agg(F.max("time")).scalar()
+    before = feats.load_features(stg.filter(F.col("time") < clock.utc_literal(CUT)), fx.ZONES)
+    old = session.materialize(before, "load-features")
+    newest = tables.high_water(old)
     new = feats.load_features(
         stg, fx.ZONES, read_since=clock.minus_days(newest, 15), write_since=clock.minus_days(newest, 8)
     )
@@ -222,8 +224,9 @@ def delete_insert_incremental(s: SparkSession, d: str) -> DataFrame:
 def weather_incremental(s: SparkSession, d: str) -> DataFrame:
     """Delete and insert on a key that repeats in the source: repeats in the slice stay."""
     weather = fx.weather(s, d).withColumn("time", clock.hour_start("time"))
-    old = staging.stg_weather(weather.filter(F.col("time") < clock.utc_literal(CUT)), fx.ZONES)
-    newest = old.agg(F.max("time")).scalar()
+    before = staging.stg_weather(weather.filter(F.col("time") < clock.utc_literal(CUT)), fx.ZONES)
+    old = session.materialize(before, "stg-weather")
+    newest = tables.high_water(old)
     new = staging.stg_weather(weather, fx.ZONES, since=clock.minus_days(newest, 1))
     return merge.incremental_merge(old, new, ["time", "zone"])
 
@@ -448,7 +451,8 @@ def labels(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def split_counts(s: SparkSession, d: str) -> DataFrame:
-    frame = model.with_split(_load_features(s, d), test_days=7, val_days=7)
+    table = session.materialize(_load_features(s, d), "load-features")
+    frame = model.with_split(table, test_days=7, val_days=7)
     return frame.groupBy("split", "zone").agg(F.count("*").alias("n"), F.min("time").alias("first_time"))
 
 
@@ -481,7 +485,8 @@ def zone_metrics(s: SparkSession, d: str) -> DataFrame:
 def promotion(s: SparkSession, d: str) -> DataFrame:
     """Registry: the 72 h forecast of each zone; challengers: its 24 h forecast. One zone
     has no champion yet."""
-    rmse = metrics.evaluate(_scored(s, d), "actual", "pred", ["zone", "horizon_h"]).filter(F.col("rmse").isNotNull())
+    rmse = metrics.evaluate(_scored(s, d), "actual", "pred", ["zone", "horizon_h"])
+    rmse = session.materialize(rmse.filter(F.col("rmse").isNotNull()), "rmse")
     row = [F.col("zone").alias("name"), F.lit(1).alias("version"), F.lit(model.PRODUCTION).alias("stage")]
     registry = rmse.filter((F.col("horizon_h") == 72) & (F.col("zone") != "view")).select(*row, "rmse")
     row[1:] = [F.lit(2).alias("version"), F.lit(model.STAGING).alias("stage")]
