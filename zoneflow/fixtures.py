@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zoneflow.functions.clock import hour_ending, hour_start
 from zoneflow.functions.codec import encode_messages
@@ -24,9 +25,20 @@ def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp")
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
+def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as stored. Its footer is read for the schema once, not per use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table with its naive timestamps taken as UTC."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = raw(spark, sf_dir, name)
     naive = [n for n, t in df.dtypes if t == "timestamp_ntz"]
     return df.withColumns({n: F.col(n).cast("timestamp") for n in naive}) if naive else df
 

@@ -338,9 +338,8 @@ def stream_weather_append(s: SparkSession, d: str) -> DataFrame:
 def stream_weather_hourly(s: SparkSession, d: str) -> DataFrame:
     """Hours closed by the watermark, which trails the newest reading by a day."""
     root = session.scratch(s, "stream-weather")
-    source = f"{d}/events.parquet"
     # the glob makes the path valid for one file as well as for a folder of them
-    raw = s.readStream.schema(s.read.parquet(source).schema).parquet(f"{source}*")
+    raw = s.readStream.schema(fx.raw(s, d, "events").schema).parquet(f"{d}/events.parquet*")
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
     readings = raw.select(
         F.col("ts").cast("timestamp").alias("time"),
