@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tests.llm.conftest import pairs, rows
+from llm.conftest import pairs, rows
 from zoneflow.llm import packing, sharding, simhash, suffixes, workload
 
 

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tests.llm.conftest import SMALL, pairs, rows
+from llm.conftest import SMALL, pairs, rows
 from zoneflow.llm import decontamination, licenses, quality_rules
 
 WORD, PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), re.compile(r"[^\x20\x09-\x0D]+")
