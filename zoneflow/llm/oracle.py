@@ -1,3 +1,60 @@
 """DuckDB SQL for the queries that SQL can express. The others are held against plain Python in tests/llm."""
 
-ORACLES: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_PLAIN = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_WORD = r"'[^\x20\x09-\x0D]+'"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _plain_words(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), {_PLAIN})"
+
+
+_DECONTAMINATION = f"""
+with d as (select row_number() over () as r, doc_id, {_plain_words("text")} as ws from documents),
+b as (select item_id, {_plain_words("text")} as ws from benchmark),
+bw as (select item_id, unnest(generate_series(1, greatest(len(ws) - 9, 1))) as k, ws from b where len(ws) > 0),
+wins as (select distinct item_id, array_to_string(ws[k:k + 9], ' ') as g, least(len(ws), 10) as n from bw),
+starts as (select r, n, unnest(generate_series(1, len(ws) - n + 1)) as k, ws
+           from d, (select distinct n from wins) where len(ws) >= n),
+found as (select s.r, s.k, s.n, w.item_id from starts s
+          join wins w on w.n = s.n and w.g = array_to_string(s.ws[s.k:s.k + s.n - 1], ' ')),
+hit as (select r, count(distinct p) as n_hit
+        from (select r, unnest(generate_series(k, k + n - 1)) as p from (select distinct r, k, n from found)) group by r),
+who as (select r, list_sort(list(distinct cast(item_id as varchar))) as items from found group by r)
+select d.doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+       cast(coalesce(len(items), 0) as bigint) as n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (r) left join who using (r)"""
+
+_QUALITY = f"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text, source,
+                  regexp_extract_all(coalesce(text, ''), {_WORD}) as ws from documents),
+wide as (select r, k, count(*) over (partition by r, array_to_string(ws[k:k + 4], ' ')) as c
+         from (select r, ws, unnest(generate_series(1, len(ws) - 4)) as k from d where len(ws) >= 5)),
+rep as (select r, sum(least(5, coalesce(nk - k, 5))) as n
+        from (select r, k, lead(k) over (partition by r order by k) as nk from wide where c > 1) group by r),
+ln as (select r, source, text, list_filter(list_transform(string_split(lower(text), chr(10)),
+              lambda x: trim(x, {_BLANKS})), lambda x: x <> '') as ls from d),
+lo as (select *, ls[list_position(list_transform(ls, lambda x: length(x)),
+                                  list_max(list_transform(ls, lambda x: length(x))))] as longest from ln),
+line as (select r, source, text, longest, unnest(ls) as x from lo),
+counts as (select source, x, count(distinct text) as texts, count(distinct longest) as kinds from line group by source, x),
+hosts as (select source, count(distinct text) as docs from d group by source),
+above as (select c.source, c.x from counts c join hosts h on h.source is not distinct from c.source
+          where texts > greatest(20.0, 0.05 * docs) and kinds >= 0.5 * texts),
+gone as (select l.r, sum(len(regexp_extract_all(l.x, {_WORD}))) as n from line l
+         join above a on a.x = l.x and a.source is not distinct from l.source group by l.r),
+facts as (select d.doc_id, cast(len(ws) as bigint) as n_words,
+                 cast(length(coalesce(array_to_string(ws, ''), '')) as bigint) as word_chars,
+                 cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+                 cast(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, {_WORD})))
+                    - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, {_WORD}))))
+                      as bigint) as n_dup_lines,
+                 cast(coalesce(rep.n, 0) as bigint) as n_repeat_words, cast(coalesce(gone.n, 0) as bigint) as gone
+          from d left join rep using (r) left join gone using (r))
+select * exclude (gone), n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+       not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and n_words - gone >= 0.2 * n_words as kept
+from facts"""
+
+ORACLES: dict[str, str] = {"op5_decontamination": _DECONTAMINATION, "op10_quality_rules": _QUALITY}

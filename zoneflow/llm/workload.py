@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import common, decontamination, licenses, packing, quality_rules, sharding, simhash, suffixes
+from zoneflow.llm import common, context_trees, decontamination, licenses, packing, preference, quality_rules, sharding, simhash, suffixes, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,6 +46,11 @@ def op3_packing(s: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(s, d, "documents"), vocabulary(), 1024)
 
 
+@query
+def op4_url_filters(s: SparkSession, d: str) -> DataFrame:
+    return url_filters.judge(table(s, d, "pages"))
+
+
 @query
 def op5_decontamination(s: SparkSession, d: str) -> DataFrame:
     found = decontamination.hits(table(s, d, "documents"), table(s, d, "benchmark"))
@@ -53,6 +58,22 @@ def op5_decontamination(s: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def remainder(doc_id: Column, n: int) -> Column:
+    """crc32 of the id as text, modulo n."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % n
+
+
+@query
+def op6_preference(s: SparkSession, d: str) -> DataFrame:
+    return preference.rank(table(s, d, "documents"), table(s, d, "labels"), remainder(F.col("doc_id"), 5) == 0)
+
+
+@query
+def op7_context_trees(s: SparkSession, d: str) -> DataFrame:
+    held_out = F.coalesce(remainder(F.col("doc_id"), 10) == 0, F.lit(False))
+    return context_trees.score(table(s, d, "documents"), held_out)
+
+
 @query
 def op8_licenses(s: SparkSession, d: str) -> DataFrame:
     return licenses.scan(table(s, d, "documents"))
