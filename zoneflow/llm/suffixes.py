@@ -241,6 +241,7 @@ def spans(rows: DataFrame) -> DataFrame:
     """(`_f`, `_r`, `at`, `n`): SPAN bytes from each of `n` starts from `at` on also start elsewhere. `rows`: `_f`, `_r`, `text` (binary)."""
     found = common.written(rows.mapInArrow(_runs, "_f long, _r long, at int, n int, bucket long, piece long"), "suffix-runs")
     twice = found.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
+    twice = common.written(twice, "repeated-buckets")  # else both sides of the join are one stage, and a hot bucket is not split
     found = common.written(found.join(twice, "bucket"), "repeated-runs")
     pieces = found.groupBy("bucket", "piece").agg(F.count("*").alias("times"), F.min(F.struct("_f", "_r", "at", "n")).alias("one"))
     pieces = common.written(pieces, "pieces")
