@@ -150,3 +150,20 @@ def test_weather_append_replay(spark, tmp_path):
 def test_kafka_source_needs_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         ingest.topic_source(spark, "localhost:1", "load")
+
+
+def test_open_hours_take_a_batch_once(spark, frame, tmp_path):
+    """Readings of one hour over two batches; a stream that starts anew adds them again, a replay does not."""
+    from zoneflow.schemas import WEATHER
+    from zoneflow.streaming import hourly
+
+    path, log = str(tmp_path / "hours"), str(tmp_path / "log")
+    ddl = "time timestamp, zone string, temperature double, precipitation double, wind_speed double, cloud_cover double"
+    for k, t in enumerate((1.0, 4.0)):
+        rows = frame([(f"2026-01-01 00:{m:02}:00", "A", t, None, 1.0, 5.0) for m in range(k + 1)], ddl)
+        rows.coalesce(1).write.mode("append").parquet(log)
+    readings = spark.readStream.schema(WEATHER).option("maxFilesPerTrigger", 1).parquet(log)
+    for _ in range(2):
+        hourly.upsert_open_hours(readings, path, str(tmp_path / "checkpoint"))
+    got = hourly.read_hours(spark, path).drop("time").collect()
+    assert [tuple(r) for r in got] == [("A", 3.0, None, 1.0, 5.0, 3)]

@@ -3,6 +3,9 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from zoneflow.operators import stations
@@ -54,17 +57,16 @@ def test_train_register_promote_predict(spark, table, tmp_path):
     assert all(300 < r.y_1h < 700 for r in preds.collect()) and preds.count() == 2
 
 
-def _lstsq_partial_r2(df: pd.DataFrame) -> float:
-    def r2(design):
-        fit, *_ = np.linalg.lstsq(design, y, rcond=None)
-        resid = y - design @ fit
-        return 1 - resid @ resid / ((y - y.mean()) @ (y - y.mean()))
-
-    y = df["y"].to_numpy()
-    dummies = [pd.get_dummies(s, drop_first=True).to_numpy(float) for s in (df["time"].dt.hour, df["time"].dt.dayofweek)]
-    base = np.hstack([np.ones((len(df), 1)), *dummies])
-    a, b = r2(base), r2(np.hstack([base, df[["c", "h"]].to_numpy()]))
-    return (b - a) / (1 - a)
+def _two_regressions(rows):
+    """Partial R2 from Spark's own fits, with and without the degree hours."""
+    rows = rows.withColumns({"hour": F.hour("time").cast("string"), "dow": F.weekday("time").cast("string")})
+    coded = [StringIndexer(inputCol=c, outputCol=f"{c}_i") for c in ("hour", "dow")]
+    hot = OneHotEncoder(inputCols=["hour_i", "dow_i"], outputCols=["hour_v", "dow_v"])
+    fits = []
+    for inputs in (["hour_v", "dow_v"], ["hour_v", "dow_v", "c", "h"]):
+        stages = [*coded, hot, VectorAssembler(inputCols=inputs, outputCol="x"), LinearRegression(featuresCol="x", labelCol="y", solver="normal", standardization=False)]
+        fits.append(Pipeline(stages=stages).fit(rows).stages[-1].summary.r2)
+    return (fits[1] - fits[0]) / (1 - fits[0])
 
 
 def test_subset_scores_equal_row_level_regression(spark):
@@ -81,9 +83,48 @@ def test_subset_scores_equal_row_level_regression(spark):
     dim = t.select("zone", "city").distinct()
     scores = {r.stations: r for r in stations.score_subsets(t, l, dim).collect()}
     assert len(scores) == 7 and scores["x + z"].n == 2
-    rows = stations.subset_observations(t, l, dim).toPandas()
-    for name, group in rows.groupby("stations"):
-        assert scores[name].partial_r2 == pytest.approx(_lstsq_partial_r2(group), abs=1e-9), name
+    rows = stations.subset_observations(t, l, dim).cache()
+    for name in scores:
+        assert scores[name].partial_r2 == pytest.approx(_two_regressions(rows.filter(F.col("stations") == name)), abs=1e-6), name
     best = stations.best_subsets(stations.score_subsets(t, l, dim)).first()
     single = max((r for r in scores.values() if r.n == 1), key=lambda r: r.partial_r2)
     assert best.best_single == single.stations and best.gain == pytest.approx(best.composite_r2 - best.single_r2)
+
+
+def test_a_zone_with_many_stations_is_refused(spark):
+    many = spark.range(stations.MOST_STATIONS + 1).select(F.lit("A").alias("zone"), F.col("id").cast("string").alias("city"))
+    assert stations.station_subsets(many.limit(stations.MOST_STATIONS)).count() == 2**stations.MOST_STATIONS - 1
+    with pytest.raises(Exception, match="zone A has over"):
+        stations.station_subsets(many).collect()
+
+
+def test_stop_round():
+    assert model.stop_round([5, 4, 3, 3.5, 3.4, 2], 2) == 3
+    assert model.stop_round([5, 4, 3, 3.5, 3.4, 2], 3) == 6
+    assert model.stop_round([1], 5) == 1
+
+
+def test_training_run_with_a_dead_price_feed(spark, table, tmp_path):
+    """One operation from features to the registry; a column that is wholly NULL, and gaps in another."""
+    gaps = table.withColumns({"lmp_total_lag_48h": F.lit(None).cast("double"), "temperature": F.when(F.hour("time") != 5, F.col("temperature"))})
+    out = model.training_run(spark, gaps, str(tmp_path), dt.datetime(2026, 3, 1), options={"max_iter": 4, "max_depth": 3}, test_days=7, val_days=7)
+    run = out["runs"].first()
+    frame = model.with_split(model.training_frame(gaps), test_days=7, val_days=7)
+    sizes = {r.split: r.n for r in frame.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    assert (run.train_rows, run.val_rows, run.test_rows) == tuple(sizes[s] for s in model.SPLITS) and run.row_count == sum(sizes.values())
+    assert {(r.horizon_h, r.split) for r in out["run_metrics"].collect()} == {(h, s) for h in (1, 24, 72) for s in model.SPLITS}
+    assert {(r.horizon_h, r.zone) for r in out["run_zones"].collect()} == {(h, z) for h in (1, 24, 72) for z in "AB"}
+    assert {r.stage for r in out["registry"].collect()} == {"Production"} and out["registry"].count() == 3
+    again = model.training_run(spark, gaps, str(tmp_path), dt.datetime(2026, 3, 2), options={"max_iter": 4, "max_depth": 3}, test_days=7, val_days=7)
+    assert again["registry"].count() == 6
+    loaded = model.Registry(spark, str(tmp_path)).load_models()
+    preds = serve.predictions(gaps, model.model_predictor(loaded))
+    assert preds.count() == 2 and preds.where("y_1h is null or y_24h is null or y_72h is null").count() == 0
+
+
+def test_no_rows_to_train_on(spark, table):
+    frame = model.with_split(model.training_frame(table), test_days=700, val_days=7)
+    models, report = model.train_all(frame)
+    assert models == {} and report.count() == 0
+    preds = serve.predictions(table, model.model_predictor(models))
+    assert preds.count() == 2 and preds.where("y_1h is null").count() == 2

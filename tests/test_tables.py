@@ -5,6 +5,7 @@ from conftest import FULL, values
 from pyspark.sql import functions as F
 
 from zoneflow import fixtures as fx
+from zoneflow import session
 from zoneflow.operators import merge
 from zoneflow.plans import serve
 from zoneflow.plans.build import SCHEMAS, Lookback, Warehouse
@@ -70,14 +71,99 @@ def test_merge_keeps_absent_keys_and_batch_repeats(frame):
     assert got == [(1.0,), (7.0,), (8.0,)]
 
 
-def test_interrupted_rewrite_is_finished(spark, frame, tmp_path):
-    """A complete result left beside the table by a run that died is applied by the next."""
-    path, keys = str(tmp_path / "load"), ["time", "zone", "source"]
-    tables.upsert_table(spark, path, LOAD, _load(frame, ("2026-01-01 00:00:00", "A", 1.0, None)), keys)
-    left = _load(frame, ("2026-01-01 00:00:00", "A", 5.0, None)).withColumn("date", F.to_date("time"))
-    left.write.parquet(f"{path}__pending")
-    tables.upsert_table(spark, path, LOAD, _load(frame, ("2026-01-03 00:00:00", "A", 2.0, None)), keys)
-    assert values(tables.read_table(spark, path, LOAD), "demand_mw") == [(2.0,), (5.0,)]
+KEYS = ["time", "zone", "source"]
+ONE = ("2026-01-01 00:00:00", "A", 1.0, None)
+
+
+def _writers(spark, frame, path):
+    """Each writer of a load table by name, with the demand values the table `[1.0]` holds after it."""
+    new = _load(frame, ("2026-01-01 00:00:00", "A", 7.0, None))
+    later = _load(frame, ("2026-01-03 00:00:00", "B", 8.0, None))
+    return {
+        "upsert": (lambda: tables.upsert_table(spark, path, LOAD, new, KEYS), [7.0]),
+        "merge": (lambda: tables.merge_table(spark, path, LOAD, later, KEYS), [1.0, 8.0]),
+        "refresh": (lambda: tables.write_table(later, path), [8.0]),
+        "append": (lambda: tables.append_batch(later, path, "x"), [1.0, 8.0]),
+        "replace": (lambda: tables.replace_zones_table(spark, path, LOAD, later, ["A"], "y"), [8.0]),
+        "absent": (lambda: tables.append_absent_hours(spark, path, LOAD, later, "z"), [1.0, 8.0]),
+    }
+
+
+@pytest.mark.parametrize("step", ["_put", "_commit", "_forget", "write_small"])
+@pytest.mark.parametrize("dead", ["upsert", "replace", "append"])
+def test_a_dead_writer_leaves_nothing(spark, frame, tmp_path, monkeypatch, dead, step):
+    """A writer stopped at any step, then a reader and each other writer."""
+    for after in ("upsert", "merge", "refresh", "append", "replace", "absent"):
+        path = str(tmp_path / after)
+        tables.upsert_table(spark, path, LOAD, _load(frame, ONE), KEYS)
+        died, done = _writers(spark, frame, path)[dead], step == "_forget"
+        with monkeypatch.context() as m:
+            m.setattr(tables, step, lambda *a, **k: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                died[0]()
+        held = values(tables.read_table(spark, path, LOAD), "demand_mw")
+        assert held == [(v,) for v in (died[1] if done else [1.0])]
+        if not done:
+            write, want = _writers(spark, frame, path)[after]
+            write()
+            assert values(tables.read_table(spark, path, LOAD), "demand_mw") == [(v,) for v in want], after
+
+
+def test_a_late_rerun_is_not_applied_over_a_refresh(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path / "load")
+    tables.write_table(_load(frame, ONE), path)
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_commit", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            tables.upsert_table(spark, path, LOAD, _load(frame, ("2026-01-01 00:00:00", "A", -5.0, None)), KEYS)
+    tables.write_table(_load(frame, ("2026-01-01 00:00:00", "A", 100.0, None)), path)
+    tables.upsert_table(spark, path, LOAD, _load(frame, ("2026-01-02 00:00:00", "A", 3.0, None)), KEYS)
+    assert sorted(values(tables.read_table(spark, path, LOAD), "demand_mw")) == [(3.0,), (100.0,)]
+
+
+def test_two_rows_of_a_key_need_an_order(spark, frame, tmp_path):
+    twice = _load(frame, ONE, ("2026-01-01 00:00:00", "A", 2.0, None))
+    for cols in (None, ["demand_mw"]):
+        with pytest.raises(ValueError, match="holds a key 2 times"):
+            tables.upsert_table(spark, str(tmp_path / "load"), LOAD, twice, KEYS, update_cols=cols)
+
+
+def test_batches_keep_their_names(spark, frame, tmp_path):
+    """After a replacement, a replay of an earlier batch still adds nothing."""
+    path = str(tmp_path / "weather")
+    row = (1.0, 0.0, 0.0, 0.0)
+    for n in (0, 1):
+        tables.append_batch(frame([(f"2026-01-0{n + 1} 00:10:00", z, *row) for z in "AB"], WEATHER_DDL), path, f"run-{n}")
+    tables.replace_zones_table(spark, path, WEATHER, frame([("2026-01-05 00:00:00", "A", *row)], WEATHER_DDL), ["A"], "again")
+    for n in (0, 1):
+        tables.append_batch(frame([(f"2026-01-0{n + 1} 00:10:00", z, *row) for z in "AB"], WEATHER_DDL), path, f"run-{n}")
+    assert tables.read_appended(spark, path, WEATHER).count() == 3
+    stored = tables._read(spark, path, tables._with_batch(WEATHER), tables.state(spark, path).parts)
+    assert {(r.zone, r.batch_id) for r in stored.collect()} == {("B", "run-0"), ("B", "run-1"), ("A", "again")}
+
+
+def test_a_lost_folder_is_an_error(spark, frame, tmp_path):
+    import shutil
+
+    path = str(tmp_path / "load")
+    assert tables.read_table(spark, path, LOAD).count() == 0
+    tables.write_table(_load(frame, ONE), path)
+    shutil.move(f"{path}/v=1", f"{tmp_path}/elsewhere")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        tables.read_table(spark, path, LOAD)
+
+
+def test_only_a_local_master_may_lack_a_shared_folder():
+    class Fake:
+        def __init__(self, master, named=None):
+            self.conf = type("C", (), {"get": lambda s, k, d: named})()
+            self.sparkContext = type("S", (), {"master": master, "getCheckpointDir": lambda s: None, "setCheckpointDir": lambda s, d: None})()
+
+    assert session.shared_dir(Fake("local[4]")).startswith("/")
+    assert session.shared_dir(Fake("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    for master in ("yarn", "local-cluster[3,2,1000]", "spark://h:7077"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_dir(Fake(master))
 
 
 def test_untouched_dates_are_not_rewritten(spark, frame, tmp_path):
@@ -85,7 +171,7 @@ def test_untouched_dates_are_not_rewritten(spark, frame, tmp_path):
     tables.upsert_table(spark, path, LOAD, _load(frame, ("2026-01-01 00:00:00", "A", 1.0, None), ("2026-01-02 00:00:00", "A", 2.0, None)), keys)
     before = {f for f in tables.read_table(spark, path, LOAD).inputFiles() if "2026-01-01" in f}
     tables.upsert_table(spark, path, LOAD, _load(frame, ("2026-01-02 00:00:00", "A", 3.0, None)), keys)
-    assert before < set(tables.read_table(spark, path, LOAD).inputFiles())
+    assert before < set(tables.read_table(spark, path, LOAD).inputFiles()) and before
 
 
 def test_replace_zones_and_backfill(spark, frame, tmp_path):
@@ -120,10 +206,10 @@ def test_snapshots(spark, tmp_path):
 
 def test_high_water_prunes(spark, frame, tmp_path):
     path = str(tmp_path / "load")
-    assert tables.high_water(tables.read_table(spark, path, LOAD)) is None
+    assert tables.high_water(spark, path, LOAD) is None
     tables.write_table(_load(frame, ("2026-01-01 00:00:00", "A", 1.0, None), ("2026-01-09 03:00:00", "A", 1.0, None)), path)
     table = tables.read_table(spark, path, LOAD)
-    mark = tables.high_water(table)
+    mark = tables.high_water(spark, path, LOAD)
     assert spark.range(1).select(mark.cast("string")).first()[0] == "2026-01-09 03:00:00"
     plan = tables.since(table, mark)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "PushedFilters: [IsNotNull(time)" in plan

@@ -33,17 +33,17 @@ def evaluate(df: DataFrame, actual: str, predicted: str, by: list[str] | None =
     )
 
 
-def error_rates(df: DataFrame, actual: str, predicted: str, by: str) -> DataFrame:
+def error_rates(df: DataFrame, actual: str, predicted: str, *by: str) -> DataFrame:
     """MAE and MAPE (percent) per group."""
     scored = _error_terms(df, actual, predicted)
     e = F.col("_e")
-    return scored.groupBy(by).agg(
+    return scored.groupBy(*by).agg(
         F.avg(F.abs(e)).alias("mae"), (F.avg(pct_error(e, F.col(actual))) * 100).alias("mape")
     )
 
 
-def zone_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    return error_rates(df, actual, predicted, "zone")
+def zone_metrics(df: DataFrame, actual: str, predicted: str, *by: str) -> DataFrame:
+    return error_rates(df, actual, predicted, *by, "zone")
 
 
 def accuracy_stats(history: DataFrame) -> DataFrame:

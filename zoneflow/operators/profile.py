@@ -80,3 +80,8 @@ def binned_mi(
         "feature", ((F.col("n") / total) * F.ln(F.col("n") * total / (by_bin * by_target))).alias("term")
     )
     return terms.groupBy("feature").agg(F.sum("term").alias("mi"))
+
+
+def information_ranking(mi: DataFrame) -> DataFrame:
+    """Features by what they say about the target, most first; equal ones by name."""
+    return mi.orderBy(F.desc("mi"), "feature")

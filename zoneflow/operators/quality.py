@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,3 +91,27 @@ def sparse_hours(weather_features: DataFrame, expected: int = EXPECTED_POLLS) ->
 
 def report(checks: list[DataFrame]) -> DataFrame:
     return union_all(*checks)
+
+
+@dataclass(frozen=True)
+class TableTests:
+    """What has to hold for one table. `parents`: column to (table, column) that has all its values."""
+
+    not_null: tuple[str, ...] = ()
+    unique: tuple[str, ...] = ()
+    accepted: dict[str, list[str]] = field(default_factory=dict)
+    parents: dict[str, tuple[str, str]] = field(default_factory=dict)
+
+
+def contract_report(tables: dict[str, DataFrame], contract: dict[str, TableTests]) -> DataFrame:
+    """(table_name, check_name, column_name, failures) of every declared test. All checks on single
+    rows are one pass over a table; a key and a parent are one more each."""
+    out = []
+    for name, tests in contract.items():
+        df = tables[name]
+        checks = [row_checks(df, tests.not_null, tests.accepted)] if tests.not_null or tests.accepted else []
+        if tests.unique:
+            checks.append(unique_keys(df, list(tests.unique)))
+        checks += [relationship(df, c, tables[t], p) for c, (t, p) in tests.parents.items()]
+        out += [c.select(F.lit(name).alias("table_name"), "*") for c in checks]
+    return report(out)

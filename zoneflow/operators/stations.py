@@ -15,6 +15,8 @@ from zoneflow.functions.calendar import degree_hours_f
 from zoneflow.functions.clock import plus_hours
 from zoneflow.functions.display import c_to_f
 
+#: Stations of a zone at most; the observations are multiplied by all subsets of them.
+MOST_STATIONS = 10
 SUBSET = ["zone", "mask"]
 MOMENTS = ["y", "c", "h"]
 SCORES = "zone string, mask int, n int, stations string, partial_r2 double"
@@ -24,6 +26,9 @@ def station_subsets(candidates: DataFrame) -> DataFrame:
     """Every non-empty subset of a zone's stations as a bit mask. `candidates` is the station
     list (zone, city), a handful per zone."""
     zones = candidates.groupBy("zone").agg(F.sort_array(F.collect_set("city")).alias("cities"))
+    too_many = F.concat(F.lit("zone "), "zone", F.lit(f" has over {MOST_STATIONS} stations: their subsets double with each"))
+    checked = F.when(F.size("cities") > MOST_STATIONS, F.raise_error(too_many)).otherwise(F.col("cities"))
+    zones = zones.withColumn("cities", checked)
     masks = F.expr("sequence(1, shiftleft(1, size(cities)) - 1)")
     subset = F.filter("cities", lambda c, i: F.getbit(F.col("mask"), i) == 1)
     return (
@@ -33,8 +38,9 @@ def station_subsets(candidates: DataFrame) -> DataFrame:
     )
 
 
-def station_pivot(temps: DataFrame, cities: list[str]) -> DataFrame:
-    """One column per named station, mean where a station reports twice."""
+def station_pivot(temps: DataFrame, candidates: DataFrame) -> DataFrame:
+    """One column per station of the station list, mean where a station reports twice."""
+    cities = sorted(r.city for r in candidates.select("city").distinct().collect())
     return temps.groupBy("zone", "time").pivot("city", cities).agg(F.avg("temperature"))
 
 
@@ -43,19 +49,17 @@ def subset_observations(temps: DataFrame, load: DataFrame, candidates: DataFrame
 
     `temps` is (time = hour beginning, zone, city, temperature), `load` is (time, zone,
     demand_mw). Stations missing in an hour are left out of its mean. Load is joined before
-    the rows are multiplied by the subsets. The subsets are joined on the zone alone, which
-    suits a broadcast only: pass `candidates` as a file or a written table, so that Spark
-    knows how small it is.
+    the rows are multiplied by the subsets. A reading meets the subsets of its own station, so the
+    join is on zone and station and adaptive execution can split it; the mean is computed once for
+    each subset and hour. Pass `candidates` as a file or a written table, so that Spark knows how
+    small it is and can broadcast it.
     """
+    subsets = station_subsets(candidates)
     per_city = temps.groupBy("zone", "time", "city").agg(F.avg("temperature").alias("t"))
-    entry = F.struct("city", "t")
-    hourly = per_city.groupBy("zone", "time").agg(F.map_from_entries(F.collect_list(entry)).alias("by_city"))
-    joined = hourly.withColumn("time", plus_hours("time", 1)).join(load, ["zone", "time"])
-    rows = joined.join(station_subsets(candidates), "zone")
-    known = F.filter(F.transform("subset", lambda c: F.try_element_at("by_city", c)), lambda t: t.isNotNull())
-    total = F.aggregate(known, F.lit(0.0), lambda acc, t: acc + t)
-    mean_c = F.when(F.size(known) > 0, total / F.size(known))
-    rows = rows.withColumn("temp_f", c_to_f(mean_c)).transform(degree_hours_f)
+    joined = per_city.withColumn("time", plus_hours("time", 1)).join(load, ["zone", "time"])
+    member = subsets.select("zone", "mask", "n", "stations", F.explode("subset").alias("city"))
+    rows = joined.join(member, ["zone", "city"]).groupBy("zone", "time", "mask", "n", "stations", "demand_mw").agg(F.avg("t").alias("mean_c"))
+    rows = rows.withColumn("temp_f", c_to_f(F.col("mean_c"))).transform(degree_hours_f)
     return rows.select(
         "zone", "mask", "n", "stations", "time",
         F.col("demand_mw").alias("y"), F.col("cdh").alias("c"), F.col("hdh").alias("h"),
@@ -74,37 +78,24 @@ def _cells(observations: DataFrame) -> DataFrame:
     )
 
 
-def _rss(y: np.ndarray, design: np.ndarray) -> float:
-    fit, *_ = np.linalg.lstsq(design, y, rcond=None)
-    residual = y - design @ fit
-    return float(residual @ residual)
-
-
 def _partial_r2(cells: pd.DataFrame) -> float | None:
-    """(R2 with degree hours - R2 without) / (1 - R2 without), which is 1 - RSS / RSS0.
+    """Share of demand's scatter, given hour and weekday, that the degree hours explain.
 
-    A cell stands for its rows: one row of its means, weighted by the root of its count.
-    What varies inside cells does not touch the dummies, so the summed within-cell scatter
-    is added as three more rows, the square root of that 3 x 3 matrix.
+    From summed moments alone. `between` holds the moments of the cell means with the hour and
+    weekday marks; sweeping the marks out of it and adding the scatter inside cells leaves the
+    3 x 3 moments of y, c, h given the marks.
     """
-    root = np.sqrt(cells["w"].to_numpy(float))
-    dummies = [np.ones(len(cells))]
-    for name in ("hour", "dow"):
-        codes = cells[name].to_numpy()
-        dummies += [(codes == k).astype(float) for k in np.unique(codes)[1:]]
-    base = np.column_stack(dummies) * root[:, None]
-    means = cells[MOMENTS].to_numpy(float) * root[:, None]
-    scatter = np.zeros((3, 3))
+    w = cells["w"].to_numpy(float)
+    marks = pd.get_dummies(cells[["hour", "dow"]].astype("category")).to_numpy(float)
+    means = cells[MOMENTS].to_numpy(float)
+    corner = np.linalg.pinv(marks.T @ (marks * w[:, None]), hermitian=True)
+    cross = marks.T @ (means * w[:, None])
+    left = means.T @ (means * w[:, None]) - cross.T @ corner @ cross
     for i, a in enumerate(MOMENTS):
-        for j, b in enumerate(MOMENTS[i:], start=i):
-            scatter[i, j] = scatter[j, i] = cells[f"s_{a}{b}"].sum()
-    values, vectors = np.linalg.eigh(scatter)
-    within = np.sqrt(np.clip(values, 0, None))[:, None] * vectors.T
-    rows = np.vstack([means, within])
-    design = np.vstack([base, np.zeros((3, base.shape[1]))])
-    rss0 = _rss(rows[:, 0], design)
-    rss = _rss(rows[:, 0], np.column_stack([design, rows[:, 1:]]))
-    return None if rss0 <= 0 else 1 - rss / rss0
+        for j, b in enumerate(MOMENTS):
+            left[i, j] += cells["s_" + (a + b if i <= j else b + a)].sum()
+    total, shared = left[0, 0], left[0, 1:]
+    return None if total <= 0 else float(shared @ np.linalg.pinv(left[1:, 1:], hermitian=True) @ shared / total)
 
 
 def _score(cells: pd.DataFrame) -> pd.DataFrame:

@@ -93,7 +93,7 @@ class Warehouse:
 
     def _refresh(self, name: str, model: Callable[[Column | None], DataFrame], full: bool) -> None:
         """Run one model: in full, or from the high-water mark of its own table."""
-        newest = None if full else tables.high_water(self.table(name))
+        newest = None if full else tables.high_water(self.spark, self.path(name), SCHEMAS[name])
         if newest is None:
             tables.write_table(model(None).select(*SCHEMAS[name].names), self.path(name))
         else:

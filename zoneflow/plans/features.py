@@ -58,8 +58,7 @@ def lmp_features(stg_lmp: DataFrame, since: Column | None = None) -> DataFrame:
 
 
 def weather_features(stg_weather: DataFrame, since: Column | None = None) -> DataFrame:
-    """Polls collapsed to the hour they end in. Precipitation is a preceding-hour total on
-    every poll, so it is averaged like the rest."""
+    """Means of all polls of an hour, under the hour's end."""
     kept = stg_weather if since is None else stg_weather.filter(F.col("time") >= since)
     return kept.groupBy(hour_ending("time").alias("time"), "zone").agg(
         *[F.avg(c).alias(c) for c in WEATHER_COLS], F.count("*").alias("observation_count")

@@ -6,7 +6,7 @@ import datetime as dt
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +17,12 @@ from zoneflow.functions.clock import minus_days, minus_months
 from zoneflow.operators import metrics
 from zoneflow.plans.features import build_labels
 from zoneflow.schemas import HORIZONS, REGISTRY
+from zoneflow.session import materialize
 from zoneflow.sources.tables import read_or_empty
 
 TEST_MONTHS = 7
 VAL_MONTHS = 12
-# not model inputs: the split key, the raw target, and a weather diagnostic
+# columns of the feature table that no model gets
 NON_FEATURES = ["time", "demand_mw", "observation_count"]
 SPLITS = ["train", "val", "test"]
 STAGING, PRODUCTION, ARCHIVED = "Staging", "Production", "Archived"
@@ -83,53 +84,87 @@ def with_split(
     return df.withColumn("split", F.when(t >= test_start, "test").when(t >= val_start, "val").otherwise("train"))
 
 
+MISSING = "_missing"
+
+
+def _inputs(df: DataFrame, fit_on: DataFrame) -> tuple[list, list[str]]:
+    """Stages that make every input a number, and the vector's columns.
+
+    Trees here take no NULL: a missing value becomes the column's mean over the rows to fit on,
+    or 0 where there is none (a feed that is down), and a second column says that it was missing.
+    """
+    types = dict(df.dtypes)
+    numbers = [c for c in feature_columns(df.columns) if c != "zone"]
+    doubles = [c for c in numbers if types[c] == "double"]
+    means = fit_on.agg(*[F.avg(F.nanvl(F.col(c), F.lit(None).cast("double"))).alias(c) for c in doubles]).first()
+    filled = [f"coalesce(nanvl({c}, cast(null as double)), {float(means[c] or 0.0)!r}D) as _{c}" for c in doubles]
+    marks = [f"cast({c} is null or isnan({c}) as double) as _{c}{MISSING}" for c in doubles]
+    casts = [f"cast({c} as double) as _{c}" for c in numbers if c not in doubles]
+    columns = ["_zone", *[f"_{c}" for c in numbers], *[f"_{c}{MISSING}" for c in doubles]]
+    return [
+        SQLTransformer(statement=f"select *, {', '.join([*filled, *marks, *casts])} from __THIS__"),
+        StringIndexer(inputCol="zone", outputCol="_zone", handleInvalid="keep"),
+        VectorAssembler(inputCols=columns, outputCol="_inputs"),
+    ], columns
+
+
+def stop_round(errors: list[float], patience: int) -> int:
+    """Rounds to keep: up to the best one before `patience` rounds in a row brought no better."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def train_horizon(
-    df: DataFrame, horizon: int, max_iter: int = 100, max_depth: int = 5, patience_tol: float = 0.01
+    df: DataFrame, horizon: int, max_iter: int = 100, max_depth: int = 5, patience: int = 50
 ) -> PipelineModel:
     """Gradient-boosted trees on train rows, stopped early on val rows.
 
-    `df` has the `split` column. Missing inputs are imputed because these trees take none;
-    the zone is categorical.
+    `df` has the `split` column. Fitting ends with the best round before `patience` rounds without
+    a lower validation error; rounds after it are left out by fitting up to it again, which gives
+    the same trees. Missing inputs are filled and marked; the zone is categorical.
     """
     label = f"y_{horizon}h"
-    inputs = feature_columns(df.columns)
-    types = dict(df.dtypes)
-    doubles = [c for c in inputs if types[c] == "double"]
-    filled = [f"_{c}" for c in doubles]
-    flags = [c for c in inputs if c != "zone" and c not in doubles]
-    casts = ", ".join(f"cast({c} as double) as _{c}" for c in flags)
-    pipeline = Pipeline(
-        stages=[
-            SQLTransformer(statement=f"select *, {casts} from __THIS__" if flags else "select * from __THIS__"),
-            StringIndexer(inputCol="zone", outputCol="_zone", handleInvalid="keep"),
-            Imputer(inputCols=doubles, outputCols=filled),
-            VectorAssembler(inputCols=["_zone", *filled, *[f"_{c}" for c in flags]], outputCol="_inputs"),
-            GBTRegressor(
-                featuresCol="_inputs",
-                labelCol=label,
-                predictionCol=f"pred_{horizon}h",
-                validationIndicatorCol="_is_val",
-                validationTol=patience_tol,
-                maxIter=max_iter,
-                maxDepth=max_depth,
-                maxBins=64,
-                seed=7,
-            ),
-        ]
-    )
-    fit_on = df.filter(F.col(label).isNotNull() & (F.col("split") != "test"))
-    return pipeline.fit(fit_on.withColumn("_is_val", F.col("split") == "val"))
+    fit_on = df.filter(F.col(label).isNotNull() & (F.col("split") == "train"))
+    val = df.filter(F.col(label).isNotNull() & (F.col("split") == "val"))
+    if fit_on.isEmpty():
+        raise ValueError(f"no rows to train the {horizon} h model on")
+    stages, _ = _inputs(df, fit_on)
+    prepared = Pipeline(stages=stages).fit(fit_on)
+
+    def trees(rounds: int) -> GBTRegressor:
+        names = {"featuresCol": "_inputs", "labelCol": label, "predictionCol": f"pred_{horizon}h"}
+        return GBTRegressor(**names, maxIter=rounds, maxDepth=max_depth, maxBins=64, seed=7)
+
+    inputs = prepared.transform(fit_on).select("_inputs", label)
+    fitted = trees(max_iter).fit(inputs)
+    if not val.isEmpty():
+        errors = fitted.evaluateEachIteration(prepared.transform(val).select("_inputs", label), "squared")
+        rounds = stop_round(errors, patience)
+        if rounds < max_iter:
+            fitted = trees(rounds).fit(inputs)
+    return PipelineModel([*prepared.stages, fitted])
 
 
 def declared_inputs(model: PipelineModel) -> list[str]:
-    """The assembled inputs of a trained model, in its order."""
-    return next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    """The assembled inputs of a trained model, in its order, without the marks of missing ones."""
+    names = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    return [n for n in names if not n.endswith(MISSING)]
 
 
 def score(df: DataFrame, models: dict[int, PipelineModel]) -> DataFrame:
-    """One prediction column per horizon; the helper columns of the pipelines are dropped."""
+    """One prediction column per horizon, NULL where it has no model; helper columns are dropped."""
     keep = list(df.columns)
-    for h, model in models.items():
+    for h in sorted(set(HORIZONS) | set(models)):
+        model = models.get(h)
+        if model is None:
+            df = df.withColumn(f"pred_{h}h", F.lit(None).cast("double"))
+            keep.append(f"pred_{h}h")
+            continue
         scored = model.transform(df)
         df = scored.select(*keep, f"pred_{h}h")
         keep.append(f"pred_{h}h")
@@ -140,7 +175,7 @@ def model_predictor(models: dict[int, PipelineModel]):
     """Predictor for the read queries: y_{h}h is the forecast."""
 
     def predict(features: DataFrame) -> DataFrame:
-        return score(features, models).withColumnsRenamed({f"pred_{h}h": f"y_{h}h" for h in models})
+        return score(features, models).withColumnsRenamed({f"pred_{h}h": f"y_{h}h" for h in HORIZONS})
 
     return predict
 
@@ -152,7 +187,7 @@ def split_metrics(scored: DataFrame, horizon: int) -> DataFrame:
 
 
 def zone_report(scored: DataFrame, horizon: int) -> DataFrame:
-    """MAE and MAPE per zone on the test rows: an aggregate score can hide one bad zone."""
+    """MAE and MAPE of each zone over the test rows."""
     test = scored.filter(F.col("split") == "test")
     out = metrics.zone_metrics(test, f"y_{horizon}h", f"pred_{horizon}h")
     return out.select(F.lit(horizon).alias("horizon_h"), "zone", "mae", "mape")
@@ -241,10 +276,41 @@ def model_name(horizon: int) -> str:
 def train_all(
     frame: DataFrame, horizons: tuple[int, ...] = HORIZONS, **options
 ) -> tuple[dict[int, PipelineModel], DataFrame]:
-    """Train every horizon on a split frame; returns the models and their split metrics.
+    """Train every horizon that has rows, on a split frame; returns the models and their split metrics.
 
     `frame` is read once per boosting round, so pass a written table.
     """
-    models = {h: train_horizon(frame, h, **options) for h in horizons}
+    sizes = frame.filter("split = 'train'").agg(*[F.count(f"y_{h}h").alias(f"n{h}") for h in horizons]).first()
+    models = {h: train_horizon(frame, h, **options) for h in horizons if sizes[f"n{h}"]}
     scored = score(frame, models)
     return models, reduce(DataFrame.unionByName, [split_metrics(scored, h) for h in horizons])
+
+
+def training_run(
+    spark: SparkSession, features: DataFrame, root: str, at: dt.datetime, featureset: str = "v1",
+    source: str = "features", options: dict | None = None, **lengths,
+) -> dict[str, DataFrame]:
+    """Labels, features, split, fits, metrics, registration and promotion in one go.
+
+    Writes under `root`: the registry with its models, and for this run its row of `runs` (sizes
+    and dates of the splits), `run_metrics` (a row for each horizon and split) and `run_zones`
+    (a row for each horizon and zone). Returns these three frames and the registry.
+    """
+    table = materialize(features, "features")
+    frame = materialize(with_split(training_frame(table), newest=newest_time(table), **lengths), "training")
+    models, by_split = train_all(frame, **(options or {}))
+    scored = materialize(score(frame, models), "scored")
+    stamp = F.lit(at.isoformat()).cast("timestamp")
+    run = at.strftime("%Y%m%dT%H%M%S")
+    out = {
+        "runs": run_record(frame, featureset, source, stamp),
+        "run_metrics": by_split,
+        "run_zones": reduce(DataFrame.unionByName, [zone_report(scored, h) for h in HORIZONS]),
+    }
+    for name, df in out.items():
+        path = f"{root}/{name}/run={run}"
+        df.write.mode("overwrite").parquet(path)
+        out[name] = spark.read.schema(df.schema).parquet(path)
+    tests = {r.horizon_h: r.rmse for r in out["run_metrics"].filter("split = 'test' and rmse is not null").collect()}
+    able = {h: m for h, m in models.items() if h in tests}
+    return out | {"registry": Registry(spark, root).challenge(able, tests, at)}

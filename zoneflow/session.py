@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,17 +35,31 @@ def local_session(name: str = "zoneflow", cores: str = "*", partitions: int = 8)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named."""
+    """The shared folder the cluster names. Only a local master may do without one: there every
+    task runs on the one machine, and a temporary folder is shared."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"master {master}: name a folder that all machines share in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="zoneflow-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+_marked: set[str] = set()
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/zoneflow/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder. All of an application's are deleted when it ends."""
+    root = f"{shared_dir(spark)}/zoneflow/{spark.sparkContext.applicationId}"
+    if root not in _marked:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _marked.add(root)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -47,6 +47,10 @@ def read_metered_load(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return raw.withColumn("Interval End", parse_mixed_offsets("Interval End"))
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").csv(path, header=True)
+
+
 def write_sorted_csv(df: DataFrame, path: str, by: list[Column | str]) -> None:
     """Globally sorted: part files are in order, and so are the rows in them."""
     df.orderBy(*by).write.mode("overwrite").csv(path, header=True)

@@ -1,13 +1,20 @@
 """Time-partitioned Parquet tables and the keyed writers over them.
 
-A table is a folder partitioned by the UTC `date` of its `time`. Every key holds `time`, so
-the rows a merge can touch live in the dates of the incoming batch: only those partitions
-are read and rewritten. One writer per table at a time.
+A table is a folder of versions, `v=<n>/date=<UTC date of time>/`, and of commits. A commit is one
+small file, written last, that names the folders that make up the table; what no commit names is
+not there. So a run that dies leaves nothing that any later reader or writer would see, and its
+folder is overwritten by the next writer, whichever that is. Every key holds `time`, so the rows a
+merge can touch live in the dates of the incoming batch: only those are read and rewritten, once.
+One writer per table at a time; readers keep the version they began with until two commits later.
 """
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +26,8 @@ from zoneflow.session import materialize
 
 DATE = "date"
 BATCH = "batch_id"
+VERSION = "v"
+_COMMITS = "_commits"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -26,9 +35,9 @@ def _fs(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
-    return fs.exists(p)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -36,12 +45,81 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def read_small(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A file that is there whole or not at all."""
+    fs, target = _fs(spark, path)
+    _, part = _fs(spark, f"{path}.{uuid.uuid4().hex}.part")
+    stream = fs.create(part, True)
+    stream.write(text.encode())
+    stream.close()
+    if not fs.rename(part, target):
+        fs.delete(part, False)
+        raise FileExistsError(f"{path} is there already: another writer committed")
+
+
+@dataclass
+class State:
+    """What a commit names: folders as (date, version), and the batches that are in."""
+
+    number: int = 0
+    parts: list[tuple[str, int]] = field(default_factory=list)
+    batches: list[str] = field(default_factory=list)
+    runs: dict[str, int] = field(default_factory=dict)
+
+    def has(self, batch_id: str) -> bool:
+        m = re.fullmatch(r"(.*)-(\d+)", batch_id)
+        return self.runs.get(m[1], -1) >= int(m[2]) if m else batch_id in self.batches
+
+    def add(self, batch_id: str | None) -> None:
+        """Numbered batches of a run come in order, so the last number stands for all before it."""
+        if batch_id is None or self.has(batch_id):
+            return
+        if m := re.fullmatch(r"(.*)-(\d+)", batch_id):
+            self.runs[m[1]] = int(m[2])
+        else:
+            self.batches.append(batch_id)
+
+
+def state(spark: SparkSession, path: str) -> State:
+    """The newest commit; number 0 for a table that was never written."""
+    numbers = [int(n[:-5]) for n in _names(spark, f"{path}/{_COMMITS}") if re.fullmatch(r"\d+\.json", n)]
+    if not numbers:
+        return State()
+    said = json.loads(read_small(spark, f"{path}/{_COMMITS}/{max(numbers):08d}.json"))
+    return State(max(numbers), [tuple(p) for p in said["parts"]], said["batches"], said["runs"])
+
+
+def _commit(spark: SparkSession, path: str, new: State) -> None:
+    text = json.dumps({"parts": new.parts, "batches": new.batches, "runs": new.runs})
+    write_small(spark, f"{path}/{_COMMITS}/{new.number:08d}.json", text)
+
+
+def _forget(spark: SparkSession, path: str, before: State, now: State) -> None:
+    """Delete folders and commits that neither of the two last commits needs."""
+    live = {v for s in (before, now) for _, v in s.parts}
+    for name in _names(spark, path):
+        if name.startswith(f"{VERSION}=") and int(name[2:]) not in live:
+            _delete(spark, f"{path}/{name}")
+    for name in _names(spark, f"{path}/{_COMMITS}"):
+        if name < f"{before.number:08d}.json":
+            _delete(spark, f"{path}/{_COMMITS}/{name}")
+
+
 def _nullable(schema: T.StructType, *extra: T.StructField) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields] + list(extra))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A folder under a declared schema; an empty frame before the first write."""
+    """A plain folder under a declared schema; an empty frame before the first write."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
@@ -50,11 +128,18 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, extra: list[T.StructField] | None = None
-) -> DataFrame:
-    """The table with its `date` column."""
-    return read_or_empty(spark, path, _nullable(schema, *(extra or []), T.StructField(DATE, T.DateType())))
+def _read(spark: SparkSession, path: str, schema: T.StructType, parts: list[tuple[str, int]]) -> DataFrame:
+    """Folders that a commit names; one that is gone is an error, not an empty table."""
+    wanted = _nullable(schema, T.StructField(DATE, T.DateType()))
+    if not parts:
+        return spark.createDataFrame([], wanted)
+    folders = [f"{path}/{VERSION}={v}/{DATE}={d}" for d, v in parts]
+    return spark.read.schema(wanted).option("basePath", path).parquet(*folders).select(*wanted.names)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table with its `date` column; no rows if it was never written."""
+    return _read(spark, path, schema, state(spark, path).parts)
 
 
 def since(df: DataFrame, at: Column | None) -> DataFrame:
@@ -71,44 +156,47 @@ def _micros_literal(df: DataFrame, value: Column) -> Column | None:
     return None if micros is None else F.timestamp_micros(F.lit(micros))
 
 
-def high_water(df: DataFrame) -> Column | None:
-    """max(time) as a literal, or None for an empty table.
-
-    Two small jobs, so that what follows filters on a constant and prunes when planned: the
-    latest date needs no column data, and its time column is one partition's.
-    """
-    if DATE in df.columns:
-        latest = df.agg(F.max(DATE)).first()[0]
-        if latest is None:
-            return None
-        df = df.filter(F.col(DATE) == F.lit(latest))
+def newest_time(df: DataFrame) -> Column | None:
+    """max(time) of any frame as a literal, so that what follows filters on a constant."""
     return _micros_literal(df, F.max("time"))
 
 
+def high_water(spark: SparkSession, path: str, schema: T.StructType) -> Column | None:
+    """max(time) of a table as a literal, or None if it has no rows. The commit names the newest
+    date, so one date's files are opened."""
+    parts = state(spark, path).parts
+    for newest in sorted({d for d, _ in parts}, reverse=True):
+        mark = newest_time(_read(spark, path, schema, [p for p in parts if p[0] == newest]))
+        if mark is not None:
+            return mark
+    return None
+
+
 def _dated(df: DataFrame) -> DataFrame:
     return df.withColumn(DATE, F.to_date("time"))
 
 
-def _write(df: DataFrame, path: str, partitions: list[str], dynamic: bool) -> None:
-    """Rebalanced by date: adaptive execution splits a date that holds too much and merges
-    small ones, so no task writes a whole hot date. Sorted inside files for min/max skipping."""
-    order = [*partitions, *[c for c in ("zone", "time") if c in df.columns]]
-    writer = df.hint("rebalance", *partitions).sortWithinPartitions(*order).write.mode("overwrite")
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partitions).parquet(path)
-
+def _put(spark: SparkSession, path: str, df: DataFrame, before: State, keep: Callable[[str], bool], batch_id: str | None = None) -> None:
+    """Write `df` as the next version and commit it together with the folders of the dates that `keep` says.
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Full refresh. `df` must not read from `path`."""
-    _write(_dated(df), path, [DATE], dynamic=False)
+    Rebalanced by date: adaptive execution splits a date that holds too much and merges small
+    ones, so no task writes a whole hot date. Sorted inside files for min/max skipping.
+    """
+    number = before.number + 1
+    order = [DATE, *[c for c in ("zone", "time") if c in df.columns]]
+    rows = _dated(df).hint("rebalance", DATE).sortWithinPartitions(*order)
+    rows.write.mode("overwrite").partitionBy(DATE).parquet(f"{path}/{VERSION}={number}")
+    dates = [n[len(DATE) + 1 :] for n in _names(spark, f"{path}/{VERSION}={number}") if n.startswith(f"{DATE}=")]
+    now = State(number, [p for p in before.parts if keep(p[0])] + [(d, number) for d in sorted(dates)], list(before.batches), dict(before.runs))
+    now.add(batch_id)
+    _commit(spark, path, now)
+    _forget(spark, path, before, now)
 
 
-def _apply_pending(spark: SparkSession, path: str) -> None:
-    pending = f"{path}__pending"
-    if _exists(spark, f"{pending}/_SUCCESS"):
-        _write(spark.read.parquet(pending), path, [DATE], dynamic=True)
-    _delete(spark, pending)
+def write_table(df: DataFrame, path: str) -> None:
+    """Full refresh."""
+    spark = df.sparkSession
+    _put(spark, path, df, state(spark, path), lambda date: False)
 
 
 def rewrite_dates(
@@ -118,19 +206,21 @@ def rewrite_dates(
     new: DataFrame,
     combine: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> None:
-    """Replace the partitions of the dates in `new` by combine(old rows, new rows).
-
-    The result is first written in full beside the table and then copied over it. A run that
-    dies during the copy leaves the complete result behind, and the next run applies it.
-    """
-    _apply_pending(spark, path)
+    """Replace the rows of the dates in `new` by combine(old rows, new rows)."""
     # bounded by the calendar, whatever the number of rows
-    dates = [r[0] for r in new.select(F.to_date("time")).distinct().collect()]
+    dates = {str(r[0]) for r in new.select(F.to_date("time")).distinct().collect()}
     if not dates:
         return
-    old = read_table(spark, path, schema).filter(F.col(DATE).isin(dates)).drop(DATE)
-    _dated(combine(old, new.select(*schema.fieldNames()))).write.parquet(f"{path}__pending")
-    _apply_pending(spark, path)
+    before = state(spark, path)
+    old = _read(spark, path, schema, [p for p in before.parts if p[0] in dates]).drop(DATE)
+    _put(spark, path, combine(old, new.select(*schema.fieldNames())), before, lambda date: date not in dates)
+
+
+def _unique(batch: DataFrame, keys: list[str]) -> DataFrame:
+    twice = batch.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").first()
+    if twice:
+        raise ValueError(f"a batch without an order column holds a key {twice['n']} times: {twice}")
+    return batch
 
 
 def upsert_table(
@@ -142,9 +232,9 @@ def upsert_table(
     order_col: str | None = None,
     update_cols: list[str] | None = None,
 ) -> None:
-    """Last write wins on `keys`, or only for `update_cols`."""
-    if order_col:
-        batch = merge.last_per_key(batch, keys, order_col)
+    """Last write wins on `keys`, or only for `update_cols`. Keys of a batch are unique, or
+    `order_col` says which row is the last."""
+    batch = merge.last_per_key(batch, keys, order_col) if order_col else _unique(batch, keys)
     rewrite_dates(
         spark, path, schema, batch, lambda old, new: merge.keyed_upsert(old, new, keys, None, update_cols)
     )
@@ -156,49 +246,47 @@ def merge_table(spark: SparkSession, path: str, schema: T.StructType, new: DataF
     rewrite_dates(spark, path, schema, staged, lambda old, n: merge.incremental_merge(old, n, keys))
 
 
-def append_batch(df: DataFrame, path: str, batch_id: str) -> None:
-    """Append rows as their own (date, batch) partitions: writing the same batch again
-    replaces it instead of adding it twice."""
-    _write(_dated(df).withColumn(BATCH, F.lit(batch_id)), path, [DATE, BATCH], dynamic=True)
+def _with_batch(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
 
 
-def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return read_table(spark, path, schema, [T.StructField(BATCH, T.StringType())]).drop(BATCH)
+def append_batch(df: DataFrame, path: str, batch_id: str) -> None:
+    """Append rows; a batch that is in already is not written again."""
+    spark = df.sparkSession
+    before = state(spark, path)
+    if not before.has(batch_id):
+        _put(spark, path, df.withColumn(BATCH, F.lit(batch_id)), before, lambda date: True, batch_id)
 
 
-def _finish_swap(spark: SparkSession, path: str) -> None:
-    """Put a complete next version of the table in place of the old one."""
-    ready = f"{path}__next"
-    if _exists(spark, f"{ready}/_SUCCESS"):
-        fs, source = _fs(spark, ready)
-        _delete(spark, path)
-        fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(path))
+def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return read_table(spark, path, schema)
 
 
 def replace_zones_table(
     spark: SparkSession, path: str, schema: T.StructType, new: DataFrame, zones: list[str], batch_id: str
 ) -> None:
-    """Delete all rows of the listed zones, then insert `new`. Any date can hold such
-    rows, so the next version of the table is written beside it and then takes its place;
-    a run that dies in between is finished by the next one."""
-    _finish_swap(spark, path)
-    old = read_appended(spark, path, schema).drop(DATE)
-    replaced = merge.replace_zones(old, new.select(*schema.fieldNames()), zones)
-    _write(_dated(replaced).withColumn(BATCH, F.lit(batch_id)), f"{path}__next", [DATE, BATCH], dynamic=False)
-    _finish_swap(spark, path)
+    """Delete all rows of the listed zones, then insert `new`. Dates without such rows stay as
+    they are; rows that stay keep their batch."""
+    before = state(spark, path)
+    held = _read(spark, path, _with_batch(schema), before.parts)
+    fresh = new.select(*schema.fieldNames()).withColumn(BATCH, F.lit(batch_id))
+    hit = held.filter(F.col("zone").isin(zones)).select(DATE).union(fresh.select(F.to_date("time"))).distinct()
+    dates = {str(r[0]) for r in hit.collect()}
+    old = _read(spark, path, _with_batch(schema), [p for p in before.parts if p[0] in dates]).drop(DATE)
+    _put(spark, path, merge.replace_zones(old, fresh, zones), before, lambda date: date not in dates, batch_id)
 
 
 def append_absent_hours(
     spark: SparkSession, path: str, schema: T.StructType, candidates: DataFrame, batch_id: str
 ) -> None:
     """Append the candidate rows of hours the table does not hold."""
-    held = read_appended(spark, path, schema)
+    before = state(spark, path)
     bounds = candidates.agg(F.to_date(F.min("time")), F.to_date(F.max("time"))).first()
-    if bounds[0] is None:
+    if before.has(batch_id) or bounds[0] is None:
         return
-    held = held.filter(F.col(DATE).between(*map(F.lit, bounds)))
-    staged = materialize(merge.absent_hours(held, candidates.select(*schema.fieldNames())), "absent")
-    append_batch(staged, path, batch_id)
+    held = _read(spark, path, schema, [p for p in before.parts if str(bounds[0]) <= p[0] <= str(bounds[1])])
+    absent = merge.absent_hours(held, candidates.select(*schema.fieldNames()))
+    _put(spark, path, absent.withColumn(BATCH, F.lit(batch_id)), before, lambda date: True, batch_id)
 
 
 def append_snapshot(df: DataFrame, path: str, synced_at: Column) -> None:

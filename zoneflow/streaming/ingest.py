@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,15 @@ from zoneflow.schemas import MESSAGE, Contract
 from zoneflow.sources import tables
 
 
+#: A micro-batch is decoded, counted and written; these bounds keep one small, also on a first run.
+OFFSETS_PER_BATCH, FILES_PER_BATCH = 5_000_000, 64
+
+
 def topic_source(
     spark: SparkSession,
     servers: str,
     topic: str,
-    offsets_per_batch: int | None = None,
+    offsets_per_batch: int | None = OFFSETS_PER_BATCH,
     min_partitions: int | None = None,
 ) -> DataFrame:
     """Topic from its earliest offset. Needs the Kafka connector on the classpath; progress
@@ -48,7 +53,7 @@ def topic_sink(messages: DataFrame, servers: str, topic: str) -> None:
     ).option("topic", topic).save()
 
 
-def file_source(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+def file_source(spark: SparkSession, path: str, files_per_batch: int | None = FILES_PER_BATCH) -> DataFrame:
     """Messages as Parquet files of (key, value, offset): a topic's stand-in."""
     reader = spark.readStream.schema(MESSAGE)
     if files_per_batch:
@@ -62,9 +67,14 @@ class IngestResult:
     dead_lettered: int = 0
 
 
-def _query_id(spark: SparkSession, checkpoint: str) -> str:
-    """Identity of the query, fixed for the life of its checkpoint."""
-    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """Identity of a stream: written into its checkpoint folder once, so it is gone with it."""
+    path = f"{checkpoint}/zoneflow-run"
+    try:
+        tables.write_small(spark, path, uuid.uuid4().hex)
+    except FileExistsError:
+        pass
+    return tables.read_small(spark, path)
 
 
 def write_batch(
@@ -92,12 +102,12 @@ def drain(
     messages: DataFrame, contract: Contract, table_path: str, dlq_path: str, checkpoint: str
 ) -> IngestResult:
     """Take what is available now, write it, stop. A failed batch is taken again next time,
-    because its offsets are only recorded after it was written."""
+    because its offsets are only recorded after it was written. Counts are of all batches."""
     total = IngestResult()
+    run = run_id(messages.sparkSession, checkpoint)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        tag = f"{_query_id(batch.sparkSession, checkpoint)}-{batch_id}"
-        done = write_batch(batch, contract, table_path, dlq_path, tag)
+        done = write_batch(batch, contract, table_path, dlq_path, f"{run}-{batch_id}")
         total.written += done.written
         total.dead_lettered += done.dead_lettered
 

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from zoneflow import fixtures as fx
 from zoneflow import session
-from zoneflow.functions import calendar, clock, codec, display
+from zoneflow.functions import calendar, clock, codec, display, numbers
 from zoneflow.operators import merge, metrics, profile, quality, stations, territory
+from zoneflow.operators.series import day_index
 from zoneflow.plans import features as feats
 from zoneflow.plans import model, serve, staging
-from zoneflow.schemas import CONTRACTS, HORIZONS, LMP, LOAD, SOURCES, TOTAL_ZONE, WEATHER, WEATHER_COLS
-from zoneflow.sources import tables
+from zoneflow.plans.build import SCHEMAS, Warehouse
+from zoneflow.schemas import CONTRACTS, HORIZONS, LMP, LOAD, MESSAGE, SOURCES, STATION_SEED, TOTAL_ZONE, WEATHER, WEATHER_COLS
+from zoneflow.sources import files, tables
 from zoneflow.streaming import hourly, ingest, shaping
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +33,19 @@ def query(fn: Query) -> Query:
     return fn
 
 
+_STATION = {"zone": ("stations", "zone_id")}
+#: The data contract of the built tables.
+TABLE_TESTS = {
+    "stg_load": quality.TableTests(("time", "zone", "source", "demand_mw"), accepted={"zone": [*fx.ZONES, TOTAL_ZONE], "source": SOURCES}),
+    "stg_lmp": quality.TableTests(("time", "pnode_id", "zone"), ("time", "pnode_id"), parents=_STATION),
+    "stg_weather": quality.TableTests(("time", "zone"), parents=_STATION),
+    "load_features": quality.TableTests(("time", "zone", "demand_mw"), ("time", "zone"), parents=_STATION),
+    "lmp_features": quality.TableTests(("time", "zone"), ("time", "zone"), parents=_STATION),
+    "weather_features": quality.TableTests(("time", "zone", "observation_count"), ("time", "zone"), parents=_STATION),
+    "features": quality.TableTests(("time", "zone", "demand_mw"), ("time", "zone"), parents=_STATION),
+}
+
+
 # --- inputs the queries share ---------------------------------------------------------
 
 
@@ -39,7 +54,9 @@ def _stg_load(s: SparkSession, d: str) -> DataFrame:
 
 
 def _load_features(s: SparkSession, d: str, **kw) -> DataFrame:
-    return feats.load_features(_stg_load(s, d), fx.ZONES, **kw)
+    """From a written base and its written day index, so that each is made once and Spark sees their sizes."""
+    base = session.materialize(feats.modelled_load(_stg_load(s, d), fx.ZONES).withColumn("source", F.lit("pjm")), "base")
+    return feats.load_features(base, fx.ZONES, index=session.materialize(day_index(base, "zone"), "days"), **kw)
 
 
 def _stg_lmp(s: SparkSession, d: str) -> DataFrame:
@@ -63,8 +80,14 @@ def _predictions(s: SparkSession, d: str) -> DataFrame:
 
 
 def _feature_table(s: SparkSession, d: str) -> DataFrame:
-    """The feature table as its readers find it: written. For queries that read it twice."""
-    return session.materialize(_features(s, d), "features")
+    """The feature table as its readers find it: written by date, with its `date`."""
+    path = session.scratch(s, "features")
+    tables.write_table(_features(s, d), path)
+    return tables.read_table(s, path, SCHEMAS["features"])
+
+
+def _feature_rows(s: SparkSession, d: str) -> DataFrame:
+    return _feature_table(s, d).drop(tables.DATE)
 
 
 def _system_history(s: SparkSession, d: str) -> DataFrame:
@@ -213,7 +236,7 @@ def delete_insert_incremental(s: SparkSession, d: str) -> DataFrame:
     stg = _stg_load(s, d)
     before = feats.load_features(stg.filter(F.col("time") < clock.utc_literal(CUT)), fx.ZONES)
     old = session.materialize(before, "load-features")
-    newest = tables.high_water(old)
+    newest = tables.newest_time(old)
     new = feats.load_features(
         stg, fx.ZONES, read_since=clock.minus_days(newest, 15), write_since=clock.minus_days(newest, 8)
     )
@@ -226,7 +249,7 @@ def weather_incremental(s: SparkSession, d: str) -> DataFrame:
     weather = fx.weather(s, d).withColumn("time", clock.hour_start("time"))
     before = staging.stg_weather(weather.filter(F.col("time") < clock.utc_literal(CUT)), fx.ZONES)
     old = session.materialize(before, "stg-weather")
-    newest = tables.high_water(old)
+    newest = tables.newest_time(old)
     new = staging.stg_weather(weather, fx.ZONES, since=clock.minus_days(newest, 1))
     return merge.incremental_merge(old, new, ["time", "zone"])
 
@@ -301,59 +324,218 @@ def dlq_split(s: SparkSession, d: str) -> DataFrame:
     return codec.split_valid(decoded, CONTRACTS["load"])[1]
 
 
-def _drained(s: SparkSession, messages: DataFrame, topic: str) -> str:
-    """Write messages as a topic, drain it into its table, return the folder of both."""
+def _in_order(rows: DataFrame, by: str, path: str, parts: int = 3) -> None:
+    """A log of one partition: files one after the other, as a file stream takes the older file first."""
+    number = F.unix_micros(by) if by == "time" else F.col(by)
+    low, high = rows.agg(F.min(number), F.max(number)).first()
+    for k in range(parts):
+        share = F.least(F.floor((number - low) * parts / (high - low + 1)), F.lit(parts - 1))
+        rows.filter(share == k).coalesce(1).write.mode("append").parquet(path)
+
+
+def _drained(s: SparkSession, messages: DataFrame, topic: str) -> tuple[str, ingest.IngestResult]:
+    """Write messages as a topic, drain it into its table in a few batches; the folder of both, the counts."""
     root = session.scratch(s, f"stream-{topic}")
-    messages.repartitionByRange("offset").write.parquet(f"{root}/topic")
-    source = ingest.file_source(s, f"{root}/topic")
-    ingest.drain(source, CONTRACTS[topic], f"{root}/table", f"{root}/dlq", f"{root}/checkpoint")
-    return root
+    _in_order(messages, "offset", f"{root}/topic")
+    source = ingest.file_source(s, f"{root}/topic", files_per_batch=1)
+    return root, ingest.drain(source, CONTRACTS[topic], f"{root}/table", f"{root}/dlq", f"{root}/checkpoint")
 
 
 @query
 def stream_upsert(s: SparkSession, d: str) -> DataFrame:
-    root = _drained(s, fx.load_messages(s, d), "load")
+    root, _ = _drained(s, fx.load_messages(s, d), "load")
     return tables.read_table(s, f"{root}/table", LOAD).drop(tables.DATE)
 
 
 @query
 def stream_dead_letters(s: SparkSession, d: str) -> DataFrame:
-    root = _drained(s, fx.load_messages(s, d), "load")
-    return s.read.parquet(f"{root}/dlq").drop(tables.BATCH)
+    root, _ = _drained(s, fx.load_messages(s, d), "load")
+    return tables.read_or_empty(s, f"{root}/dlq", MESSAGE).drop(tables.BATCH)
 
 
 @query
 def stream_lmp_upsert(s: SparkSession, d: str) -> DataFrame:
-    root = _drained(s, fx.price_messages(s, d), "lmp")
+    root, _ = _drained(s, fx.price_messages(s, d), "lmp")
     return tables.read_table(s, f"{root}/table", LMP).drop(tables.DATE)
 
 
 @query
 def stream_weather_append(s: SparkSession, d: str) -> DataFrame:
-    root = _drained(s, fx.weather_messages(s, d), "weather")
+    root, _ = _drained(s, fx.weather_messages(s, d), "weather")
     return tables.read_appended(s, f"{root}/table", WEATHER).drop(tables.DATE)
 
 
+def _reading_stream(s: SparkSession, d: str, root: str) -> DataFrame:
+    """Weather readings as a stream of several batches."""
+    rows = fx.weather(s, d)
+    _in_order(rows, "time", f"{root}/readings")
+    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/readings")
+
+
 @query
 def stream_weather_hourly(s: SparkSession, d: str) -> DataFrame:
+    """Every hour, the open ones too, from sums that each batch adds to."""
+    root = session.scratch(s, "stream-hours")
+    hourly.upsert_open_hours(_reading_stream(s, d, root), f"{root}/hours", f"{root}/checkpoint")
+    return hourly.read_hours(s, f"{root}/hours")
+
+
+@query
+def stream_weather_closed_hours(s: SparkSession, d: str) -> DataFrame:
     """Hours closed by the watermark, which trails the newest reading by a day."""
     root = session.scratch(s, "stream-weather")
-    # the glob makes the path valid for one file as well as for a folder of them
-    raw = s.readStream.schema(fx.raw(s, d, "events").schema).parquet(f"{d}/events.parquet*")
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    readings = raw.select(
-        F.col("ts").cast("timestamp").alias("time"),
-        F.col("event_type").alias("zone"),
-        (k - 20).cast("double").alias("temperature"),
-        (F.col("event_id") % 10).cast("double").alias("precipitation"),
-        (F.col("user_id") % 40).cast("double").alias("wind_speed"),
-        k.cast("double").alias("cloud_cover"),
-    )
-    out = hourly.hourly_weather(readings)
+    out = hourly.hourly_weather(_reading_stream(s, d, root), "1 day")
     hourly.append_closed_hours(out, f"{root}/hours", f"{root}/checkpoint")
     return s.read.schema(out.schema).parquet(f"{root}/hours")
 
 
+@query
+def drain_counts(s: SparkSession, d: str) -> DataFrame:
+    """What a drain of several batches says that it wrote and set aside."""
+    done = _drained(s, fx.load_messages(s, d), "load")[1]
+    return s.range(1).select(F.lit(done.written).cast("long").alias("written"), F.lit(done.dead_lettered).cast("long").alias("dead_lettered"))
+
+
+# --- the tables themselves ------------------------------------------------------------
+
+
+@query
+def table_upsert(s: SparkSession, d: str) -> DataFrame:
+    """All valid messages in three batches, each with revisions of the ones before."""
+    path = session.scratch(s, "table")
+    rows = session.materialize(codec.split_valid(codec.decode_messages(fx.load_messages(s, d), CONTRACTS["load"]), CONTRACTS["load"])[0], "rows")
+    third = rows.agg(F.max("offset")).first()[0] // 3 + 1
+    for k in range(3):
+        batch = rows.filter(F.floor(F.col("offset") / third) == k)
+        tables.upsert_table(s, path, LOAD, batch, ["time", "zone", "source"], "offset")
+    return tables.read_table(s, path, LOAD).drop(tables.DATE)
+
+
+@query
+def table_partial_upsert(s: SparkSession, d: str) -> DataFrame:
+    path, keys = session.scratch(s, "table"), ["time", "zone", "source"]
+    tables.upsert_table(s, path, LOAD, fx.load_stream_rows(s, d), keys, "offset")
+    tables.upsert_table(s, path, LOAD, fx.load(s, d), keys, update_cols=["demand_mw", "is_verified"])
+    return tables.read_table(s, path, LOAD).drop(tables.DATE)
+
+
+@query
+def table_replace_zones(s: SparkSession, d: str) -> DataFrame:
+    path = session.scratch(s, "table")
+    tables.append_batch(fx.weather(s, d), path, "history")
+    tables.replace_zones_table(s, path, WEATHER, _restationed(s, d), RESTATIONED, "restationed")
+    return tables.read_appended(s, path, WEATHER).drop(tables.DATE)
+
+
+@query
+def table_backfill(s: SparkSession, d: str) -> DataFrame:
+    path = session.scratch(s, "table")
+    tables.append_batch(fx.weather(s, d), path, "history")
+    wanted = _hour_grid(s, d).withColumns({c: F.hour("time").cast("double") for c in WEATHER_COLS})
+    for _ in range(2):  # a second run adds nothing
+        tables.append_absent_hours(s, path, WEATHER, wanted, "backfill")
+    return tables.read_appended(s, path, WEATHER).drop(tables.DATE)
+
+
+@query
+def table_snapshots(s: SparkSession, d: str) -> DataFrame:
+    """Every month's snapshot written to the log, the last one read."""
+    path, rows = session.scratch(s, "table"), fx.facility_snapshots(s, d)
+    tables.append_snapshot(rows, path, F.col("synced_at"))
+    return tables.read_latest_snapshot(s, path, rows.drop("synced_at").schema)
+
+
+def _house(s: SparkSession, d: str, *until: str) -> Warehouse:
+    house = Warehouse(s, session.scratch(s, "house"), fx.ZONES)
+    raw = [session.materialize(f(s, d), "raw") for f in (fx.load, fx.lmp, fx.weather)]
+    for at in until:
+        house.build(*[df.filter(F.col("time") < clock.utc_literal(at)) for df in raw])
+    house.build(*raw)
+    return house
+
+
+@query
+def warehouse_incremental(s: SparkSession, d: str) -> DataFrame:
+    """Three builds, the later ones incremental; their features are those of one full build."""
+    return _house(s, d, CUT, "2024-01-28 00:00:00").read("features")
+
+
+@query
+def contract_report(s: SparkSession, d: str) -> DataFrame:
+    """The declared tests over built tables."""
+    house = _house(s, d)
+    built = {n: house.read(n) for n in TABLE_TESTS} | {"stations": fx.zone_dim(s, d)}
+    return quality.contract_report(built, TABLE_TESTS)
+
+
+@query
+def training_rows(s: SparkSession, d: str) -> DataFrame:
+    """What the models are trained on, by zone: rows, labels, known inputs."""
+    frame = model.training_frame(_feature_rows(s, d))
+    named = {"n_1h": "y_1h", "n_24h": "y_24h", "n_72h": "y_72h", "n_temperature": "temperature", "n_price": "lmp_total_lag_48h"}
+    return frame.groupBy("zone").agg(F.count("*").alias("n"), *[F.count(c).alias(n) for n, c in named.items()], F.sum("demand_lag_72h").alias("lag_sum"))
+
+
+@query
+def split_by_date(s: SparkSession, d: str) -> DataFrame:
+    return model.split_by_date(fx.order_hours(s, d), clock.utc_literal("1995-03-01 00:00:00"), clock.utc_literal("1996-07-15 12:00:00"))
+
+
+# --- files ----------------------------------------------------------------------------
+
+
+@query
+def metered_files(s: SparkSession, d: str) -> DataFrame:
+    """Metered load as CSV in two folders, each row with its own UTC offset, read as one."""
+    root, rows = session.scratch(s, "metered"), fx.load_areas(s, d)
+    local = clock.local("Interval End")
+    lag = (F.unix_seconds("Interval End") - F.unix_seconds(local)) / 3600
+    text = F.concat(F.date_format(local, "yyyy-MM-dd HH:mm:ss"), F.format_string("-%02d:00", lag.cast("int")))
+    rows = rows.withColumn("Interval End", text)
+    for k in (0, 1):
+        files.write_csv(rows.filter(F.col("Load Area") % 2 == k), f"{root}/{k}")
+    back = files.read_metered_load(s, [f"{root}/0", f"{root}/1"])
+    return back.select(F.col("Interval End").alias("time"), F.col("Zone").alias("zone"), F.col("MW").alias("mw"), F.col("Is Verified").alias("is_verified"))
+
+
+@query
+def station_seed(s: SparkSession, d: str) -> DataFrame:
+    path = session.scratch(s, "seed")
+    rows = fx.zone_dim(s, d)
+    files.write_csv(rows.select(*[rows[c] if c in rows.columns else F.lit(None).cast("string").alias(c) for c in STATION_SEED.fieldNames()]), path)
+    return files.read_stations(s, path).select("zone_id", "city")
+
+
+@query
+def sorted_csv(s: SparkSession, d: str) -> DataFrame:
+    path = session.scratch(s, "sorted")
+    rows = fx.table(s, d, "customer").select("c_custkey", "c_acctbal")
+    files.write_sorted_csv(rows, path, [F.desc("c_acctbal"), "c_custkey"])
+    return s.read.schema(rows.schema).csv(path, header=True)
+
+
+@query
+def json_export(s: SparkSession, d: str) -> DataFrame:
+    path = session.scratch(s, "json")
+    rows = fx.table(s, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    files.write_json(rows, path)
+    return s.read.schema(rows.schema).json(path)
+
+
+@query
+def nan_guard(s: SparkSession, d: str) -> DataFrame:
+    """Every fifth reading NaN: guarded, it counts and adds like a missing one."""
+    rows = fx.order_hours(s, d).withColumn("demand_mw", F.when(F.col("row_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("demand_mw")))
+    return numbers.nans_to_null(rows).groupBy("zone").agg(F.count("*").alias("n"), F.count("demand_mw").alias("n_known"), F.sum("demand_mw").alias("total"))
+
+
+@query
+def eastern_to_utc(s: SparkSession, d: str) -> DataFrame:
+    """Eastern wall times back to UTC. The months in which an hour comes twice are left out."""
+    rows = fx.order_hours(s, d).select("row_id", clock.local("time").alias("wall")).filter(~F.month("wall").isin(10, 11))
+    return rows.select("row_id", clock.to_utc("wall").alias("time"))
+
+
 # --- scalar functions -----------------------------------------------------------------
 
 
@@ -476,18 +658,19 @@ def eval_metrics(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def zone_metrics(s: SparkSession, d: str) -> DataFrame:
-    test = _scored(s, d).filter((F.col("split") == "test") & (F.col("horizon_h") == 24))
-    return _rounded(metrics.zone_metrics(test, "actual", "pred"), "mae", "mape")
+    test = _scored(s, d).filter(F.col("split") == "test")
+    return _rounded(metrics.zone_metrics(test, "actual", "pred", "horizon_h"), "mae", "mape")
 
 
 @query
 def promotion(s: SparkSession, d: str) -> DataFrame:
-    """Registry: the 72 h forecast of each zone; challengers: its 24 h forecast. One zone
-    has no champion yet."""
+    """Registry: the 72 h forecast of each zone; challengers: its 24 h forecast. The zone with
+    the best 72 h forecast has no champion yet."""
     rmse = metrics.evaluate(_scored(s, d), "actual", "pred", ["zone", "horizon_h"])
     rmse = session.materialize(rmse.filter(F.col("rmse").isNotNull()), "rmse")
     row = [F.col("zone").alias("name"), F.lit(1).alias("version"), F.lit(model.PRODUCTION).alias("stage")]
-    registry = rmse.filter((F.col("horizon_h") == 72) & (F.col("zone") != "view")).select(*row, "rmse")
+    long = rmse.filter("horizon_h = 72")
+    registry = long.filter(F.col("rmse") > long.agg(F.min("rmse")).scalar()).select(*row, "rmse")
     row[1:] = [F.lit(2).alias("version"), F.lit(model.STAGING).alias("stage")]
     candidates = rmse.filter(F.col("horizon_h") == 24).select(*row, "rmse")
     return _rounded(model.promote(registry, candidates), "rmse")
@@ -689,7 +872,13 @@ def corr_matrix(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def binned_mi(s: SparkSession, d: str) -> DataFrame:
-    return _rounded(profile.binned_mi(_feature_table(s, d), "demand_mw", NUMERIC, ["zone"]), "mi")
+    return _rounded(profile.binned_mi(_feature_rows(s, d), "demand_mw", NUMERIC, ["zone"]), "mi")
+
+
+@query
+def information_ranking(s: SparkSession, d: str) -> DataFrame:
+    mi = profile.binned_mi(_feature_rows(s, d), "demand_mw", NUMERIC, ["zone"])
+    return profile.information_ranking(_rounded(mi, "mi"))
 
 
 # --- stations and territories ---------------------------------------------------------
@@ -710,7 +899,7 @@ def _subset_scores(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def station_pivot(s: SparkSession, d: str) -> DataFrame:
-    return stations.station_pivot(_candidates(s, d), ["s0", "s1", "s2"])
+    return stations.station_pivot(_candidates(s, d), _station_list(s, d))
 
 
 @query
@@ -776,12 +965,12 @@ def territory_points(s: SparkSession, d: str) -> DataFrame:
 @query
 def gbt_forecast(s: SparkSession, d: str) -> DataFrame:
     """Train one model per horizon on the feature table, then forecast the latest rows."""
-    table = _feature_table(s, d)
+    table = _feature_rows(s, d)
     frame = session.materialize(
         model.with_split(
             model.training_frame(table), test_days=7, val_days=7, newest=model.newest_time(table)
         ),
         "training",
     )
-    models, _ = model.train_all(frame, max_iter=10, max_depth=4)
+    models, _ = model.train_all(frame)
     return serve.predictions(table, model.model_predictor(models))
