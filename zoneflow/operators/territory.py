@@ -101,25 +101,20 @@ def best_overlap(minor_cells: DataFrame, zone_cells: DataFrame) -> DataFrame:
     return shared.groupBy("entity").agg(best.alias("zone_id"))
 
 
-def _disc(radius: int) -> list[tuple[int, int, int]]:
-    span = range(-radius, radius + 1)
-    return [(dx, dy, dx * dx + dy * dy) for dx in span for dy in span if dx * dx + dy * dy <= radius * radius]
-
-
 def nearest_zone(minor_cells: DataFrame, zone_cells: DataFrame, max_cells: int) -> DataFrame:
     """Closest zone within `max_cells` of each minor entity, by centre distance.
 
-    Each cell looks up a fixed disc of offsets around it, which is an equi-join on cells:
-    the work grows with the cells, not with pairs of cells.
+    Each cell looks up the disc of cells around it, row by row, which is an equi-join on cells: the
+    work grows with the cells, not with pairs of cells, and the plan not with the disc.
     """
-    offsets = F.array(
-        *[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy"), F.lit(c).alias("d2")) for a, b, c in _disc(max_cells)]
-    )
-    reached = minor_cells.select("entity", *CELL, F.inline(offsets)).select(
+    reach = F.lit(max_cells)
+    strips = minor_cells.select("entity", *CELL, F.explode(F.sequence(-reach, reach)).alias("dy"))
+    half = F.floor(F.sqrt(F.lit(max_cells * max_cells) - F.col("dy") * F.col("dy"))).cast("int")
+    reached = strips.select("entity", *CELL, "dy", F.explode(F.sequence(-half, half)).alias("dx")).select(
         "entity",
         (F.col("cell_x") + F.col("dx")).alias("cell_x"),
         (F.col("cell_y") + F.col("dy")).alias("cell_y"),
-        "d2",
+        (F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")).alias("d2"),
     )
     near = reached.groupBy("entity", *CELL).agg(F.min("d2").alias("d2"))
     found = near.join(zone_cells, CELL)
