@@ -126,7 +126,7 @@ def test_pivot_means(frame):
         [("2026-01-01 00:00:00", "A", "x", 1.0), ("2026-01-01 00:00:00", "A", "x", 3.0), ("2026-01-01 00:00:00", "A", "y", 5.0)],
         "time timestamp, zone string, city string, temperature double",
     )
-    assert values(stations.station_pivot(df, spark.createDataFrame([(c,) for c in ["x", "y"]], "city string")), "x", "y") == [(2.0, 5.0)]
+    assert values(stations.station_pivot(df, df), "x", "y") == [(2.0, 5.0)]
 
 
 def test_load_side_is_shuffled_once(spark, tmp_path):
