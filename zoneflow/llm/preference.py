@@ -106,6 +106,18 @@ def _scores(ranking: Ranking):
     return run
 
 
+def _sample(rows: DataFrame, n: int) -> np.ndarray:
+    """Features of about SAMPLE of `n` rows, never more: those with the smallest hashes.
+
+    A share of the hashes' range is collected, not the first rows of an order: that would bring
+    SAMPLE rows of every task to the driver.
+    """
+    key = F.pmod(F.xxhash64("doc_id", "x"), F.lit(1 << 40))
+    share = 1.0 if n <= SAMPLE else 0.95 * SAMPLE / n
+    found = rows.where(key < int(share * (1 << 40))).select(key.alias("key"), "doc_id", "x").collect()
+    return np.array([r.x for r in sorted(found, key=lambda r: (r.key, r.doc_id))[:SAMPLE]])
+
+
 def rank(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """`doc_id`, `held_out`, `score`, `predicted` for each row.
 
@@ -122,8 +134,7 @@ def rank(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "do
     marks = labels.select(labels[id_col].alias("doc_id"), labels[label_col].alias("label")).where("doc_id is not null and label in (0, 1)")
     learn = common.written(facts.join(marks.where(~held_out), "doc_id"), "labelled-features")
     sizes = dict(tuple(r) for r in learn.groupBy("label").agg(F.count("*")).collect())
-    order = [F.xxhash64("doc_id", "x"), F.col("doc_id")]
-    some = {k: np.array([r.x for r in learn.where(F.col("label") == k).orderBy(*order).limit(SAMPLE).select("x").collect()]) for k in (0, 1)}
+    some = {k: _sample(learn.where(F.col("label") == k), sizes.get(k, 0)) for k in (0, 1)}
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
     if not sizes.get(0) or not sizes.get(1):
         scored = facts.select("doc_id", F.lit(0.5).alias("score"))
