@@ -69,6 +69,21 @@ def test_verdicts(request, spark, monkeypatch, name, limit):
     assert all(w[5] == g[5] or math.isclose(w[5], g[5], rel_tol=1e-6, abs_tol=1e-6) for w, g in zip(want, got))
 
 
+def test_lexicon_is_bounded(spark, monkeypatch):
+    pages = spark.createDataFrame([(1, None, "a a a b b c c d")], "page_id long, url string, html string")
+    for limit, want in ((4, "abcd"), (3, "abc"), (2, "a"), (0, "")):
+        monkeypatch.setattr(url_filters, "LEXICON", limit)
+        assert sorted(url_filters.lexicon(pages)) == list(want)
+
+
+def test_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(preference, "SAMPLE", 50)
+    rows_ = spark.range(1000).select(F.col("id").alias("doc_id"), F.array(F.col("id").cast("double")).alias("x"))
+    got = preference._sample(rows_, 1000)
+    assert 20 < len(got) <= 50 and (got == preference._sample(rows_.repartition(7), 1000)).all()
+    assert len(preference._sample(rows_.limit(30), 30)) == 30
+
+
 def test_segments():
     log_p = {w: math.log(p) for w, p in {"the": 0.3, "ring": 0.1, "thering": 0.001, "in": 0.2, "g": 0.01}.items()}
     assert url_filters.segment("thering", log_p, -20) == ["the", "ring"]

@@ -93,6 +93,18 @@ def frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(rows, T._parse_datatype_string(schema))
 
 
+def most(df: DataFrame, by: str, limit: int) -> Column:
+    """Holds for the rows with the largest `by`, `limit` rows at most. Reads the counts of each value of `by`."""
+    sizes = sorted(df.groupBy(by).agg(F.count("*")).collect(), reverse=True) if df.count() > limit else []
+    total, least = 0, 0
+    for value, n in sizes:
+        total += n
+        if total > limit:
+            least = value + 1
+            break
+    return F.col(by) >= least
+
+
 def components(edges: DataFrame) -> DataFrame:
     """`node`, `root` (smallest node reachable) for every node of `edges` (`a`, `b`, both long).
 

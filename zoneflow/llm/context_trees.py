@@ -201,18 +201,6 @@ def _lengths(weight0, one0, weight1, one1):
     return run
 
 
-def _most(df: DataFrame, by: str, limit: int) -> Column:
-    """Holds for the rows with the largest `by`, `limit` rows at most. Reads the counts of each value of `by`."""
-    sizes = df.groupBy(by).agg(F.count("*").alias("n")).orderBy(F.desc(by)).collect() if df.count() > limit else []
-    total, least = 0, 0
-    for r in sizes:
-        total += r.n
-        if total > limit:
-            least = r[by] + 1
-            break
-    return F.col(by) >= least
-
-
 def model(words: DataFrame) -> DataFrame:
     """`key`, `words`, `log_p` for each pair of context and byte in `words` (`word`, `c`)."""
     pairs = words.select("word", "c").mapInArrow(_pairs, "key long, c long, words long").groupBy("key").agg(F.sum("c").alias("c"), F.sum("words").alias("words"))
@@ -253,7 +241,7 @@ def _word_lengths(keys, log_p):
 def word_lengths(words: DataFrame, pairs: DataFrame) -> DataFrame:
     """`words` with `log_p`, the log10 of the word's probability."""
     sc = words.sparkSession.sparkContext
-    most = _most(pairs, "words", HELD_PAIRS)
+    most = common.most(pairs, "words", HELD_PAIRS)
     held = pairs.where(most).select("key", "log_p").toArrow()
     order = np.argsort(held.column("key").to_numpy())
     keys, log_p = (sc.broadcast(held.column(c).to_numpy()[order]) for c in ("key", "log_p"))
@@ -305,7 +293,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     words = common.written(counted.groupBy("word").agg(F.sum("c").alias("c"), F.sum("seen").alias("seen")), "word-counts")
     words = word_lengths(words, model(words))
     n_learned, n_different = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    most = _most(words, "seen", HELD_WORDS)
+    most = common.most(words, "seen", HELD_WORDS)
     held = words.where(most).select("word", "c", "log_p").toArrow()
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(held.column("word").to_pylist()), *(sc.broadcast(held.column(k).to_numpy()) for k in ("c", "log_p"))

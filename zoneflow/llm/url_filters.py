@@ -95,11 +95,11 @@ def _tokens(lexicon):
 
 
 def lexicon(pages: DataFrame, html_col: str = "html") -> dict[str, int]:
-    """Counts of the LEXICON most frequent words of all pages' text; equal counts by word."""
+    """Counts of the most frequent words of all pages' text, LEXICON at most: all or none of those that are equally frequent."""
     text = F.regexp_replace(F.coalesce(F.col(html_col), F.lit("")), "<[^>]*>", " ")
     words = pages.select(F.explode(F.split(F.lower(text), "[^a-z]+")).alias("word")).where(F.length("word").between(1, LONGEST))
-    counts = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(LEXICON)
-    return {r.word: r.n for r in counts.collect()}
+    counts = common.written(words.groupBy("word").agg(F.count("*").alias("n")), "page-words")
+    return {r.word: r.n for r in counts.where(common.most(counts, "n", LEXICON)).collect()}
 
 
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
