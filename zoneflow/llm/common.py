@@ -44,6 +44,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def filed(docs: DataFrame) -> DataFrame:
+    """`docs` where it is a plain file scan, else written once.
+
+    For callers of both `keyed` and `whole` or `among`: each would write a copy of its own, and the
+    keys of two copies never meet.
+    """
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+        return docs
+    except AnalysisException:
+        return written(docs, "rows")
+
+
 def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     """`columns` with `_f`, `_r`: the file and the position in it name a row, whatever its ids are.
 
@@ -65,7 +78,7 @@ def whole(docs: DataFrame) -> DataFrame:
 
 
 def among(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of `docs` named by `keys`."""
+    """The rows of `docs` named by `keys`; `docs` has to be the frame they were made from, and `filed`."""
     return whole(docs).join(keys.select("_f", "_r"), ["_f", "_r"], "left_semi").select("_row.*")
 
 

@@ -113,4 +113,5 @@ def judge(
 
 def kept(docs: DataFrame, **names) -> DataFrame:
     """The rows of `docs` that `judge` keeps."""
+    docs = common.filed(docs)
     return common.among(docs, judge(docs, **names).where("kept"))

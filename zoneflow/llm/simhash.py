@@ -188,6 +188,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, id_col: str = "doc_id", tex
 
 def one_of_each(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, one of each component: that of the smallest doc_id, of equal ones the first in its file."""
+    docs = common.filed(docs)
     found = near_duplicates(docs, words, id_col, text_col)
     stays = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_f", "_r")).alias("m"))
     return common.among(docs, stays.select("m._f", "m._r"))

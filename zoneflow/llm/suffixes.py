@@ -333,6 +333,7 @@ def without_repeats(docs: DataFrame, text_col: str = "text", chars_col: str = "n
     A text without repeats is left as it is, a null one null. `chars_col` is counted anew where a
     text has changed, if there is such a column.
     """
+    docs = common.filed(docs)
     rows = _with_spans(docs, [text_col], text_col)
     cut = rows.where("found is not null").select("_f", "_r", F.col("_text").alias("text"), "found").mapInArrow(_cleaned, "_f long, _r long, cleaned string")
     rows = common.whole(docs).join(cut, ["_f", "_r"], "left")
