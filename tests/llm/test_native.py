@@ -91,6 +91,20 @@ def test_license_wordings(spark):
     assert all(got[100 + i] == ("", 0.0) for i in range(60))
 
 
+def test_license_statements_of_one_text_are_all_found(spark, given):
+    notices = "\n".join(f"Part {i} of this product: {text}." for i, (_, text, _) in enumerate(licenses.TEMPLATES))
+    docs = given.select("doc_id", "text").union(spark.createDataFrame([(-1, notices)], "doc_id long, text string"))
+    (got,) = licenses.scan(docs).where("doc_id = -1").collect()
+    assert set(got.labels.split(",")) >= {label for label, _, _ in licenses.TEMPLATES} and got.score == 1.0
+
+
+def test_words_that_no_text_has_are_not_indexed(spark):
+    wordings = (("foo", "hereby unseenone unseentwo unseenthree unseenfour released under the foo license", "foo license"),)
+    docs = spark.createDataFrame([(1, "all of it is released under the foo license"), (2, "no foo here")], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan(docs, wordings).collect()}
+    assert got == {1: "foo", 2: ""}
+
+
 def _facts(text):
     w = PLAIN.findall(text or "")
     wins = [tuple(w[k : k + 5]) for k in range(len(w) - 4)]

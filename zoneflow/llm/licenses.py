@@ -29,8 +29,8 @@ TEMPLATES = (
     ("cc0", "dedicated to the public domain under cc0 1 0 universal", "public domain"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
-#: Highest-IDF words of a wording that are indexed, and of a text that are looked up; share that has to agree.
-INDEXED, RAREST, AGREE = 4, 8, 0.6
+#: Highest-IDF words of a wording that are indexed; share of them that has to agree.
+INDEXED, AGREE = 4, 0.6
 
 
 def templates(spark: SparkSession, wordings=TEMPLATES) -> DataFrame:
@@ -56,8 +56,8 @@ def scan(docs: DataFrame, wordings=TEMPLATES, id_col: str = "doc_id", text_col:
     """`doc_id`, `n_words`, `n_base`, `first_word`, `last_word`, `base_labels`, `labels`, `score` for each row.
 
     Base: all places of the contract's phrases. The method: the index holds each wording's INDEXED
-    words of highest IDF (over all texts) with their places. A text's RAREST indexed words are
-    looked up; word place less wording place is where the wording would begin, and a beginning on
+    words of highest IDF (of those that any text has) with their places. All indexed words of a text
+    are looked up; word place less wording place is where the wording would begin, and a beginning on
     which AGREE of the wording's words looked up agree is a candidate. It counts when the mandatory
     key phrase stands there too. `score` is the best candidate's share of the wording's words that
     stand at their places, or 1 where a base phrase stands.
@@ -83,17 +83,14 @@ def scan(docs: DataFrame, wordings=TEMPLATES, id_col: str = "doc_id", text_col:
 
     some = marked.where(F.size("found") > 0).select("_f", "_r", "found")
     texts = some.select(F.explode(F.array_distinct("found.word")).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    index = templates(spark, wordings).join(F.broadcast(texts), "word", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    index = templates(spark, wordings).join(F.broadcast(texts), "word")
     rank = F.row_number().over(Window.partitionBy("template").orderBy("df", "pos"))
-    index = common.written(index.withColumn("rank", rank).where(F.col("rank") <= INDEXED).drop("rank"), "license-index")
+    index = common.written(index.withColumn("rank", rank).where(F.col("rank") <= INDEXED).drop("rank", "df"), "license-index")
     index = F.broadcast(index)  # INDEXED rows a wording
-    posted = F.broadcast(index.select("word", "df").distinct())
 
-    anchors = some.select("_f", "_r", F.inline("found")).join(posted, "word")
-    looked = anchors.groupBy("_f", "_r").agg(F.slice(F.sort_array(F.collect_set(F.struct("df", "word"))), 1, RAREST).alias("rare"))
-    looked = looked.select("_f", "_r", F.explode("rare.word").alias("word"))
+    looked = some.select("_f", "_r", F.explode(F.array_distinct("found.word")).alias("word"))
     tried = looked.join(index, "word").groupBy("_f", "_r", "template").agg(F.count("*").alias("tried"))
-    votes = anchors.select("_f", "_r", "word", "at").join(looked, ["_f", "_r", "word"]).join(index.drop("df"), "word")
+    votes = some.select("_f", "_r", F.inline("found")).join(index, "word")
     votes = votes.groupBy("_f", "_r", "template", "label", (F.col("at") - F.col("pos")).alias("begin")).agg(F.count("*").alias("agreed"))
     near = votes.join(tried, ["_f", "_r", "template"]).where(F.col("agreed") >= AGREE * F.col("tried"))
 
