@@ -1,9 +1,12 @@
-"""The filtering functions on frames that are no plain file scan."""
+"""The filtering functions on frames that are no plain file scan, and the pipeline's near copies."""
+
+import random
 
 import pytest
 
+import corpus_pipeline
 from llm.conftest import rows
-from zoneflow.llm import decontamination, quality_rules, simhash, suffixes
+from zoneflow.llm import decontamination, near_copies, quality_rules, simhash, suffixes
 
 
 def _docs():
@@ -30,3 +33,45 @@ def test_stages_on_frames_that_are_no_files(spark, stage, make):
         left = {r[0]: r[1] for r in rows(suffixes.without_repeats(df))}
         assert len(left) == 5 and left[2] == left[3] == left[1] == "" and left[4] == "too short"
         assert left[5] == data[4][1][: len(data[4][1]) - len(data[0][1])]
+
+
+def _similar_groups(data):
+    """Smallest id of each group of texts linked by five-word Jaccard >= 0.8."""
+    grams = []
+    for _, t in data:
+        w = (t or "").encode().lower().split()
+        grams.append({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set())
+    root = list(range(len(data)))
+    for i in range(len(data)):
+        for j in range(i):
+            both = len(grams[i] & grams[j])
+            if grams[i] == grams[j] or (both and 5 * both >= 4 * (len(grams[i]) + len(grams[j]) - both)):
+                a, b = root[i], root[j]
+                root = [a if r == b else r for r in root]
+    low = {}
+    for (i, _), r in zip(data, root):
+        low[r] = min(i, low.get(r, i))
+    return set(low.values())
+
+
+def test_near_dedup_goes_by_five_words_and_similarity(spark):
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    common = [word() for _ in range(12)]  # a line that all the texts share
+    texts = [None, "", " \n", "one two", "One  two", "one two three"]
+    for _ in range(25):
+        base = [word() for _ in range(rng.randrange(20, 150))] + common
+        for k in range(8):
+            copy = list(base)
+            for at in rng.sample(range(len(base)), min(k, 4)):
+                copy[at] = word()
+            texts.append(" ".join(copy))
+    data = list(enumerate(texts))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    want = _similar_groups(data)
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == want
+    assert {r.doc_id for r in simhash.one_of_each(df).collect()} != want  # 3 bits are another rule
+
+
+def test_near_dedup_of_no_rows(empty):
+    assert near_copies.one_of_each(empty).collect() == []
