@@ -160,6 +160,18 @@ def test_shared_lines_deplete_but_near_copies_stay(spark):
     assert {r.doc_id for r in got.where("not kept").collect()} == {100, 101, 102, 103, 104}
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_long_boilerplate_depletes(spark, parts):
+    """The boilerplate is the longest line of its documents, in one line or several."""
+    own = lambda i, n: " ".join(f"w{i}x{k}" for k in range(n))
+    notice = "\n".join(own(9000 + p, 60 // parts) for p in range(parts))
+    data = [(i, f"{own(i, 5)}\n{notice}", "h") for i in range(95)]
+    data += [(100 + i, f"{own(100 + i, 80)}\n{own(300 + i, 30)}", "h") for i in range(5)]
+    data += [(200 + i, f"{own(200 + i, 80)}\n{notice}", "h") for i in range(3)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    assert {r.doc_id for r in quality_rules.judge(df).where("kept").collect()} == {100, 101, 102, 103, 104, 200, 201, 202}
+
+
 @pytest.mark.parametrize("apply", [quality_rules.judge, quality_rules.kept, licenses.scan])
 def test_no_rows_give_no_rows(empty, apply):
     assert apply(empty).collect() == []

@@ -12,7 +12,7 @@ from zoneflow.llm import common
 
 #: A line is above the limit in over SHARE of a host's documents, MOST_FEW at the least.
 SHARE, MOST_FEW = 0.05, 20
-#: And at least that share of the documents with the line differ in their longest line.
+#: And at least that share of the documents with the line differ in the longest of their other lines.
 DIVERSE = 0.5
 #: A document is depleted when less than that share of its words is left.
 LEFT = 0.2
@@ -40,7 +40,7 @@ def repeated_words(words: Column) -> Column:
 
 
 def _facts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """Per row: the base counts, and its normalised lines as (hash, words) with the longest line's hash."""
+    """Per row: the base counts, and its normalised lines as (hash, words, characters)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = common.keyed(docs, id_col, text_col, host_col).select(
         "_f", "_r", F.col(id_col).alias("doc_id"), F.xxhash64(F.col(host_col), F.col(host_col).isNull()).alias("host"), text.alias("text")
@@ -54,33 +54,40 @@ def _facts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFr
     n_words = lambda x: F.size(F.split(F.regexp_replace(x, common.BLANK + "+", " "), " "))
     normal = F.transform(F.split(F.lower("text"), "\n"), lambda x: F.btrim(x, blank))
     lines = F.transform(F.filter(normal, lambda x: x != ""), lambda x: F.struct(F.xxhash64(x).alias("line"), n_words(x).alias("words"), F.length(x).alias("chars")))
-    facts = rows.select(
+    return rows.select(
         "_f", "_r", "doc_id", "host", F.xxhash64("text").alias("body"), counts.alias("c"), lines.alias("lines"),
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).alias("n_symbols"),
         common.let(whole, lambda x: F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines"),
-    )
-    longest = F.array_max(F.transform("lines", lambda x, i: F.struct(x.chars.alias("chars"), (-i).alias("i"), x.line.alias("line"))))
-    return facts.select(
-        "_f", "_r", "doc_id", "host", "body", "c.*", "n_symbols", "n_dup_lines", longest.getField("line").alias("longest"),
-        F.transform("lines", lambda x: F.struct(x.line.alias("line"), x.words.alias("words"))).alias("lines"),
-    )
+    ).select("_f", "_r", "doc_id", "host", "body", "c.*", "n_symbols", "n_dup_lines", "lines")
 
 
 def frequent_lines(facts: DataFrame, share: float, most_few: int, diverse: float) -> DataFrame:
     """(`host`, `line`) above the limit.
 
     Copies count once: a document is its text. Near copies share most lines, so a line also has to
-    stand in documents that differ in their longest line; what only one group of near copies has
-    is no boilerplate. Counting goes by (host, line, longest line, text) first, so a line that
-    every document has is summed up in many tasks.
+    stand in documents that differ apart from it: in the longest of their other lines. Lines that
+    stand in exactly the same documents are one block and no other lines to each other, so a
+    notice of several lines does not shield itself. What only one group of near copies has is no
+    boilerplate. Counting goes by (host, line, text) and (host, line, other line) first, so a line
+    that every document has is summed up in many tasks.
     """
-    each = facts.select("host", "longest", "body", F.explode("lines.line").alias("line"))
-    texts = each.groupBy("host", "line", "longest", "body").agg(F.lit(1).alias("one"))
-    kinds = texts.groupBy("host", "line", "longest").agg(F.count("*").alias("texts"))
-    counts = kinds.groupBy("host", "line").agg(F.count("*").alias("kinds"), F.sum("texts").alias("texts"))
+    each = facts.select("host", "body", F.explode("lines.line").alias("line"))
+    texts = each.groupBy("host", "line", "body").agg(F.lit(1).alias("one"))
+    counts = texts.groupBy("host", "line").agg(F.count("*").alias("texts"), F.bit_xor(F.xxhash64("body")).alias("where"))
     hosts = facts.select("host", "body").groupBy("host", "body").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("docs"))
-    above = (F.col("texts") > F.greatest(F.lit(float(most_few)), share * F.col("docs"))) & (F.col("kinds") >= diverse * F.col("texts"))
-    return counts.where(F.col("texts") > most_few).join(hosts, "host").where(above).select("host", "line")
+    above = F.col("texts") > F.greatest(F.lit(float(most_few)), share * F.col("docs"))
+    many = counts.where(F.col("texts") > most_few).join(hosts, "host").where(above)
+    many = common.written(many.select("host", "line", F.xxhash64("texts", "where").alias("block")), "shared-lines")
+    lines = facts.select("host", "body", F.posexplode("lines")).select("host", "body", (-F.col("pos")).alias("i"), "col.line", "col.chars")
+    top = F.max(F.struct("chars", "i", "line")).alias("top")
+    blocks = lines.join(many, ["host", "line"], "left").groupBy("host", "body", F.coalesce("block", "line").alias("block"))
+    blocks = blocks.agg(top, F.collect_set(F.when(F.col("block").isNotNull(), F.col("line"))).alias("shared"))
+    ranked = blocks.groupBy("host", "body").agg(F.sort_array(F.collect_list(F.struct("top", "shared")), asc=False).alias("ranked"))
+    other = F.when(F.col("pos") > 0, F.col("ranked")[0]["top"]["line"]).otherwise(F.get("ranked", F.lit(1))["top"]["line"])
+    apart = ranked.select("host", "ranked", F.posexplode("ranked")).where(F.size("col.shared") > 0).select("host", F.explode("col.shared").alias("line"), other.alias("other"))
+    kinds = apart.groupBy("host", "line", "other").agg(F.count("*").alias("texts"))
+    kinds = kinds.groupBy("host", "line").agg(F.count("*").alias("kinds"), F.sum("texts").alias("texts"))
+    return kinds.where(F.col("kinds") >= diverse * F.col("texts")).select("host", "line")
 
 
 def judge(
@@ -101,7 +108,7 @@ def judge(
     above = common.written(frequent_lines(facts, share, most_few, diverse), "frequent-lines")
     lines = facts.where(F.size("lines") > 0).select("_f", "_r", "host", F.inline("lines"))
     gone = lines.join(above, ["host", "line"]).groupBy("_f", "_r").agg(F.sum("words").alias("gone"))
-    out = facts.drop("host", "body", "longest", "lines").join(gone, ["_f", "_r"], "left")
+    out = facts.drop("host", "body", "lines").join(gone, ["_f", "_r"], "left")
     kept_words = F.col("n_words") - F.coalesce("gone", F.lit(0))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     longs = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
