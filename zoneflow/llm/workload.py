@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import common, context_trees, decontamination, licenses, packing, preference, quality_rules, sharding, simhash, suffixes, url_filters
+from zoneflow.llm import alignment, common, context_trees, decontamination, licenses, packing, preference, quality_rules, sharding, simhash, suffixes, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,10 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -88,3 +88,9 @@ def op9_simhash(s: SparkSession, d: str) -> DataFrame:
 def op10_quality_rules(s: SparkSession, d: str) -> DataFrame:
     judged = quality_rules.judge(table(s, d, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op12_alignment(s: SparkSession, d: str) -> DataFrame:
+    aligned = alignment.align(table(s, d, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
