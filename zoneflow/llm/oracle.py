@@ -57,4 +57,33 @@ select * exclude (gone), n_words < 10 or 100 * n_repeat_words > 20 * n_words as
        not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and n_words - gone >= 0.2 * n_words as kept
 from facts"""
 
-ORACLES: dict[str, str] = {"op5_decontamination": _DECONTAMINATION, "op10_quality_rules": _QUALITY}
+_NEGATIVES = """
+with v as (select vec_id, embedding, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label from embeddings
+           where label is not null and embedding is not null and len(list_filter(embedding, lambda x: (x is null or not isfinite(x)))) = 0),
+w as (select row_number() over () as r, vec_id, label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from v),
+s as (select a.r as ar, a.vec_id as anchor_id, b.r as br, b.vec_id, a.label = b.label as same,
+             cast(list_inner_product(a.e, b.e) as bigint) as score
+      from w a, w b where a.vec_id % 100 = 0 and a.r <> b.r),
+p as (select * from s where same qualify row_number() over (partition by ar order by score desc, vec_id) <= 5)
+select p.anchor_id, p.vec_id as positive_id,
+       cast(row_number() over (partition by p.ar, p.br order by n.score desc, n.vec_id) as integer) as rank,
+       n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+from p join s n on n.ar = p.ar and not n.same and 80 * p.score <= 100 * n.score and n.score <= p.score
+qualify row_number() over (partition by p.ar, p.br order by n.score desc, n.vec_id) <= 5"""
+
+#: The full comparison: what the search finds too where a table fills no more than two lists.
+_NEIGHBOURS = """
+with v as (select row_number() over () as r, vec_id, cast(embedding as double[]) as e from embeddings
+           where embedding is not null and len(list_filter(embedding, lambda x: (x is null or not isfinite(x)))) = 0
+             and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s as (select a.r as ar, a.vec_id as query_id, b.vec_id, list_inner_product(a.e, b.e) as score
+      from v a, v b where a.vec_id % 20 = 0 and a.r <> b.r)
+select query_id, cast(row_number() over (partition by ar order by score desc, vec_id) as integer) as rank, vec_id, score
+from s qualify row_number() over (partition by ar order by score desc, vec_id) <= 20"""
+
+ORACLES: dict[str, str] = {
+    "op5_decontamination": _DECONTAMINATION,
+    "op10_quality_rules": _QUALITY,
+    "op11_hard_negatives": _NEGATIVES,
+    "op13_neighbours": _NEIGHBOURS,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import alignment, common, context_trees, decontamination, licenses, packing, preference, quality_rules, sharding, simhash, suffixes, url_filters
+from zoneflow.llm import alignment, common, context_trees, decontamination, hard_negatives, licenses, neighbours, packing, preference, quality_rules, sharding, simhash, suffixes, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,7 +90,18 @@ def op10_quality_rules(s: SparkSession, d: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op11_hard_negatives(s: SparkSession, d: str) -> DataFrame:
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(s, d, "embeddings"), F.col("id") % 100 == 0, label=moved)
+
+
 @query
 def op12_alignment(s: SparkSession, d: str) -> DataFrame:
     aligned = alignment.align(table(s, d, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
     return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+@query
+def op13_neighbours(s: SparkSession, d: str) -> DataFrame:
+    return neighbours.nearest(table(s, d, "embeddings"), 20, F.col("id") % 20 == 0)
