@@ -170,7 +170,8 @@ def nearest(df: DataFrame, k: int, queries: Column, id_col: str = "vec_id", vect
     `queries` is a condition on `id`, the id. Every row is in the index: in the list whose centre is
     nearest and in those hardly further (BOUNDARY). Lists are parts of equal size of a bounded sample.
     A query searches, through the graph of centres, the lists within RATIO times its nearest centre:
-    first the nearest one, whose k-th score is its floor in the others. So results are those of a full
+    first the nearest one, whose k-th score is its floor in the others. Where these hold fewer than k
+    rows, it searches all lists. So results are those of a full
     comparison but for neighbours in lists beyond the bound; where there is one list they are exact.
     Scores are of the given vectors, in double precision, summed up in their order.
 
@@ -187,7 +188,8 @@ def nearest(df: DataFrame, k: int, queries: Column, id_col: str = "vec_id", vect
         return common.frame(df.sparkSession, [], schema)
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
     n, longest = rows.agg(F.count("*"), F.sqrt(F.max(square))).first()
-    lists = df.sparkSession.sparkContext.broadcast(fit(rows, dim, longest, n))
+    index = fit(rows, dim, longest, n)
+    lists = df.sparkSession.sparkContext.broadcast(index)
     kinds = "_f long, _r long, id long, vector array<double>, part long, home boolean"
     held = common.written(rows.mapInArrow(_placed(lists, dim, longest, False), kinds), "posting-lists")
     asked = common.written(rows.where(queries).mapInArrow(_placed(lists, dim, longest, True), kinds), "queries")
@@ -196,7 +198,13 @@ def nearest(df: DataFrame, k: int, queries: Column, id_col: str = "vec_id", vect
     floors = home.select("_f", "_r", F.when(F.size("hits") == k, -F.element_at("hits", -1)["less"]).otherwise(none).alias("floor"))
     rest = asked.where("not home").join(floors, ["_f", "_r"], "left").withColumn("floor", F.coalesce("floor", none))
     both = _searched(common.written(rest, "queries"), held, dim, k).union(home)
-    best = both.groupBy("_f", "_r", "id").agg(vectors.first("hits", k).alias("hits"))
+    best = common.written(both.groupBy("_f", "_r", "id").agg(vectors.first("hits", k).alias("hits")), "best-hits")
+    full = best.where(F.size("hits") >= min(k, n - 1))
+    short = asked.where("home").join(full, ["_f", "_r"], "left_anti")
+    if not short.isEmpty():  # the lists within the bound held too few rows: all lists
+        everywhere = short.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(len(index.centres) - 1).cast("long")))).withColumn("floor", none)
+        rest = _searched(common.written(everywhere, "queries"), held, dim, k)
+        best = full.union(rest.groupBy("_f", "_r", "id").agg(vectors.first("hits", k).alias("hits")))
     return best.select(F.col("id").alias("query_id"), F.posexplode("hits").alias("at", "hit")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.id").alias("vec_id"), (F.lit(0.0) - F.col("hit.less")).alias("score")
     )
