@@ -20,15 +20,17 @@ common.shipped(__name__)
 #: White space and its visible sign in pieces.
 SPACE, SIGN = " ", "▁"
 #: Words whose ids a task remembers before it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: A segment is closed at so many different windows or so many windows in all, so that it fits a task.
-KINDS, PLACES = 1 << 18, 1 << 22
+KINDS, PLACES = 400_000, 1 << 22
 #: Windows, or pairs, of a row that a segment writes when it is closed.
 BLOCK = 1 << 13
 #: Pairs whose counts every task holds, the most frequent ones: 24 bytes each. The others are joined.
 FREQUENT = 1 << 20
 #: Neither vocabulary has a token that crosses such a place: a space between two visible signs or after a line end.
 _APART = re.compile(rf"(?<=[^{SPACE}{SIGN}]){SPACE}(?=\S)")
+#: A word that can be looked up together with others.
+_PLAIN = re.compile(rf"[^\s{SIGN}]{{1,63}}")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -68,30 +70,43 @@ class Piece:
 
 
 class Tokens:
-    """Ids of both vocabularies for a space and a text, as 16-bit numbers; whether both spell it.
+    """Ids of both vocabularies for a space and a word, as 16-bit numbers; whether both spell it.
 
     No token crosses a space between visible signs, so the ids of a text are those of its words, and words repeat.
     """
 
     def __init__(self, a: str, b: str) -> None:
         self.a, self.b = Byte(a), Piece(b)
-        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
-
-    def word(self, text: str) -> tuple[bytes, bytes, bool]:
-        a, b = self.a.encode(SPACE + text), self.b.encode(text)
-        whole = (SPACE + text).encode("utf-8", "surrogatepass")
-        spelled = b"".join([self.a.bytes[i] for i in a]) == whole == b"".join([self.b.bytes[i] for i in b])
-        found = array("H", a).tobytes(), array("H", b).tobytes(), spelled
-        if len(text) < 64:
-            self.known[text] = found
-        return found
-
-    def ids(self, text: str) -> tuple[bytes, bytes, bool]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        get = self.known.get
-        a, b, ok = zip(*[get(w) or self.word(w) for w in _APART.split(text)])
-        return b"".join(a), b"".join(b), all(ok)
+        self.known: dict[str, tuple[tuple[bytes, bytes], bool]] = {}
+
+    def _found(self, word: str, a: list[int], b: list[int]) -> tuple[tuple[bytes, bytes], bool]:
+        whole, x, y = (SPACE + word).encode("utf-8", "surrogatepass"), self.a.bytes, self.b.bytes
+        spelled = b"".join([x[i] for i in a]) == whole == b"".join([y[i] for i in b])
+        return (array("H", a).tobytes(), array("H", b).tobytes()), spelled
+
+    def _learn(self, words: list[str]) -> None:
+        """All at once, as one text. A word without blanks has a token that begins with a space at its start only."""
+        at, starts = 0, []
+        for side, text in ((self.a, SPACE + SPACE.join(words)), (self.b, SPACE.join(words))):
+            ids = side.encode(text)
+            starts.append((ids, [k for k, i in enumerate(ids) if side.bytes[i][:1] == b" "] + [len(ids)]))
+        (a, p), (b, q) = starts
+        for at, word in enumerate(words):
+            self.known[word] = self._found(word, a[p[at] : p[at + 1]], b[q[at] : q[at + 1]])
+
+    def words(self, text: str) -> list[tuple[tuple[bytes, bytes], bool]]:
+        words, known = _APART.split(text), self.known
+        out = list(map(known.get, words))
+        if None in out:
+            if len(known) > REMEMBERED:
+                known.clear()
+            new = dict.fromkeys(w for w, f in zip(words, out) if f is None)
+            if plain := [w for w in new if _PLAIN.fullmatch(w)]:
+                self._learn(plain)
+            odd = {w: self._found(w, self.a.encode(SPACE + w), self.b.encode(w)) for w in new if w not in known}
+            known.update((w, f) for w, f in odd.items() if len(w) < 64)
+            out = [known.get(w) or odd.get(w) or self._found(w, self.a.encode(SPACE + w), self.b.encode(w)) for w in words]
+        return out
 
 
 class Windows:
@@ -100,14 +115,13 @@ class Windows:
     def __init__(self, tokens: Tokens) -> None:
         sides = (tokens.a.bytes, tokens.b.bytes)
         self.long = [[len(x) for x in side] for side in sides]
-        self.size = [np.array(x, np.int64) for x in self.long]
-        self.spaced = [np.array([x[:1] == b" " for x in side]) for side in sides]
-        self.name = [str(i) for i in range(max(map(len, sides)))]
+        self.name = [b"%d" % i for i in range(max(map(len, sides)))]
+        self.size = np.zeros((3, 1024), np.int64)
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[tuple[bytes, bytes], int] = {}
-        self.text: list[str] = []
+        self.text: list[bytes] = []
         self.links: list[array] = []
         self.times: list[np.ndarray] = []
         self.places = 0
@@ -116,7 +130,7 @@ class Windows:
         """Groups between shared ends as text, and a link for each stretch between any two ends."""
         a, b = array("H", key[0]), array("H", key[1])
         (long_a, long_b), name = self.long, self.name
-        links, groups, i, j, p, q = array("q"), [], 0, 0, 0, 0
+        links, groups, i, j, p, q, end = [], [], 0, 0, 0, 0, len(a)
         x, y = long_a[a[0]], long_b[b[0]]
         while True:
             links.append(a[i] << 16 | b[j])
@@ -128,34 +142,37 @@ class Windows:
                 y += long_b[b[j]]
             else:
                 i, j = i + 1, j + 1
-                groups.append(",".join([name[k] for k in a[p:i]]) + "|" + ",".join([name[k] for k in b[q:j]]))
-                if i == len(a):
+                if i == p + 1 and j == q + 1:
+                    groups.append(b"%b|%b" % (name[a[p]], name[b[q]]))
+                else:
+                    groups.append(b"%b|%b" % (b",".join([name[k] for k in a[p:i]]), b",".join([name[k] for k in b[q:j]])))
+                if i == end:
                     break
                 p, q = i, j
                 x, y = x + long_a[a[i]], y + long_b[b[j]]
-        self.links.append(links)
-        self.text.append(";".join(groups))
-        self.number[key] = n = len(self.number)
+        n = len(self.links)
+        if n == self.size.shape[1]:
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)], axis=1)
+        self.size[:, n] = end, len(b), len(groups)
+        self.links.append(array("q", links))
+        self.text.append(b";".join(groups))
+        self.number[key] = n
         return n
 
-    def of(self, raw_a: bytes, raw_b: bytes) -> tuple[np.ndarray, int, str]:
-        """Numbers of a text's windows, its number of shared ends, its groups."""
-        a, b = np.frombuffer(raw_a, "<u2"), np.frombuffer(raw_b, "<u2")
-        x, y = np.cumsum(self.size[0][a]), np.cumsum(self.size[1][b])
-        flags = np.zeros((2, int(x[-1]) + 1), bool)
-        flags[0, x], flags[1, y] = True, True
-        i, j = np.flatnonzero(flags[1, x]) + 1, np.flatnonzero(flags[0, y]) + 1
-        at = np.flatnonzero(self.spaced[0][a[i[:-1]]] & self.spaced[1][b[j[:-1]]])
-        p, q = (2 * i[at]).tolist() + [len(raw_a)], (2 * j[at]).tolist() + [len(raw_b)]
-        keys = [(raw_a[f:t], raw_b[g:u]) for f, t, g, u in zip([0, *p], p, [0, *q], q)]
-        get = self.number.get
-        found = [get(k) for k in keys]
+    def of(self, words: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, list[int], bytes]:
+        """Numbers of a text's windows; its tokens on both sides and shared ends; its groups.
+
+        Words are spelled by both sides, so both end where a word ends, and both go on with a token that
+        begins with a space: windows are the words, by their ids.
+        """
+        found = list(map(self.number.get, words))
         if None in found:
-            found = [self.align(k) if (n := get(k)) is None else n for k in keys]
+            get = self.number.get
+            found = [self.align(k) if (n := get(k)) is None else n for k in words]
         held = np.array(found, np.int32)
         self.places += len(found)
         self.times.append(held)
-        return held, len(i), ";".join([self.text[n] for n in found])
+        return held, self.size[:, held].sum(axis=1).tolist(), b";".join(map(self.text.__getitem__, found))
 
     def counted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All links window after window, the windows' numbers of links, and how often each window came."""
@@ -201,13 +218,13 @@ def _aligned(a: str, b: str, whole: bool):
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                raw_a, raw_b, spelled = tokens.ids(text) if text else (b"", b"", False)
-                if not spelled:
+                words, spelled = zip(*tokens.words(text)) if text else ((), (False,))
+                if not all(spelled):
                     rows.append((segment, doc, 0, 0, 0, 0, "", b""))
                     continue
-                held, groups, said = windows.of(raw_a, raw_b)
-                n_a, n_b = len(raw_a) // 2, len(raw_b) // 2
-                rows.append((segment, doc, n_a, n_b, groups, n_a + n_b - groups, said if whole else hashlib.sha256(said.encode()).hexdigest(), held.tobytes()))
+                held, (n_a, n_b, groups), said = windows.of(words)
+                # a link for each stretch between any two ends, of which the shared ones count once
+                rows.append((segment, doc, n_a, n_b, groups, n_a + n_b - groups, said.decode() if whole else hashlib.sha256(said).hexdigest(), held.tobytes()))
                 if len(windows.number) >= KINDS or windows.places >= PLACES:
                     yield _batch(**dict(zip(names, zip(*rows))))
                     yield from closed()
@@ -284,8 +301,9 @@ def align(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", text_col: str
     its SHA-256. Tokens whose bytes overlap are linked; `count_sum` and `n_best` are over the links of
     a text, by counts over all texts.
 
-    A text is encoded whole, then cut into windows where a shared end is followed, on both sides, by a
-    token that begins with a space. A window is known by its ids; it is aligned once in a segment, a
+    A text is encoded whole, word by word where no token of either side can cross. Windows are cut at
+    shared ends, verified by the bytes of both sides, that a token with a leading space follows on
+    both. A window is known by its ids; it is aligned once in a segment, a
     run of texts with a bounded number of windows. Links are counted by window, not by place, and
     counts come back by window; only window numbers go with a text, to its segment's values.
 
