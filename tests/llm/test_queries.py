@@ -13,8 +13,9 @@ from compare import compare, duck  # noqa: E402
 import __spark_entry__ as entry  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from llm.conftest import SMALL  # noqa: E402
-from llm.test_narrow import _links, _repeats  # noqa: E402
+from llm.test_narrow import _repeats  # noqa: E402
 from llm.test_native import _all, _hits, _kept  # noqa: E402
+from llm.test_stages import similar_groups  # noqa: E402
 from zoneflow.llm import common, oracle, packing, workload  # noqa: E402
 
 COLUMNS = {
@@ -66,11 +67,8 @@ def test_pipeline(spark, given):
             want = {r[0] for r in _kept(before) if r[-1]}
             assert sorted(after) == sorted(b for b in before if b[0] in want)
         elif name == "near dedup":
-            roots = _links([t for _, t, _ in before])[1]
-            low = {}
-            for (i, _, _), r in zip(before, roots):
-                low[r] = min(i, low.get(r, i))
-            assert {a[0] for a in after} == set(low.values()) and len(after) == len(low)
+            low = similar_groups([b[:2] for b in before])
+            assert {a[0] for a in after} == low and len(after) == len(low)
         elif name == "suffix dedup":
             texts, sizes = dict(a[:2] for a in after), [r for r in _repeats([t.encode() for _, t, _ in before], 200)]
             assert len(after) == len(before)

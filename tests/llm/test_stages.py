@@ -35,7 +35,7 @@ def test_stages_on_frames_that_are_no_files(spark, stage, make):
         assert left[5] == data[4][1][: len(data[4][1]) - len(data[0][1])]
 
 
-def _similar_groups(data):
+def similar_groups(data):
     """Smallest id of each group of texts linked by five-word Jaccard >= 0.8."""
     grams = []
     for _, t in data:
@@ -68,10 +68,46 @@ def test_near_dedup_goes_by_five_words_and_similarity(spark):
             texts.append(" ".join(copy))
     data = list(enumerate(texts))
     df = spark.createDataFrame(data, "doc_id long, text string")
-    want = _similar_groups(data)
+    want = similar_groups(data)
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == want
     assert {r.doc_id for r in simhash.one_of_each(df).collect()} != want  # 3 bits are another rule
 
 
+@pytest.mark.parametrize("light", [0, 2, 32])
+def test_near_dedup_of_large_groups(spark, light, monkeypatch):
+    """Hundreds of texts that meet often and are linked in chains, or not at all; pairs by shingle, in blocks, or both."""
+    monkeypatch.setattr(near_copies, "LIGHT", light)
+    monkeypatch.setattr(near_copies, "BLOCK", 20)
+    monkeypatch.setattr(near_copies, "PIECE", 7)
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    base = [word() for _ in range(60)]
+    texts = []
+    for _ in range(90):  # each has words of its own: near to the first, not to each other
+        copy = list(base)
+        for at in rng.sample(range(60), 2):
+            copy[at] = word()
+        texts.append(" ".join(copy))
+    for k in range(60):  # a chain: each differs from the one before in one word
+        base[k % 60] = word()
+        texts.append(" ".join(base))
+    texts += texts[:30] + [" ".join(base[:n]) for n in range(30, 60)]
+    data = list(enumerate(texts))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert {r.doc_id for r in near_copies.one_of_each(df).collect()} == similar_groups(data)
+
+
+def test_near_dedup_compares_no_template_pages(spark, monkeypatch):
+    """1,500 pages with 60 own words and a template of 400: alike by less than 0.8. Their own shingles come first, so they never meet."""
+    rng = random.Random(2)
+    template = [f"t{k}" for k in range(400)]
+    data = [(i, " ".join([f"w{rng.randrange(10**7)}" for _ in range(60)] + template)) for i in range(1500)]
+    asked = []
+    verified = near_copies._verified
+    monkeypatch.setattr(near_copies, "_verified", lambda pairs, *a: asked.append(pairs.count()) or verified(pairs, *a))
+    kept = near_copies.one_of_each(spark.createDataFrame(data, "doc_id long, text string"))
+    assert kept.count() == 1500 and sum(asked) < 50_000
+
+
 def test_near_dedup_of_no_rows(empty):
     assert near_copies.one_of_each(empty).collect() == []

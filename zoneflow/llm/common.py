@@ -44,6 +44,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Steps:
+    """Written tables of a job by name. A name's table is deleted when the next one of that name is written, or dropped.
+
+    For tables that nothing reads any more by then.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        path = session.scratch(self.spark, label)
+        df.write.option("compression", "zstd").parquet(path)
+        self.drop(label)
+        self.paths[label] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *labels: str) -> None:
+        for path in filter(None, (self.paths.pop(label, None) for label in labels)):
+            session.delete(self.spark, path)
+
+
 def filed(docs: DataFrame) -> DataFrame:
     """`docs` where it is a plain file scan, else written once.
 
