@@ -205,6 +205,24 @@ def _sql(names: str, body: str) -> str:
     return f"with {', '.join(ctes)} {body}" if ctes else body
 
 
+def _revised() -> str:
+    """The wide table over raw tables in which a day of each was revised."""
+    sql = _sql("features", "select * from features")
+    day = "cast(time as date) = date"
+    revisions = {
+        "base": f"""select time, zone, case when {day} '2024-01-10' then 2 * demand_mw + 1 else demand_mw end as demand_mw
+                    from load_all where source = 'pjm' and zone in {ZONES}""",
+        "lmp": VIEWS["lmp"].replace("* exclude (offset_id)", f"* exclude (offset_id) replace (case when {day} '2024-01-12' then lmp + 100 else lmp end as lmp)"),
+        "weather": f"""select * from ({VIEWS["weather"]}) union all
+                       select timestamp '2024-01-14 23:30:00', zone, 5.0, precipitation, wind_speed, cloud_cover
+                       from ({VIEWS["weather"]}) where {day} '2024-01-14'""",
+    }
+    for name, body in revisions.items():
+        assert f"{name} as ({VIEWS[name]})" in sql
+        sql = sql.replace(f"{name} as ({VIEWS[name]})", f"{name} as ({body})")
+    return sql
+
+
 def _mentions(sql: str, view: str) -> bool:
     words = sql.replace("(", " ").replace(")", " ").replace(",", " ").split()
     return any(a in ("from", "join") and b == view for a, b in zip(words, words[1:]))
@@ -604,7 +622,11 @@ def oracle_sql() -> dict[str, str]:
             """select zone, count(*) as n, count(case when row_id % 5 <> 0 then demand_mw end) as n_known,
                sum(case when row_id % 5 <> 0 then demand_mw end) as total from order_hours group by zone""",
         ),
-        "eastern_to_utc": _sql("order_hours", "select row_id, time from order_hours where month(eastern) not in (10, 11)"),
+        "eastern_to_utc": _sql(
+            "order_hours",
+            """select row_id, case when ((time - interval 1 hour) at time zone 'UTC') at time zone 'US/Eastern' = eastern
+                              then time - interval 1 hour else time end as time from order_hours""",
+        ),
         "information_ranking": _sql("features", _mi()),
         "drain_counts": _sql(
             "messages",
@@ -665,6 +687,18 @@ def oracle_sql() -> dict[str, str]:
             + " from labelled",
         ),
         "latest_per_zone": _sql("latest", "select * from latest"),
+        "one_zone_rows": _sql("features", "select * from features where zone = 'view'"),
+        "recent_peak_week": _sql(
+            "features",
+            f"""select zone, max(demand_mw) as peak_mw from features
+                where time >= {AS_OF} - interval 7 days - interval 7 hours group by zone""",
+        ),
+        "table_two_writers": _sql(
+            "message_rows",
+            """select * exclude ("offset") from message_rows qualify row_number() over (
+               partition by time, zone, source order by "offset" desc) = 1""",
+        ),
+        "warehouse_revision": _revised(),
         "latest_one_zone": _sql("latest", "select * from latest where zone = 'view'"),
         "features_window": _sql(
             "features", f"select * from features where time >= {AS_OF} - interval 48 hours order by zone, time"

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zoneflow.functions.calendar import build_features
 from zoneflow.functions.clock import age_hours, minus_days, plus_hours
@@ -19,6 +20,7 @@ from zoneflow.functions.display import (
 from zoneflow.operators import metrics
 from zoneflow.plans.staging import last_per_key
 from zoneflow.schemas import HORIZONS, SYSTEM_ZONE, WEATHER_COLS
+from zoneflow.sources import tables
 from zoneflow.sources.tables import DATE, since
 
 Predictor = Callable[[DataFrame], DataFrame]
@@ -50,6 +52,12 @@ def latest_features(features: DataFrame, zone: str | None = None) -> DataFrame:
     return last_per_key(for_zone(features, zone), ["zone"], "time")
 
 
+def latest_stored(spark: SparkSession, path: str, schema: T.StructType, zone: str | None = None) -> DataFrame:
+    """Most recent row per zone of a written table: only the dates that hold them are read."""
+    rows = tables.read_newest(spark, path, schema, None if zone is None else [zone])
+    return latest_features(rows.drop(DATE), zone)
+
+
 def features_window(
     features: DataFrame, as_of: Column, hours: int = DRILLDOWN_HOURS, zone: str | None = None
 ) -> DataFrame:
@@ -74,6 +82,18 @@ def freshness(features: DataFrame, as_of: Column) -> DataFrame:
     return last.select("latest_load_time", age.alias("age_hours"), (age <= LIVE_HOURS).alias("is_live"))
 
 
+def freshness_stored(spark: SparkSession, path: str, as_of: Column) -> DataFrame:
+    """As `freshness`, of a written table: its index knows the newest hour, so no row is read."""
+    micros = tables.newest_micros(spark, path)
+    return freshness(spark.range(1).select(F.timestamp_micros(F.lit(micros).cast("long")).alias("time")), as_of)
+
+
+def peak_stored(spark: SparkSession, path: str, schema: T.StructType, as_of: Column, days: int = 30) -> DataFrame:
+    """As `recent_peak`, of a written table: kept maxima of whole dates, rows of the date that the window cuts."""
+    at = spark.range(1).select(F.unix_micros(minus_days(as_of, days))).first()[0]
+    return tables.read_peaks(spark, path, schema, at).withColumnRenamed("peak", "peak_mw")
+
+
 def predict(features: DataFrame, predictor: Predictor) -> DataFrame:
     """(time, zone, one column per horizon), plus the weather of the row it came from."""
     scored = predictor(build_features(features))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,14 +77,20 @@ def _features(s: SparkSession, d: str) -> DataFrame:
 
 
 def _predictions(s: SparkSession, d: str) -> DataFrame:
-    return serve.predictions(_features(s, d), serve.baseline_predictor)
+    """Of the newest rows, read from the dates that hold them."""
+    path = _feature_path(s, d)
+    return serve.predict(serve.latest_stored(s, path, SCHEMAS["features"]), serve.baseline_predictor)
 
 
-def _feature_table(s: SparkSession, d: str) -> DataFrame:
-    """The feature table as its readers find it: written by date, with its `date`."""
+def _feature_path(s: SparkSession, d: str) -> str:
     path = session.scratch(s, "features")
     tables.write_table(_features(s, d), path)
-    return tables.read_table(s, path, SCHEMAS["features"])
+    return path
+
+
+def _feature_table(s: SparkSession, d: str) -> DataFrame:
+    """The feature table as its readers find it: written by date, with its `date`."""
+    return tables.read_table(s, _feature_path(s, d), SCHEMAS["features"])
 
 
 def _feature_rows(s: SparkSession, d: str) -> DataFrame:
@@ -324,20 +331,26 @@ def dlq_split(s: SparkSession, d: str) -> DataFrame:
     return codec.split_valid(decoded, CONTRACTS["load"])[1]
 
 
+#: Files that hold a stretch of a log, and that a micro-batch takes.
+FILES = 4
+
+
 def _in_order(rows: DataFrame, by: str, path: str, parts: int = 3) -> None:
-    """A log of one partition: files one after the other, as a file stream takes the older file first."""
+    """A log in stretches, one after the other, as a file stream takes the older files first. A stretch is
+    FILES files, each a range of the order: no task writes a stretch alone."""
     number = F.unix_micros(by) if by == "time" else F.col(by)
+    rows = session.materialize(rows, "log")
     low, high = rows.agg(F.min(number), F.max(number)).first()
+    share = F.least(F.floor((number - low) * parts / (high - low + 1)), F.lit(parts - 1))
     for k in range(parts):
-        share = F.least(F.floor((number - low) * parts / (high - low + 1)), F.lit(parts - 1))
-        rows.filter(share == k).coalesce(1).write.mode("append").parquet(path)
+        rows.filter(share == k).repartitionByRange(FILES, number).write.mode("append").parquet(path)
 
 
 def _drained(s: SparkSession, messages: DataFrame, topic: str) -> tuple[str, ingest.IngestResult]:
     """Write messages as a topic, drain it into its table in a few batches; the folder of both, the counts."""
     root = session.scratch(s, f"stream-{topic}")
     _in_order(messages, "offset", f"{root}/topic")
-    source = ingest.file_source(s, f"{root}/topic", files_per_batch=1)
+    source = ingest.file_source(s, f"{root}/topic", files_per_batch=FILES)
     return root, ingest.drain(source, CONTRACTS[topic], f"{root}/table", f"{root}/dlq", f"{root}/checkpoint")
 
 
@@ -369,7 +382,7 @@ def _reading_stream(s: SparkSession, d: str, root: str) -> DataFrame:
     """Weather readings as a stream of several batches."""
     rows = fx.weather(s, d)
     _in_order(rows, "time", f"{root}/readings")
-    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/readings")
+    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(f"{root}/readings")
 
 
 @query
@@ -460,6 +473,39 @@ def warehouse_incremental(s: SparkSession, d: str) -> DataFrame:
     return _house(s, d, CUT, "2024-01-28 00:00:00").read("features")
 
 
+@query
+def warehouse_revision(s: SparkSession, d: str) -> DataFrame:
+    """Raw tables are revised far back; the tables made from them follow, date by date."""
+    root = session.scratch(s, "house")
+    raw = {n: f"{root}/raw-{n}" for n in ("load", "lmp", "weather")}
+    load, lmp, weather = fx.load(s, d), fx.lmp(s, d), fx.weather(s, d)
+    house = Warehouse(s, root, fx.ZONES)
+    for n, df in (("load", load), ("lmp", lmp), ("weather", weather)):
+        tables.append_batch(df, raw[n], "history")
+    house.refresh(**raw)
+    on = lambda day: F.to_date("time") == F.lit(day).cast("date")
+    revised = load.filter(on("2024-01-10") & (F.col("source") == "pjm")).withColumn("demand_mw", 2 * F.col("demand_mw") + 1)
+    tables.upsert_table(s, raw["load"], tables.with_batch(LOAD), revised.withColumn(tables.BATCH, F.lit("revised")), ["time", "zone", "source"])
+    dearer = lmp.filter(on("2024-01-12")).withColumn("lmp", F.col("lmp") + 100)
+    tables.upsert_table(s, raw["lmp"], tables.with_batch(LMP), dearer.withColumn(tables.BATCH, F.lit("revised")), ["time", "pnode_id"])
+    late = weather.filter(on("2024-01-14")).withColumns({"time": F.lit("2024-01-14 23:30:00").cast("timestamp"), "temperature": F.lit(5.0)})
+    tables.append_batch(late, raw["weather"], "late")
+    house.refresh(**raw)
+    return house.read("features")
+
+
+@query
+def table_two_writers(s: SparkSession, d: str) -> DataFrame:
+    """Two writers at once over the same dates, each with half of the zones' messages."""
+    path = session.scratch(s, "table")
+    rows = session.materialize(codec.split_valid(codec.decode_messages(fx.load_messages(s, d), CONTRACTS["load"]), CONTRACTS["load"])[0], "rows")
+    halves = [rows.filter(F.pmod(F.length("zone"), F.lit(2)) == k) for k in (0, 1)]
+    with ThreadPoolExecutor(2) as pool:
+        for done in [pool.submit(tables.upsert_table, s, path, LOAD, half, ["time", "zone", "source"], "offset") for half in halves]:
+            done.result()
+    return tables.read_table(s, path, LOAD).drop(tables.DATE)
+
+
 @query
 def contract_report(s: SparkSession, d: str) -> DataFrame:
     """The declared tests over built tables."""
@@ -531,8 +577,8 @@ def nan_guard(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def eastern_to_utc(s: SparkSession, d: str) -> DataFrame:
-    """Eastern wall times back to UTC. The months in which an hour comes twice are left out."""
-    rows = fx.order_hours(s, d).select("row_id", clock.local("time").alias("wall")).filter(~F.month("wall").isin(10, 11))
+    """Eastern wall times back to UTC. Of an hour that comes twice the first is meant."""
+    rows = fx.order_hours(s, d).select("row_id", clock.local("time").alias("wall"))
     return rows.select("row_id", clock.to_utc("wall").alias("time"))
 
 
@@ -688,12 +734,18 @@ def run_record(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def latest_per_zone(s: SparkSession, d: str) -> DataFrame:
-    return serve.latest_features(_features(s, d))
+    return serve.latest_stored(s, _feature_path(s, d), SCHEMAS["features"])
 
 
 @query
 def latest_one_zone(s: SparkSession, d: str) -> DataFrame:
-    return serve.latest_features(_features(s, d), "view")
+    return serve.latest_stored(s, _feature_path(s, d), SCHEMAS["features"], "view")
+
+
+@query
+def one_zone_rows(s: SparkSession, d: str) -> DataFrame:
+    """All rows of one zone, from the files that hold it."""
+    return tables.read_table(s, _feature_path(s, d), SCHEMAS["features"], ["view"]).drop(tables.DATE)
 
 
 @query
@@ -703,12 +755,21 @@ def features_window(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def recent_peak(s: SparkSession, d: str) -> DataFrame:
-    return serve.recent_peak(_features(s, d), fx.as_of(), 30)
+    return serve.peak_stored(s, _feature_path(s, d), SCHEMAS["features"], fx.as_of(), 30)
+
+
+@query
+def recent_peak_week(s: SparkSession, d: str) -> DataFrame:
+    """A window that begins within a date."""
+    at = clock.minus_days(fx.as_of(), 0) - F.expr("interval 7 hours")
+    return serve.peak_stored(s, _feature_path(s, d), SCHEMAS["features"], at, 7)
 
 
 @query
 def freshness(s: SparkSession, d: str) -> DataFrame:
-    return serve.freshness(_load_features(s, d), fx.as_of())
+    path = session.scratch(s, "load-features")
+    tables.write_table(_load_features(s, d), path)
+    return serve.freshness_stored(s, path, fx.as_of())
 
 
 @query
