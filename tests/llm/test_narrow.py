@@ -4,6 +4,7 @@ import hashlib
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from llm.conftest import pairs, rows
@@ -184,3 +185,14 @@ def test_passages_leave_whole_characters(odd):
 @pytest.mark.parametrize("apply", [lambda d: sharding.shard(d, 4), lambda d: packing.pack(d, workload.vocabulary()), simhash.near_duplicates, simhash.one_of_each, suffixes.repeats, suffixes.without_repeats])
 def test_no_rows_give_no_rows(empty, apply):
     assert apply(empty).collect() == []
+
+
+def test_special_tokens_that_stand_in_a_text():
+    """Ids are those of the tokenizer itself, also where a text holds the end-of-text marker."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(workload.vocabulary())
+    encoder = packing.Encoder(workload.vocabulary())
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|><|endoftext|>\n b ", " <|endoftext|>", "<|endoftext|", "x <|endoftext|>  y", "no marker"]
+    for t in texts:
+        assert np.frombuffer(encoder.ids(t), "<u2").tolist() == plain.encode(t, add_special_tokens=False).ids, t

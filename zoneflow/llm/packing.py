@@ -24,7 +24,8 @@ _STARTS = re.compile(r" (?=\S)")
 
 
 class Encoder:
-    """Ids of a byte-level BPE vocabulary file, without special tokens, as little-endian 16-bit ids.
+    """Ids of a byte-level BPE vocabulary file, as little-endian 16-bit ids. No special token is added; those
+    that stand in a text are their own ids.
 
     Words repeat, so ids are remembered by word. A text is parted before every space that stands
     before a visible character; no token of this kind of vocabulary crosses such a place.
@@ -34,17 +35,28 @@ class Encoder:
         import tiktoken
 
         with open(vocabulary, encoding="utf-8") as f:
-            tokens = json.load(f)["model"]["vocab"]
+            said = json.load(f)
+        tokens, added = said["model"]["vocab"], {t["content"]: t["id"] for t in said.get("added_tokens", [])}
         plain = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
         shown = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
         ranks = {bytes(shown[c] for c in t): i for t, i in tokens.items() if all(c in shown for c in t)}
-        ranks = {t: i for t, i in ranks.items() if t != b"<|endoftext|>"}
+        ranks = {t: i for t, i in ranks.items() if t.decode("utf-8", "replace") not in added}
+        self._added = {t: np.array([i], "<u2").tobytes() for t, i in added.items()}
+        # of two that begin at a place the longer one
+        self._cuts = re.compile("|".join(f"({re.escape(t)})" for t in sorted(added, key=len, reverse=True)) or r"(?!)")
         from public_tokenizers import PATTERN
 
         self._encode = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self._known: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
+        out, at = [], 0
+        for m in self._cuts.finditer(text):
+            out += [self._plain(text[at : m.start()]) if m.start() > at else b"", self._added[m[0]]]
+            at = m.end()
+        return b"".join([*out, self._plain(text[at:])]) if out else self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         first, *rest = _STARTS.split(text)
         known, encode = self._known, self._encode
         if len(known) > REMEMBERED:
