@@ -66,6 +66,12 @@ class Steps:
             session.delete(self.spark, path)
 
 
+def _place(docs: DataFrame) -> list[Column]:
+    """File and row number of a file scan's rows. Asked for as metadata, so a column of that name is no matter; fails for other frames."""
+    meta = docs.metadataColumn("_metadata")
+    return [F.xxhash64(meta["file_path"]).alias("_f"), meta["row_index"].alias("_r")]
+
+
 def filed(docs: DataFrame) -> DataFrame:
     """`docs` where it is a plain file scan, else written once.
 
@@ -73,7 +79,7 @@ def filed(docs: DataFrame) -> DataFrame:
     keys of two copies never meet.
     """
     try:
-        docs.select("_metadata.file_path", "_metadata.row_index")
+        docs.select(*_place(docs))
         return docs
     except AnalysisException:
         return written(docs, "rows")
@@ -86,7 +92,7 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     """
     names = [docs[c] for c in columns]
     try:
-        return docs.select(F.xxhash64("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r"), *names)
+        return docs.select(*_place(docs), *names)
     except AnalysisException:
         return keyed(written(docs.select(*names), "rows"), *columns)
 
@@ -94,7 +100,7 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
 def whole(docs: DataFrame) -> DataFrame:
     """`_f`, `_r` and the row itself as one struct `_row`, so that no name of its columns can clash."""
     try:
-        return docs.select(F.xxhash64("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+        return docs.select(*_place(docs), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     except AnalysisException:
         return whole(written(docs, "rows"))
 
