@@ -72,9 +72,13 @@ def occurrences(rows: DataFrame, windows: DataFrame) -> DataFrame:
     need = places.groupBy("win").agg(F.count("*").alias("need"))
     rare = rare.groupBy("win").agg(F.count("*").alias("got"), F.min(F.struct("seen", "k", "long", "key")).alias("p")).join(need, "win").where("got = need")
     prefix = common.written(wins.join(rare.select("win", "p.*"), "win").select("long", "key", "k", "len", "win", "items"), "prefixes")
-    hit = met.join(_small(prefix, n), ["long", "key"])
     s = F.col("pos") - F.col("k")
-    hit = hit.where((s >= 0) & (s + F.col("len") <= F.col("n_words"))).where(F.slice("words", s + 1, F.col("len")) == F.col("win"))
+    inside = (s >= 0) & (s + F.col("len") <= F.col("n_words"))
+    if n <= BROADCAST:
+        hit = met.join(F.broadcast(prefix), ["long", "key"]).where(inside)
+    else:  # places alone go to the prefixes; a text comes to the places that are left
+        hit = met.select("_f", "_r", "n_words", "pos", "long", "key").join(prefix, ["long", "key"]).where(inside).join(rows, ["_f", "_r"])
+    hit = hit.where(F.slice("words", s + 1, F.col("len")) == F.col("win"))
     return hit.select("_f", "_r", s.alias("s"), (s + F.col("len")).alias("e"), "items")
 
 
