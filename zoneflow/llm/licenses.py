@@ -27,10 +27,17 @@ TEMPLATES = (
     ("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc"),
     ("cc-by-sa-4.0", "licensed under cc by sa 4 0", "cc by sa"),
     ("cc0", "dedicated to the public domain under cc0 1 0 universal", "public domain"),
+    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0", "apache org licenses license 2 0"),
+    ("gpl-3.0", "it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", "either version 3 of the license"),
+    ("gpl-2.0", "it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version", "either version 2 of the license"),
+    ("mpl-2.0", "if a copy of the mpl was not distributed with this file you can obtain one at", "copy of the mpl"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "may be used to endorse or promote products derived from this software"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "for any purpose with or without fee is hereby granted"),
+    ("zlib", "in no event will the authors be held liable for any damages arising from the use of this software", "in no event will the authors be held liable"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
-#: Highest-IDF words of a wording that are indexed; share of them that has to agree.
-INDEXED, AGREE = 4, 0.6
+#: Highest-IDF words of a wording that are indexed; so many of them have to agree on where it begins.
+INDEXED, AGREE = 4, 2
 
 
 def templates(spark: SparkSession, wordings=TEMPLATES) -> DataFrame:
@@ -58,8 +65,8 @@ def scan(docs: DataFrame, wordings=TEMPLATES, id_col: str = "doc_id", text_col:
     Base: all places of the contract's phrases. The method: the index holds each wording's INDEXED
     words of highest IDF (of those that any text has) with their places. All indexed words of a text
     are looked up; word place less wording place is where the wording would begin, and a beginning on
-    which AGREE of the wording's words looked up agree is a candidate. It counts when the mandatory
-    key phrase stands there too. `score` is the best candidate's share of the wording's words that
+    which AGREE of them agree (all of a wording with fewer) is a candidate. It counts when the mandatory
+    key phrase stands there too. So what else a text holds never takes a label away. `score` is the best candidate's share of the wording's words that
     stand at their places, or 1 where a base phrase stands.
 
     One pass reads the texts and keeps the license words with their places; anchors are grouped by
@@ -85,14 +92,13 @@ def scan(docs: DataFrame, wordings=TEMPLATES, id_col: str = "doc_id", text_col:
     texts = some.select(F.explode(F.array_distinct("found.word")).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     index = templates(spark, wordings).join(F.broadcast(texts), "word")
     rank = F.row_number().over(Window.partitionBy("template").orderBy("df", "pos"))
-    index = common.written(index.withColumn("rank", rank).where(F.col("rank") <= INDEXED).drop("rank", "df"), "license-index")
+    index = index.withColumn("rank", rank).where(F.col("rank") <= INDEXED).drop("rank", "df")
+    index = common.written(index.withColumn("need", F.least(F.lit(AGREE), F.count("*").over(Window.partitionBy("template")))), "license-index")
     index = F.broadcast(index)  # INDEXED rows a wording
 
-    looked = some.select("_f", "_r", F.explode(F.array_distinct("found.word")).alias("word"))
-    tried = looked.join(index, "word").groupBy("_f", "_r", "template").agg(F.count("*").alias("tried"))
     votes = some.select("_f", "_r", F.inline("found")).join(index, "word")
-    votes = votes.groupBy("_f", "_r", "template", "label", (F.col("at") - F.col("pos")).alias("begin")).agg(F.count("*").alias("agreed"))
-    near = votes.join(tried, ["_f", "_r", "template"]).where(F.col("agreed") >= AGREE * F.col("tried"))
+    votes = votes.groupBy("_f", "_r", "template", "label", (F.col("at") - F.col("pos")).alias("begin"), "need").agg(F.count("*").alias("agreed"))
+    near = votes.where("agreed >= need").drop("need", "agreed")
 
     texts = common.frame(spark, [(i, text.split(" "), f" {key} ") for i, (_, text, key) in enumerate(wordings)], "template int, wording array<string>, key string")
     near = near.join(F.broadcast(texts), "template").join(some, ["_f", "_r"])
