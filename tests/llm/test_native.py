@@ -91,6 +91,13 @@ def test_license_wordings(spark):
     assert all(got[100 + i] == ("", 0.0) for i in range(60))
 
 
+def test_more_text_removes_no_label(spark):
+    said, more = "Code is covered by the MIT License.", "Version two was released in May under a new name."
+    texts = [said, f"{more} {said}", f"{said} {more}", f"{more} {said} Licensed products of the Apache tribe. {more}", f"released under {said}"]
+    got = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == dict.fromkeys(range(5), "mit")
+
+
 def test_license_statements_of_one_text_are_all_found(spark, given):
     notices = "\n".join(f"Part {i} of this product: {text}." for i, (_, text, _) in enumerate(licenses.TEMPLATES))
     docs = given.select("doc_id", "text").union(spark.createDataFrame([(-1, notices)], "doc_id long, text string"))
@@ -117,7 +124,7 @@ def _facts(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(in_twice)
 
 
-def _kept(docs, share=quality_rules.SHARE, few=quality_rules.MOST_FEW, diverse=quality_rules.DIVERSE, left=quality_rules.LEFT):
+def _kept(docs, share=quality_rules.SHARE, few=quality_rules.MOST_FEW, diverse=quality_rules.DIVERSE, left=quality_rules.LEFT, least=quality_rules.LEFT_WORDS):
     """`docs`: (doc_id, text, host)."""
     blank = " \t\n\x0b\x0c\r"
     lines = lambda t: [x for x in (y.strip(blank) for y in (t or "").lower().split("\n")) if x]
@@ -126,13 +133,14 @@ def _kept(docs, share=quality_rules.SHARE, few=quality_rules.MOST_FEW, diverse=q
         hosts[h].add(t or "")
         for x in lines(t):
             texts[h, x].add(t or "")
-    longest = lambda t: max(lines(t), key=len)
-    above = {(h, x) for (h, x), ts in texts.items() if len(ts) > max(few, share * len(hosts[h])) and len({longest(t) for t in ts}) >= diverse * len(ts)}
+    often = {(h, x) for (h, x), ts in texts.items() if len(ts) > max(few, share * len(hosts[h]))}
+    longest = lambda h, t: max(((len(w), w) for x in lines(t) if (h, x) not in often for w in PLAIN.findall(x)), default=None)
+    above = {(h, x) for h, x in often if len({longest(h, t) for t in texts[h, x]}) >= diverse * len(texts[h, x])}
     for i, t, h in docs:
         n, chars, sym, dup, rep = _facts(t)
         rest = n - sum(len(PLAIN.findall(x)) for x in lines(t) if (h, x) in above)
         failed = n < 10 or 100 * rep > 20 * n
-        yield i, n, chars, sym, dup, rep, rest, failed, not failed and rest >= left * n
+        yield i, n, chars, sym, dup, rep, rest, failed, not failed and (rest >= left * n or rest >= least)
 
 
 def _all(df):
@@ -172,6 +180,44 @@ def test_long_boilerplate_depletes(spark, parts):
     assert {r.doc_id for r in quality_rules.judge(df).where("kept").collect()} == {100, 101, 102, 103, 104, 200, 201, 202}
 
 
+@pytest.mark.parametrize("footers", [190, 200])
+def test_frequent_lines_do_not_shield_each_other(spark, footers):
+    """A header on all pages, a footer on most, and a title of four words of their own."""
+    words = lambda n, i: " ".join(f"{n}{i}x{k}" for k in range(4))
+    header, footer = " ".join(f"head{k}" for k in range(40)), " ".join(f"foot{k}" for k in range(50))
+    data = [(i, f"{header}\n{words('title', i)}" + (f"\n{footer}" if i < footers else ""), "h") for i in range(200)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = quality_rules.judge(df)
+    assert rows(got.drop("_f", "_r")) == sorted(_kept(data), key=repr)
+    assert got.where("kept").count() == 0
+
+
+def test_edited_copies_stay(spark):
+    """Near copies that differ in a word or two of a line: what is left of them is much the same."""
+    base = [[f"line{k}word{j}" for j in range(12)] for k in range(12)]
+    data = []
+    for i in range(80):
+        copy = [list(x) for x in base]
+        copy[i % 12][i % 11] = f"e{i}"
+        data.append((i, "\n".join(map(" ".join, copy)), "h"))
+    got = quality_rules.judge(spark.createDataFrame(data, "doc_id long, text string, source string"))
+    assert rows(got.drop("_f", "_r")) == sorted(_kept(data), key=repr) and got.where("not kept").count() == 0
+
+
+def test_a_column_named_like_the_file_metadata(spark, tmp_path):
+    """As text, and as a struct with the same fields, in files and in frames."""
+    words = " ".join(f"w{k}" for k in range(20))
+    frame = spark.createDataFrame([(i, f"{words} {i}", "h", "x", ("same", 7)) for i in range(6)], "doc_id long, text string, source string, a string, b struct<file_path string, row_index long>")
+    for c in "ab":
+        df = frame.select("doc_id", "text", "source", frame[c].alias("_metadata"))
+        df.write.parquet(str(tmp_path / c))
+        for docs in (df, spark.read.parquet(str(tmp_path / c))):
+            kept = quality_rules.kept(docs)
+            assert kept.count() == 6 and kept.columns == docs.columns
+            bench = spark.createDataFrame([(1, f"{words} 3")], "item_id long, text string")
+            assert decontamination.clean(docs, bench).count() == 0 and licenses.scan(docs).count() == 6
+
+
 @pytest.mark.parametrize("apply", [quality_rules.judge, quality_rules.kept, licenses.scan])
 def test_no_rows_give_no_rows(empty, apply):
     assert apply(empty).collect() == []

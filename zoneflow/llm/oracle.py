@@ -36,13 +36,20 @@ rep as (select r, sum(least(5, coalesce(nk - k, 5))) as n
         from (select r, k, lead(k) over (partition by r order by k) as nk from wide where c > 1) group by r),
 ln as (select r, source, text, list_filter(list_transform(string_split(lower(text), chr(10)),
               lambda x: trim(x, {_BLANKS})), lambda x: x <> '') as ls from d),
-lo as (select *, ls[list_position(list_transform(ls, lambda x: length(x)),
-                                  list_max(list_transform(ls, lambda x: length(x))))] as longest from ln),
-line as (select r, source, text, longest, unnest(ls) as x from lo),
-counts as (select source, x, count(distinct text) as texts, count(distinct longest) as kinds from line group by source, x),
+line as (select r, source, text, unnest(ls) as x from ln),
+counts as (select source, x, count(distinct text) as texts from line group by source, x),
 hosts as (select source, count(distinct text) as docs from d group by source),
-above as (select c.source, c.x from counts c join hosts h on h.source is not distinct from c.source
-          where texts > greatest(20.0, 0.05 * docs) and kinds >= 0.5 * texts),
+often as (select c.source, c.x, texts from counts c join hosts h on h.source is not distinct from c.source
+          where texts > greatest(20.0, 0.05 * docs)),
+word as (select source, text, unnest(regexp_extract_all(x, {_WORD})) as w from line
+         where not exists (select 1 from often o where o.x = line.x and o.source is not distinct from line.source)),
+tops as (select source, text, w from word
+         qualify row_number() over (partition by source, text order by length(w) desc, w desc) = 1),
+held as (select distinct l.source, l.text, l.x, o.texts from line l
+         join often o on o.x = l.x and o.source is not distinct from l.source),
+above as (select h.source, h.x from held h left join tops t on t.text = h.text and t.source is not distinct from h.source
+          group by h.source, h.x, h.texts
+          having count(distinct t.w) + max(case when t.w is null then 1 else 0 end) >= 0.5 * h.texts),
 gone as (select l.r, sum(len(regexp_extract_all(l.x, {_WORD}))) as n from line l
          join above a on a.x = l.x and a.source is not distinct from l.source group by l.r),
 facts as (select d.doc_id, cast(len(ws) as bigint) as n_words,
@@ -54,7 +61,8 @@ facts as (select d.doc_id, cast(len(ws) as bigint) as n_words,
                  cast(coalesce(rep.n, 0) as bigint) as n_repeat_words, cast(coalesce(gone.n, 0) as bigint) as gone
           from d left join rep using (r) left join gone using (r))
 select * exclude (gone), n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
-       not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and n_words - gone >= 0.2 * n_words as kept
+       not (n_words < 10 or 100 * n_repeat_words > 20 * n_words)
+           and (n_words - gone >= 0.2 * n_words or n_words - gone >= 30) as kept
 from facts"""
 
 _NEGATIVES = """

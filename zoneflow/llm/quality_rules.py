@@ -12,10 +12,10 @@ from zoneflow.llm import common
 
 #: A line is above the limit in over SHARE of a host's documents, MOST_FEW at the least.
 SHARE, MOST_FEW = 0.05, 20
-#: And at least that share of the documents with the line differ in the longest of their other lines.
+#: And at least that share of the documents with the line differ in what is left without all such lines.
 DIVERSE = 0.5
-#: A document is depleted when less than that share of its words is left.
-LEFT = 0.2
+#: A document is depleted when less than that share of its words is left, and fewer words than that.
+LEFT, LEFT_WORDS = 0.2, 30
 _BLANKS = " \t\n\x0b\x0c\r"
 _WINDOW = 5
 
@@ -53,7 +53,8 @@ def _facts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFr
     )
     n_words = lambda x: F.size(F.split(F.regexp_replace(x, common.BLANK + "+", " "), " "))
     normal = F.transform(F.split(F.lower("text"), "\n"), lambda x: F.btrim(x, blank))
-    lines = F.transform(F.filter(normal, lambda x: x != ""), lambda x: F.struct(F.xxhash64(x).alias("line"), n_words(x).alias("words"), F.length(x).alias("chars")))
+    longest = lambda x: F.array_max(F.transform(F.split(x, common.BLANK + "+"), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
+    lines = F.transform(F.filter(normal, lambda x: x != ""), lambda x: F.struct(F.xxhash64(x).alias("line"), n_words(x).alias("words"), longest(x).alias("top")))
     return rows.select(
         "_f", "_r", "doc_id", "host", F.xxhash64("text").alias("body"), counts.alias("c"), lines.alias("lines"),
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).alias("n_symbols"),
@@ -64,41 +65,38 @@ def _facts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFr
 def frequent_lines(facts: DataFrame, share: float, most_few: int, diverse: float) -> DataFrame:
     """(`host`, `line`) above the limit.
 
-    Copies count once: a document is its text. Near copies share most lines, so a line also has to
-    stand in documents that differ apart from it: in the longest of their other lines. Lines that
-    stand in exactly the same documents are one block and no other lines to each other, so a
-    notice of several lines does not shield itself. What only one group of near copies has is no
-    boilerplate. Counting goes by (host, line, text) and (host, line, other line) first, so a line
-    that every document has is summed up in many tasks.
+    Copies count once: a document is its text. Near copies share most lines too, so the documents
+    with a line also have to differ in what is left of them without all lines over the count: in the
+    longest word of that, which an edit seldom hits. So a header, a footer and a notice do not
+    shield each other, and what only one group of near copies has is no boilerplate. Counting goes by
+    (host, line, text) and (host, line, longest word) first, so a line that every document has is
+    summed up in many tasks.
     """
-    each = facts.select("host", "body", F.explode("lines.line").alias("line"))
+    each = facts.select("host", "body", F.inline("lines"))
     texts = each.groupBy("host", "line", "body").agg(F.lit(1).alias("one"))
-    counts = texts.groupBy("host", "line").agg(F.count("*").alias("texts"), F.bit_xor(F.xxhash64("body")).alias("where"))
+    counts = texts.groupBy("host", "line").agg(F.count("*").alias("texts"))
     hosts = facts.select("host", "body").groupBy("host", "body").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("docs"))
     above = F.col("texts") > F.greatest(F.lit(float(most_few)), share * F.col("docs"))
     many = counts.where(F.col("texts") > most_few).join(hosts, "host").where(above)
-    many = common.written(many.select("host", "line", F.xxhash64("texts", "where").alias("block")), "shared-lines")
-    lines = facts.select("host", "body", F.posexplode("lines")).select("host", "body", (-F.col("pos")).alias("i"), "col.line", "col.chars")
-    top = F.max(F.struct("chars", "i", "line")).alias("top")
-    blocks = lines.join(many, ["host", "line"], "left").groupBy("host", "body", F.coalesce("block", "line").alias("block"))
-    blocks = blocks.agg(top, F.collect_set(F.when(F.col("block").isNotNull(), F.col("line"))).alias("shared"))
-    ranked = blocks.groupBy("host", "body").agg(F.sort_array(F.collect_list(F.struct("top", "shared")), asc=False).alias("ranked"))
-    other = F.when(F.col("pos") > 0, F.col("ranked")[0]["top"]["line"]).otherwise(F.get("ranked", F.lit(1))["top"]["line"])
-    apart = ranked.select("host", "ranked", F.posexplode("ranked")).where(F.size("col.shared") > 0).select("host", F.explode("col.shared").alias("line"), other.alias("other"))
-    kinds = apart.groupBy("host", "line", "other").agg(F.count("*").alias("texts"))
+    many = common.written(many.select("host", "line", F.lit(True).alias("often")), "shared-lines")
+    marked = each.join(many, ["host", "line"], "left")
+    # of each text with such a line: those lines, and the longest word of the others
+    left = marked.groupBy("host", "body").agg(F.collect_set(F.when(F.col("often"), F.col("line"))).alias("often"), F.max(F.when(F.col("often").isNull(), F.col("top"))).alias("top"))
+    kinds = left.where(F.size("often") > 0).select("host", F.explode("often").alias("line"), F.col("top.w").alias("top"))
+    kinds = kinds.groupBy("host", "line", "top").agg(F.count("*").alias("texts"))
     kinds = kinds.groupBy("host", "line").agg(F.count("*").alias("kinds"), F.sum("texts").alias("texts"))
     return kinds.where(F.col("kinds") >= diverse * F.col("texts")).select("host", "line")
 
 
 def judge(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-    share: float = SHARE, most_few: int = MOST_FEW, diverse: float = DIVERSE, left: float = LEFT,
+    share: float = SHARE, most_few: int = MOST_FEW, diverse: float = DIVERSE, left: float = LEFT, left_words: int = LEFT_WORDS,
 ) -> DataFrame:
     """`_f`, `_r` (the row), `doc_id`, the base counts, `n_words_left`, `base_failed`, `kept`, for each row.
 
     A row fails the base rules with fewer than 10 words, or with over 20 % of its words in repeated
     five-word windows. Apart from that, lines above the limit of their host are taken out, and a row
-    with less than `left` of its words after that is rejected. Lines are compared in lower case,
+    with less than `left` of its words and fewer than `left_words` after that is rejected. Lines are compared in lower case,
     without blanks at their ends; windows and lines by 64-bit hashes.
 
     Null texts have no words. A null host is a host of its own. Equal rows are judged alike. An
@@ -114,7 +112,7 @@ def judge(
     longs = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return out.select(
         "_f", "_r", "doc_id", *[F.col(c).cast("long").alias(c) for c in longs], kept_words.cast("long").alias("n_words_left"),
-        failed.alias("base_failed"), (~failed & (kept_words >= left * F.col("n_words"))).alias("kept"),
+        failed.alias("base_failed"), (~failed & ((kept_words >= left * F.col("n_words")) | (kept_words >= left_words))).alias("kept"),
     )
 
 
