@@ -73,9 +73,23 @@ def test_near_dedup_goes_by_five_words_and_similarity(spark):
     assert {r.doc_id for r in simhash.one_of_each(df).collect()} != want  # 3 bits are another rule
 
 
-@pytest.mark.parametrize("light", [0, 2, 32])
-def test_near_dedup_of_large_groups(spark, light, monkeypatch):
+def test_sketches_rule_out_no_similar_pair():
+    rng = random.Random(4)
+    for _ in range(300):
+        n = rng.choice([1, 5, 60, 64, 65, 300, 1500])
+        base = [rng.randrange(-(2**63), 2**63) for _ in range(n)]
+        other = base[: rng.randrange(n + 1)] + [rng.randrange(-(2**63), 2**63) for _ in range(rng.randrange(n + 1))]
+        x, y = (near_copies.np.unique(near_copies.np.array(s, near_copies.np.int64)) for s in (base, other or base))
+        shared = len(set(x.tolist()) & set(y.tolist()))
+        bits = near_copies.apart(near_copies.sketch(x), near_copies.sketch(y))
+        assert bits <= len(x) + len(y) - 2 * shared
+        assert near_copies._within(bits, len(x), len(y)) or 5 * shared < 4 * (len(x) + len(y) - shared)
+
+
+@pytest.mark.parametrize("light,many", [(0, 0), (0, 16), (2, 16), (32, 16)])
+def test_near_dedup_of_large_groups(spark, light, many, monkeypatch):
     """Hundreds of texts that meet often and are linked in chains, or not at all; pairs by shingle, in blocks, or both."""
+    monkeypatch.setattr(near_copies, "MANY", many)
     monkeypatch.setattr(near_copies, "LIGHT", light)
     monkeypatch.setattr(near_copies, "BLOCK", 20)
     monkeypatch.setattr(near_copies, "PIECE", 7)
