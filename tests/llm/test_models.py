@@ -59,7 +59,7 @@ def test_verdicts(request, spark, monkeypatch, name, limit):
     counts = Counter()
     for r in pages.select("html").collect():
         counts.update(w for w in re.findall("[a-z]+", re.sub("<[^>]*>", " ", r.html or "").lower()) if len(w) <= url_filters.LONGEST)
-    assert url_filters.lexicon(pages) == dict(counts)
+    assert {r.word: r.n for r in url_filters.lexicon(pages).collect()} == dict(counts)
     total = sum(counts.values()) + 1
     log_p, unknown = {w: math.log(n / total) for w, n in counts.items()}, -math.log(total) - 2.0
     words = cache(lambda piece: url_filters.segment(piece, log_p, unknown))
@@ -69,19 +69,13 @@ def test_verdicts(request, spark, monkeypatch, name, limit):
     assert all(w[5] == g[5] or math.isclose(w[5], g[5], rel_tol=1e-6, abs_tol=1e-6) for w, g in zip(want, got))
 
 
-def test_lexicon_is_bounded(spark, monkeypatch):
-    pages = spark.createDataFrame([(1, None, "a a a b b c c d")], "page_id long, url string, html string")
-    for limit, want in ((4, "abcd"), (3, "abc"), (2, "a"), (0, "")):
-        monkeypatch.setattr(url_filters, "LEXICON", limit)
-        assert sorted(url_filters.lexicon(pages)) == list(want)
-
-
-def test_sample_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(preference, "SAMPLE", 50)
-    rows_ = spark.range(1000).select(F.col("id").alias("doc_id"), F.array(F.col("id").cast("double")).alias("x"))
-    got = preference._sample(rows_, 1000)
-    assert 20 < len(got) <= 50 and (got == preference._sample(rows_.repartition(7), 1000)).all()
-    assert len(preference._sample(rows_.limit(30), 30)) == 30
+def test_rare_words_split_names_too(spark):
+    """However many words are more frequent: each counted word is found in a name."""
+    many = " ".join(f"{a}{b}{c}x" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz")
+    pages = [(i, "http://a.net/zorkblim", f"<p>{many}</p>") for i in range(3)] + [(9, "http://zorkblim.net/", "<p>zork blim</p>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    pieces = spark.createDataFrame([("zorkblim",), ("aku",), ("é",)], "piece string")
+    assert {r.piece: r.words for r in url_filters.words_of(pieces, url_filters.lexicon(df)).collect()}["zorkblim"] == ["zork", "blim"]
 
 
 def test_segments():

@@ -16,11 +16,9 @@ common.shipped(__name__)
 
 #: Fixed by the contract: verdict, host, path.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-#: Most frequent words that the segmenter holds, and its longest word.
-LEXICON, LONGEST = 1 << 16, 24
-#: Names whose words a task remembers.
-REMEMBERED = 100_000
-#: Tokens whose weights are broadcast at most; with more, tokens are joined by a shuffle.
+#: The longest word that is looked for in a name.
+LONGEST = 24
+#: Tokens or names that are broadcast at most; with more, they are joined by a shuffle.
 BROADCAST = 500_000
 _PIECES = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7F]+")
 
@@ -59,47 +57,62 @@ def segment(name: str, log_p: dict[str, float], unknown: float) -> list[str]:
     return words[::-1]
 
 
-def tokens_of(host: str, path: str, words) -> list[str]:
-    """Words of the host's names and of the path, with where they stand; numbers by length; the host's last name whole."""
+def pieces_of(host: str, path: str) -> list[tuple[str, str | None]]:
+    """Tokens of a url, each with no piece, and pieces whose words are to be found, with where they stand.
+
+    Runs of letters of the host's names and of the path are pieces; numbers count by length; the host's last name is whole.
+    """
     *names, top = host.split(".")
-    out = [f"top:{top}"] if top else []
+    out: list[tuple[str, str | None]] = [(f"top:{top}", None)] if top else []
     for place, text in [*(("h", n) for n in names), ("p", path.lower())]:
         for piece in _PIECES.findall(text):
-            if piece.isascii() and piece.isdigit():
-                out.append(f"{place}:#{len(piece)}")
-            else:
-                out += [f"{place}:{w}" for w in words(piece)]
+            number = piece.isascii() and piece.isdigit()
+            out.append((f"{place}:#{len(piece)}", None) if number else (place, piece))
     return out
 
 
-def _tokens(lexicon):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = lexicon.value
-        total = sum(counts.values()) + 1
-        log_p = {w: math.log(n / total) for w, n in counts.items()}
-        unknown = -math.log(total) - 2.0
-        known: dict[str, list[str]] = {}
+def tokens_of(host: str, path: str, words) -> list[str]:
+    """All tokens of a url, where `words` gives those of a piece."""
+    return [t for mark, piece in pieces_of(host, path) for t in ([mark] if piece is None else [f"{mark}:{w}" for w in words(piece)])]
+
 
-        def words(piece: str) -> list[str]:
-            if piece not in known:
-                if len(known) > REMEMBERED:
-                    known.clear()
-                known[piece] = segment(piece, log_p, unknown)
-            return known[piece]
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("mark", pa.string()), ("piece", pa.string())]))
+    for batch in batches:
+        found = [[{"mark": m, "piece": x} for m, x in pieces_of(h, p)] for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())]
+        yield pa.record_batch([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, "marks"])
 
+
+def _segmented(total: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unknown = -math.log(total) - 2.0
         for batch in batches:
-            found = [tokens_of(h, p, words) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())]
-            yield pa.record_batch([*batch.columns, pa.array(found, pa.list_(pa.string()))], names=[*batch.schema.names, "tokens"])
+            held = (dict(x or ()) for x in batch.column("held").to_pylist())
+            found = [segment(piece, {w: math.log(n / total) for w, n in counts.items()}, unknown) for piece, counts in zip(batch.column("piece").to_pylist(), held)]
+            yield pa.record_batch([batch.column("piece"), pa.array(found, pa.list_(pa.string()))], names=["piece", "words"])
 
     return run
 
 
-def lexicon(pages: DataFrame, html_col: str = "html") -> dict[str, int]:
-    """Counts of the most frequent words of all pages' text, LEXICON at most: all or none of those that are equally frequent."""
+def words_of(pieces: DataFrame, counts: DataFrame) -> DataFrame:
+    """`piece`, `words`: the likeliest split of each distinct piece.
+
+    All parts of a piece, up to LONGEST letters, are joined with the counted words; a piece comes to
+    its split with the words that it holds, so no task holds the lexicon.
+    """
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] + 1
+    starts = pieces.select("piece", F.explode(F.sequence(F.lit(1), F.length("piece"))).alias("at"))
+    parts = starts.select("piece", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("piece") - F.col("at") + 1))).alias("n"))
+    held = parts.select("piece", F.col("piece").substr(F.col("at"), F.col("n")).alias("word")).distinct().join(counts, "word")
+    held = held.groupBy("piece").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("held"))
+    return pieces.join(held, "piece", "left").mapInArrow(_segmented(total), "piece string, words array<string>")
+
+
+def lexicon(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """`word`, `n`: counts of all words of all pages' text, LONGEST letters at most."""
     text = F.regexp_replace(F.coalesce(F.col(html_col), F.lit("")), "<[^>]*>", " ")
     words = pages.select(F.explode(F.split(F.lower(text), "[^a-z]+")).alias("word")).where(F.length("word").between(1, LONGEST))
-    counts = common.written(words.groupBy("word").agg(F.count("*").alias("n")), "page-words")
-    return {r.word: r.n for r in counts.where(common.most(counts, "n", LEXICON)).collect()}
+    return common.written(words.groupBy("word").agg(F.count("*").alias("n")), "page-words")
 
 
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -114,27 +127,32 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     the classes' sizes. Without decided urls all log odds are 0 and verdicts allow. Null html adds
     no words. Equal rows are judged each. An empty table gives no rows.
     """
-    sc = pages.sparkSession.sparkContext
-    words = sc.broadcast(lexicon(pages, html_col))
+    counts = lexicon(pages, html_col)
     rows = common.keyed(pages, id_col, url_col).select("_f", "_r", F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     kind = rows.schema["page_id"].dataType.simpleString()
-    split = rows.mapInArrow(_tokens(words), f"_f long, _r long, page_id {kind}, host string, path string, tokens array<string>")
-    split = common.written(split.withColumn("by_rule", ruled(F.col("host"), F.col("path"), rules)), "url-tokens")
+    split = rows.mapInArrow(_marked, f"_f long, _r long, page_id {kind}, host string, path string, marks array<struct<mark:string,piece:string>>")
+    split = common.written(split.withColumn("by_rule", ruled(F.col("host"), F.col("path"), rules)), "url-pieces")
+    marks = split.select("_f", "_r", F.col("by_rule.verdict").alias("decided"), F.inline("marks"))
+    pieces = common.written(marks.where("piece is not null").select("piece").distinct(), "pieces")
+    found = common.written(words_of(pieces, counts), "piece-words")
+    if found.count() <= BROADCAST:
+        found = F.broadcast(found)
+    token = F.when(F.col("piece").isNull(), F.array("mark")).otherwise(F.transform("words", lambda w: F.concat("mark", F.lit(":"), w)))
+    tokens = common.written(marks.join(found, "piece", "left").select("_f", "_r", "decided", F.explode(token).alias("token")), "url-tokens")
 
     block = (F.col("by_rule.verdict") == "block").cast("long")
     sides = split.where("by_rule is not null").agg(F.coalesce(F.sum(block), F.lit(0)), F.coalesce(F.sum(1 - block), F.lit(0))).first()
     prior = math.log((sides[0] + 1) / (sides[1] + 1))
-    learned = split.where("by_rule is not null").select(block.alias("block"), F.explode("tokens").alias("token"))
+    learned = tokens.where("decided is not null").select((F.col("decided") == "block").cast("long").alias("block"), "token")
     counts = common.written(learned.groupBy("token").agg(F.sum("block").alias("b"), F.sum(1 - F.col("block")).alias("a")), "url-counts")
     n, b, a = counts.agg(F.count("*"), F.coalesce(F.sum("b"), F.lit(0)), F.coalesce(F.sum("a"), F.lit(0))).first()
     unseen = math.log((a + n + 1) / (b + n + 1))
     weights = counts.select("token", (F.log((F.col("b") + 1) / (F.col("a") + 1)) + unseen).alias("w"))
     if n <= BROADCAST:
         weights = F.broadcast(weights)
-    rest = split.where("by_rule is null")
-    sums = rest.select("_f", "_r", F.explode("tokens").alias("token")).join(weights, "token", "left")
+    sums = tokens.where("decided is null").join(weights, "token", "left")
     sums = sums.groupBy("_f", "_r").agg(F.sum(F.coalesce("w", F.lit(unseen))).alias("sum"))
     odds = F.when(F.col("by_rule").isNull(), prior + F.coalesce("sum", F.lit(0.0)))
-    out = split.drop("tokens").join(sums, ["_f", "_r"], "left").withColumn("log_odds", odds)
+    out = split.drop("marks").join(sums, ["_f", "_r"], "left").withColumn("log_odds", odds)
     verdict = F.coalesce("by_rule.verdict", F.when(F.col("log_odds") > 0, "block").otherwise("allow"))
     return out.select("page_id", "host", "path", F.col("by_rule.rule").alias("rule"), verdict.alias("verdict"), "log_odds")
