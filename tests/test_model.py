@@ -3,9 +3,10 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from zoneflow.operators import stations
@@ -33,6 +34,24 @@ def test_model_inputs(table):
     assert len(cols) == 21 and not {"time", "demand_mw", "observation_count", "y_1h"} & set(cols)
 
 
+def test_a_shortened_model_is_the_one_fitted_that_far(spark):
+    rows = [(Vectors.dense(float(i % 7), float(i * 13 % 11)), float(i % 7 * 3 + i * 13 % 11 + i % 3)) for i in range(200)]
+    df = spark.createDataFrame(rows, ["x", "y"])
+    fit = lambda rounds: GBTRegressor(featuresCol="x", labelCol="y", predictionCol="p", maxIter=rounds, maxDepth=3, seed=7).fit(df)
+    short, again = model.shortened(fit(9), 4), fit(4)
+    splits = lambda m: [t.toDebugString.split("\n", 1)[1] for t in m.trees]
+    assert splits(short) == splits(again) and short.treeWeights == again.treeWeights
+    assert [r.p for r in short.transform(df).collect()] == [r.p for r in again.transform(df).collect()]
+
+
+def test_a_shortened_model_can_be_stored(spark, tmp_path):
+    df = spark.createDataFrame([(Vectors.dense(float(i)), float(i * i)) for i in range(50)], ["x", "y"])
+    short = model.shortened(GBTRegressor(featuresCol="x", labelCol="y", maxIter=5, seed=7).fit(df), 2)
+    PipelineModel([short]).write().overwrite().save(str(tmp_path / "m"))
+    back = PipelineModel.load(str(tmp_path / "m"))
+    assert [r.prediction for r in back.transform(df).collect()] == [r.prediction for r in short.transform(df).collect()]
+
+
 def test_train_register_promote_predict(spark, table, tmp_path):
     frame = model.with_split(model.training_frame(table), test_days=7, val_days=7).cache()
     models, report = model.train_all(frame, max_iter=5, max_depth=3)

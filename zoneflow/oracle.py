@@ -468,6 +468,20 @@ def oracle_sql() -> dict[str, str]:
             """select time + interval 1 hour as time, zone from grid
                where (zone, time + interval 1 hour) not in (select (zone, time) from load_pjm)""",
         ),
+        "facility_sheet": """
+            select 'site ' || o_orderkey as facility_name, o_orderkey || ' "Old" Mill, Rd' as address,
+                   cast(null as varchar) as city, o_orderstatus as state,
+                   lpad(cast(o_custkey % 20000 as varchar), 5, '0') as zip, '100-200' as mw,
+                   case when o_orderkey % 5 <> 0 then o_orderkey % 90 + 0.5::double end as lat,
+                   case when o_orderkey % 9 <> 0 then o_orderkey % 180 - 179.5::double end as "long",
+                   case when o_orderkey % 7 <> 0 then cast(o_orderdate as date) end as date_created,
+                   cast(null as date) as date_updated from orders""",
+        "features_without_time": _sql(
+            "order_hours",
+            """select row_id, isodow(eastern) >= 6 as is_weekend, hour(eastern) between 14 and 18 as is_peak_hour,
+               false as has_time from order_hours""",
+        ),
+        "horizon_labels": "select o_orderkey as row_id, cast(o_orderkey % 100 as int) as horizon_h from orders",
         "snapshot_latest": """
             select o_custkey as facility_id, date_trunc('month', o_orderdate)::timestamp as synced_at,
                    o_orderkey as row_id, o_orderstatus as status from orders

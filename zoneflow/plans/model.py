@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,14 +119,26 @@ def stop_round(errors: list[float], patience: int) -> int:
     return best + 1
 
 
+def shortened(fitted: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model as it was after so many rounds: boosting never changes the trees before."""
+    java, gateway = fitted._java_obj, SparkSession.getActiveSession().sparkContext._gateway
+    kinds = gateway.jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(kinds.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
+    short = kinds.GBTRegressionModel(java.uid(), trees, weights)
+    short.setFeaturesCol(fitted.getFeaturesCol()).setPredictionCol(fitted.getPredictionCol())
+    return GBTRegressionModel(short)
+
+
 def train_horizon(
     df: DataFrame, horizon: int, max_iter: int = 100, max_depth: int = 5, patience: int = 50
 ) -> PipelineModel:
     """Gradient-boosted trees on train rows, stopped early on val rows.
 
     `df` has the `split` column. Fitting ends with the best round before `patience` rounds without
-    a lower validation error; rounds after it are left out by fitting up to it again, which gives
-    the same trees. Missing inputs are filled and marked; the zone is categorical.
+    a lower validation error; the trees of later rounds are left out. Missing inputs are filled and marked; the zone is categorical.
     """
     label = f"y_{horizon}h"
     fit_on = df.filter(F.col(label).isNotNull() & (F.col("split") == "train"))
@@ -136,17 +148,14 @@ def train_horizon(
     stages, _ = _inputs(df, fit_on)
     prepared = Pipeline(stages=stages).fit(fit_on)
 
-    def trees(rounds: int) -> GBTRegressor:
-        names = {"featuresCol": "_inputs", "labelCol": label, "predictionCol": f"pred_{horizon}h"}
-        return GBTRegressor(**names, maxIter=rounds, maxDepth=max_depth, maxBins=64, seed=7)
-
-    inputs = prepared.transform(fit_on).select("_inputs", label)
-    fitted = trees(max_iter).fit(inputs)
+    names = {"featuresCol": "_inputs", "labelCol": label, "predictionCol": f"pred_{horizon}h"}
+    trees = GBTRegressor(**names, maxIter=max_iter, maxDepth=max_depth, maxBins=64, seed=7)
+    fitted = trees.fit(prepared.transform(fit_on).select("_inputs", label))
     if not val.isEmpty():
         errors = fitted.evaluateEachIteration(prepared.transform(val).select("_inputs", label), "squared")
         rounds = stop_round(errors, patience)
         if rounds < max_iter:
-            fitted = trees(rounds).fit(inputs)
+            fitted = shortened(fitted, rounds)
     return PipelineModel([*prepared.stages, fitted])
 
 

@@ -16,7 +16,7 @@ from zoneflow.operators.series import day_index
 from zoneflow.plans import features as feats
 from zoneflow.plans import model, serve, staging
 from zoneflow.plans.build import SCHEMAS, Warehouse
-from zoneflow.schemas import CONTRACTS, HORIZONS, LMP, LOAD, MESSAGE, SOURCES, STATION_SEED, TOTAL_ZONE, WEATHER, WEATHER_COLS
+from zoneflow.schemas import CONTRACTS, FACILITY_COORDS, FACILITY_DATES, FACILITY_TEXT, HORIZONS, LMP, LOAD, MESSAGE, SOURCES, STATION_SEED, TOTAL_ZONE, WEATHER, WEATHER_COLS
 from zoneflow.sources import files, tables
 from zoneflow.streaming import hourly, ingest, shaping
 
@@ -552,6 +552,24 @@ def station_seed(s: SparkSession, d: str) -> DataFrame:
     return files.read_stations(s, path).select("zone_id", "city")
 
 
+@query
+def facility_sheet(s: SparkSession, d: str) -> DataFrame:
+    """A sheet with more columns than are read, quoted text, dates and coordinates that are none."""
+    path, k = session.scratch(s, "facilities"), F.col("o_orderkey")
+    day = lambda c: F.when(k % 7 == 0, F.lit("TBD")).otherwise(F.date_format(c, "M/d/yyyy"))
+    made = {
+        "facility_name": F.concat(F.lit("site "), k.cast("string")), "address": F.concat(k.cast("string"), F.lit(' "Old" Mill, Rd')),
+        "zip": F.lpad((F.col("o_custkey") % 20000).cast("string"), 5, "0"), "state": F.col("o_orderstatus"), "mw": F.lit("100-200"),
+        "lat": F.when(k % 5 == 0, F.lit("n/a")).otherwise((k % 90 + 0.5).cast("string")), "long": F.when(k % 9 == 0, F.lit("NaN")).otherwise((k % 180 - 179.5).cast("string")),
+        "date_created": day(F.col("o_orderdate")), "date_updated": F.date_format("o_orderdate", "yyyy-MM-dd"),
+    }
+    columns = ["notes", *FACILITY_DATES, *FACILITY_TEXT, "contact", *FACILITY_COORDS]
+    rows = fx.table(s, d, "orders").select(*[made.get(c, F.lit(None).cast("string")).alias(c) for c in columns])
+    rows.write.csv(path, header=True, escape='"')
+    sheet = files.read_facilities(s, path, columns)
+    return sheet.select("facility_name", "address", "city", "state", "zip", "mw", "lat", "long", "date_created", "date_updated")
+
+
 @query
 def sorted_csv(s: SparkSession, d: str) -> DataFrame:
     path = session.scratch(s, "sorted")
@@ -591,6 +609,21 @@ def calendar_features(s: SparkSession, d: str) -> DataFrame:
     return _rounded(out, "hour_sin", "hour_cos", "month_sin", "month_cos", digits=9)
 
 
+@query
+def features_without_time(s: SparkSession, d: str) -> DataFrame:
+    """The features of the model alone: time is dropped once its parts are taken."""
+    out = calendar.features(fx.order_hours(s, d).drop("temperature", "zone", "demand_mw").withColumn("temperature", F.lit(20.0)))
+    return out.select("row_id", "is_weekend", "is_peak_hour", F.lit("time" in out.columns).alias("has_time"))
+
+
+@query
+def horizon_labels(s: SparkSession, d: str) -> DataFrame:
+    """Hours from the two ways in which horizons are written."""
+    h = (F.col("row_id") % 100).cast("string")
+    text = F.when(F.col("row_id") % 3 == 0, F.concat(h, F.lit("h"))).otherwise(F.concat(F.lit("y_"), h, F.lit("h")))
+    return fx.order_hours(s, d).select("row_id", display.horizon_hours(text).alias("horizon_h"))
+
+
 @query
 def degree_days(s: SparkSession, d: str) -> DataFrame:
     temps = fx.order_hours(s, d).withColumn("temperature", F.when(F.col("row_id") % 5 != 0, F.col("temperature")))
