@@ -5,9 +5,10 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from zoneflow import session
 from zoneflow.functions.codec import decode_messages, split_valid
 from zoneflow.schemas import MESSAGE, Contract
 from zoneflow.sources import tables
@@ -81,21 +82,27 @@ def write_batch(
     batch: DataFrame, contract: Contract, table_path: str, dlq_path: str, batch_tag: str
 ) -> IngestResult:
     """One micro-batch. Keyed tables are upserted; the unkeyed one gets a batch partition.
-    Both, and the dead letters, can be written again with the same result."""
+    Both, and the dead letters, can be written again with the same result.
+
+    The source is read and decoded once, into a staged table; both counts are observed on the way.
+    """
     spark = batch.sparkSession
-    decoded = decode_messages(batch, contract).persist()
+    staged, seen = session.scratch(spark, "batch"), Observation()
+    decoded = decode_messages(batch, contract)
+    counted = decoded.observe(seen, F.count_if("is_valid").alias("written"), F.count_if(~F.col("is_valid")).alias("dead_lettered"))
     try:
-        counts = decoded.agg(F.count_if("is_valid"), F.count_if(~F.col("is_valid"))).first()
-        rows, dead = split_valid(decoded, contract)
-        if counts[1]:
+        counted.write.parquet(staged)
+        done = IngestResult(**seen.get)
+        rows, dead = split_valid(spark.read.schema(decoded.schema).parquet(staged), contract)
+        if done.dead_lettered:
             dead.write.mode("overwrite").parquet(f"{dlq_path}/{tables.BATCH}={batch_tag}")
-        if counts[0] and contract.keys:
+        if done.written and contract.keys:
             tables.upsert_table(spark, table_path, contract.schema, rows, list(contract.keys), "offset")
-        elif counts[0]:
+        elif done.written:
             tables.append_batch(rows.select(*contract.schema.fieldNames()), table_path, batch_tag)
-        return IngestResult(*counts)
+        return done
     finally:
-        decoded.unpersist()
+        session.delete(spark, staged)
 
 
 def drain(
