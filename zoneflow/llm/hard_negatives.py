@@ -14,8 +14,8 @@ from zoneflow.llm import common, vectors
 common.shipped(__name__)
 common.shipped(vectors.__name__)
 
-#: Rows of a block, and anchors of a block; every pair of blocks is a group.
-ROWS, ANCHORS = 1 << 13, 1 << 12
+#: Rows of a block at most, or at least where that gives up to BLOCKS blocks; anchors of a block. Every pair of blocks is a group.
+ROWS, LEAST, BLOCKS, ANCHORS = 1 << 16, 1 << 11, 64, 1 << 15
 #: Of so many blocks one is joined first: what it finds bounds the thresholds of the others.
 FIRST = 16
 #: Components that are added before remaining norms are looked at; anchors that are scored at once.
@@ -216,7 +216,8 @@ def mine(
     schema = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
     if not dim:
         return common.frame(df.sparkSession, [], schema)
-    blocks = -(-rows.count() // ROWS)
+    n = rows.count()
+    blocks = max(-(-n // ROWS), min(BLOCKS, -(-n // LEAST)))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("_r", "_f"), F.lit(blocks)).cast("int"))
     ask = rows.where(anchors).select("_f", "_r", "id", "label", "vector")
     ends = F.array(F.struct(F.lit(-(1 << 62)).cast("long").alias("low"), F.lit(1 << 62).cast("long").alias("high")))
