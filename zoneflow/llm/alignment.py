@@ -70,43 +70,47 @@ class Piece:
 
 
 class Tokens:
-    """Ids of both vocabularies for a space and a word, as 16-bit numbers; whether both spell it.
+    """Ids of both vocabularies for a space and a word, as 16-bit numbers; None where a side does not spell it.
 
     No token crosses a space between visible signs, so the ids of a text are those of its words, and words repeat.
     """
 
     def __init__(self, a: str, b: str) -> None:
         self.a, self.b = Byte(a), Piece(b)
-        self.known: dict[str, tuple[tuple[bytes, bytes], bool]] = {}
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
 
-    def _found(self, word: str, a: list[int], b: list[int]) -> tuple[tuple[bytes, bytes], bool]:
-        whole, x, y = (SPACE + word).encode("utf-8", "surrogatepass"), self.a.bytes, self.b.bytes
-        spelled = b"".join([x[i] for i in a]) == whole == b"".join([y[i] for i in b])
-        return (array("H", a).tobytes(), array("H", b).tobytes()), spelled
+    def _found(self, word: str) -> tuple[bytes, bytes] | None:
+        a, b, whole = self.a.encode(SPACE + word), self.b.encode(word), (SPACE + word).encode("utf-8", "surrogatepass")
+        if b"".join([self.a.bytes[i] for i in a]) == whole == b"".join([self.b.bytes[i] for i in b]):
+            return array("H", a).tobytes(), array("H", b).tobytes()
+        return None
 
     def _learn(self, words: list[str]) -> None:
         """All at once, as one text. A word without blanks has a token that begins with a space at its start only."""
-        at, starts = 0, []
-        for side, text in ((self.a, SPACE + SPACE.join(words)), (self.b, SPACE.join(words))):
-            ids = side.encode(text)
-            starts.append((ids, [k for k, i in enumerate(ids) if side.bytes[i][:1] == b" "] + [len(ids)]))
-        (a, p), (b, q) = starts
-        for at, word in enumerate(words):
-            self.known[word] = self._found(word, a[p[at] : p[at + 1]], b[q[at] : q[at + 1]])
-
-    def words(self, text: str) -> list[tuple[tuple[bytes, bytes], bool]]:
+        text = SPACE.join(words)
+        whole, sides = (SPACE + text).encode("utf-8", "surrogatepass"), []
+        for side, ids in ((self.a, self.a.encode(SPACE + text)), (self.b, self.b.encode(text))):
+            spelled = [side.bytes[i] for i in ids]
+            if b"".join(spelled) != whole:  # some word is not spelled: each by itself
+                self.known.update((w, self._found(w)) for w in words)
+                return
+            sides += [array("H", ids).tobytes(), [2 * k for k, x in enumerate(spelled) if x[:1] == b" "] + [2 * len(ids)]]
+        a, p, b, q = sides
+        self.known.update(zip(words, zip([a[i:j] for i, j in zip(p, p[1:])], [b[i:j] for i, j in zip(q, q[1:])])))
+
+    def words(self, text: str) -> list[tuple[bytes, bytes] | None]:
         words, known = _APART.split(text), self.known
-        out = list(map(known.get, words))
-        if None in out:
+        try:
+            return list(map(known.__getitem__, words))
+        except KeyError:
             if len(known) > REMEMBERED:
                 known.clear()
-            new = dict.fromkeys(w for w, f in zip(words, out) if f is None)
+            new = [w for w in dict.fromkeys(words) if w not in known]
             if plain := [w for w in new if _PLAIN.fullmatch(w)]:
                 self._learn(plain)
-            odd = {w: self._found(w, self.a.encode(SPACE + w), self.b.encode(w)) for w in new if w not in known}
+            odd = {w: self._found(w) for w in new if w not in known}
             known.update((w, f) for w, f in odd.items() if len(w) < 64)
-            out = [known.get(w) or odd.get(w) or self._found(w, self.a.encode(SPACE + w), self.b.encode(w)) for w in words]
-        return out
+            return [known[w] if w in known else odd[w] for w in words]
 
 
 class Windows:
@@ -218,8 +222,8 @@ def _aligned(a: str, b: str, whole: bool):
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                words, spelled = zip(*tokens.words(text)) if text else ((), (False,))
-                if not all(spelled):
+                words = tokens.words(text) if text else [None]
+                if None in words:
                     rows.append((segment, doc, 0, 0, 0, 0, "", b""))
                     continue
                 held, (n_a, n_b, groups), said = windows.of(words)
