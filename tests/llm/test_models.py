@@ -138,18 +138,23 @@ def _kt(a, b):
 class SlowTree:
     """Weighted probabilities by the definition, from all coded bytes anew."""
 
-    def __init__(self, words):
+    def __init__(self, texts):
         self.nodes = defaultdict(Counter)  # (choice, context) -> bit counts, with all contexts' suffixes
-        for w in words:
-            for context, byte in self.coded(w):
+        self.longer = defaultdict(set)
+        self.off = {}
+        for t in texts:
+            for context, byte in self.coded(t):
                 for node, bit in self.choices(byte):
                     for d in range(len(context) + 1):
-                        self.nodes[node, context[len(context) - d :]][bit] += 1
+                        short = context[len(context) - d :]
+                        self.nodes[node, short][bit] += 1
+                        if d:
+                            self.longer[node, short[1:]].add(short)
 
     @staticmethod
-    def coded(word):
-        line = b" " + (word + b" " if word else b"\n")
-        return [(line[max(0, i - context_trees.DEPTH) : i], line[i]) for i in range(1, len(line))]
+    def coded(text):
+        line = b"\n" * context_trees.DEPTH + b"".join(w + b" " for w in context_trees.words_of(text)[:-1]) + b"\n"
+        return [(line[i - context_trees.DEPTH : i], line[i]) for i in range(context_trees.DEPTH, len(line))]
 
     @staticmethod
     def choices(byte):
@@ -158,40 +163,43 @@ class SlowTree:
     def log_w(self, node, context, path, bit):
         """With one more `bit` on `path`, if it is not None."""
         on = bit is not None and path.endswith(context)
+        if not on and (node, context) in self.off:
+            return self.off[node, context]
         c = self.nodes.get((node, context), Counter())
         own = _kt(c[0] + (on and bit == 0), c[1] + (on and bit == 1))
-        if len(context) == context_trees.DEPTH or context[:1] == b" ":
+        if len(context) == context_trees.DEPTH:
             return own
-        seen = {k for n, k in self.by[node] if len(k) == len(context) + 1 and k.endswith(context)}
+        seen = self.longer.get((node, context), set())
         if on:
             seen = seen | {path[len(path) - len(context) - 1 :]}
         below = sum(self.log_w(node, k, path, bit) for k in seen)
-        return math.log(0.5) + max(own, below) + math.log1p(math.exp(-abs(own - below)))
+        out = math.log(0.5) + max(own, below) + math.log1p(math.exp(-abs(own - below)))
+        if not on:
+            self.off[node, context] = out
+        return out
 
-    def log10(self, word):
-        self.by = defaultdict(list)
-        for n, k in self.nodes:
-            self.by[n].append((n, k))
+    def log10(self, text):
         out = 0.0
-        for context, byte in self.coded(word):
+        for context, byte in self.coded(text):
             for node, bit in self.choices(byte):
                 out += self.log_w(node, b"", context, bit) - self.log_w(node, b"", context, None)
         return out / math.log(10)
 
 
 def test_lengths_are_the_tree_s(spark, monkeypatch):
-    texts = [(i, t) for i, t in enumerate(["the then Thin é", "then in\x00n the", None, "", "other thé other others", "unseen inn"])]
+    texts = [(i, t) for i, t in enumerate(["the then Thin é", "then in\x00n the", None, "", "other thé other others", "unseen inn", "the then  Thin é"])]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     held = F.col("doc_id") == 5
     learned = [w for i, t in texts if i != 5 for w in context_trees.words_of(t)]
-    tree, counts = SlowTree(learned), Counter(learned)
+    tree, counts = SlowTree([t for i, t in texts if i != 5]), Counter(learned)
     want = {}
     for i, t in texts:
         own = context_trees.words_of(t)
         over = len(learned) + 0.1 * (len(counts) + 1)
-        want[i] = (i == 5, len(own), sum(w in counts for w in own), len(learned), sum(math.log10((counts[w] + 0.1) / over) for w in own), sum(tree.log10(w) for w in own))
-    for words, keys in ((1 << 20, 1 << 21), (2, 5), (0, 0)):
-        monkeypatch.setattr(context_trees, "HELD_WORDS", words), monkeypatch.setattr(context_trees, "HELD_PAIRS", keys)
+        want[i] = (i == 5, len(own), sum(w in counts for w in own), len(learned), sum(math.log10((counts[w] + 0.1) / over) for w in own), tree.log10(t))
+    for words, keys, stretch, weighted in ((1 << 20, 1 << 21, 1 << 20, 100_000), (2, 5, 7, 9), (0, 0, 1, 1)):
+        for name, value in (("HELD_WORDS", words), ("HELD_PAIRS", keys), ("STRETCH", stretch), ("WEIGHTED", weighted)):
+            monkeypatch.setattr(context_trees, name, value)
         got = {r.doc_id: tuple(r)[1:7] for r in context_trees.score(docs, held).collect()}
         assert got.keys() == want.keys()
         for i in want:
@@ -199,6 +207,15 @@ def test_lengths_are_the_tree_s(spark, monkeypatch):
             assert got[i][4:] == pytest.approx(want[i][4:], abs=1e-6)
 
 
+def test_order_of_words_matters(spark):
+    """What was learned from comes cheaper than the same words in another order."""
+    line = "many small words stand in a row here"
+    turned = " ".join(reversed(line.split()))
+    docs = spark.createDataFrame([(i, line) for i in range(20)] + [(20, line), (21, turned)], "doc_id long, text string")
+    got = {r.doc_id: r for r in context_trees.score(docs, F.col("doc_id") >= 20).collect()}
+    assert got[20].base_score == pytest.approx(got[21].base_score) and got[20].score > got[21].score + 5
+
+
 def test_odd_texts_have_lengths(odd):
     held = F.coalesce(F.col("doc_id") % 10 == 0, F.lit(False))
     got = context_trees.score(odd, held)
@@ -210,6 +227,7 @@ def test_held_out_texts_are_coded_short(spark):
     """Well below the bytes' own entropy, by about as much as for texts that were learned from."""
     d = "/root/testdata/sf0.01"
     got = workload.QUERIES["op7_context_trees"](spark, d)
+    assert got.where("held_out").agg(F.avg((F.col("score") > F.col("base_score")).cast("int"))).first()[0] > 0.5
     mean = {r.held_out: r.b for r in got.groupBy("held_out").agg(F.avg("bits_per_byte").alias("b")).collect()}
     data = b" ".join(w for r in spark.read.parquet(f"{d}/documents.parquet").select("text").collect() for w in context_trees.words_of(r.text))
     shares = np.array([n / len(data) for n in Counter(data).values()])

@@ -1,13 +1,13 @@
-"""Context-tree weighting over the bytes of words: code length of texts under one model of the corpus.
+"""Context-tree weighting over the bytes of texts: code length of texts under one model of the corpus.
 
-A text is a row of words and an end. A word is coded as its bytes and a blank; the context of a byte
-is up to DEPTH bytes before it, no further than the blank that opens the word. So a word's code
-length is the word's own, texts are sums over words, and the corpus comes in as word counts.
+A text is coded as its words, a blank after each, and an end. The context of a byte is the DEPTH
+bytes before it, over the borders of words; before a text's first byte stand ends.
 
 Each byte is eight binary choices. For each choice and each depth of context there is a
 Krichevsky-Trofimov estimate, and a node weighs its own estimate against its deeper contexts, half
 and half at first. Estimates of a fixed corpus do not depend on its order, so all weights follow
-from counts; they are the ones that coding the training texts byte by byte would arrive at.
+from counts; they are the ones that coding the training texts byte by byte would arrive at. So the
+corpus comes in as counts of contexts with their next byte, which tasks count before they are shuffled.
 """
 
 from __future__ import annotations
@@ -25,13 +25,15 @@ from zoneflow.llm import common
 
 common.shipped(__name__)
 
-#: Bytes of context.
+#: Bytes of context: with the byte itself they have to fit into a long.
 DEPTH = 5
 #: Words and (context, byte) pairs that tasks hold at most; the rarer ones are joined.
-HELD_WORDS, HELD_PAIRS = 1 << 20, 1 << 21
+HELD_WORDS, HELD_PAIRS = 1 << 18, 1 << 21
 #: Different words, or pairs, that a task counts before it passes them on.
-COUNTED = 300_000
-_OPEN, _END = 0x20, 0x0A
+COUNTED_WORDS, COUNTED_PAIRS = 300_000, 1_200_000
+#: Bytes of text that are looked at together; pairs that are weighted together, more where contexts share three bytes.
+STRETCH, WEIGHTED = 1 << 20, 100_000
+_END = b"\n"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -52,26 +54,27 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text, held in zip(batch.column("text").to_pylist(), batch.column("held_out").to_pylist()):
             (other if held else learned).update(words_of(text))
-            if len(learned) + len(other) > COUNTED:
+            if len(learned) + len(other) > COUNTED_WORDS:
                 yield flush()
     yield flush()
 
 
-def pair_keys(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Context and byte of each coded byte in 48 bits, and the word it belongs to."""
-    buffer = np.frombuffer(b" " + b" ".join(w or b"\n" for w in words) + b" ", np.uint8)
-    sizes = np.fromiter((len(w) + 1 if w else 2 for w in words), np.int64, len(words))
-    at = np.arange(1, len(buffer))
-    key = buffer[1:].astype(np.int64)
-    within = np.ones(len(at), bool)
-    for d in range(1, DEPTH + 1):
-        within &= at >= d
-        before = buffer[np.maximum(at - d, 0)]
-        key |= np.where(within, before.astype(np.int64) << (8 * d), 0)
-        within &= before != _OPEN
-    owner = np.repeat(np.arange(len(words)), sizes)
-    ended = buffer[np.maximum(at - 1, 0)] == _END  # the blank after the end is not coded
-    return key[~ended], owner[~ended]
+def coded(texts: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Context and byte of each coded byte as one number, and the number of its text, a stretch at a time.
+
+    `texts` are lists of words and the end; texts come in their order.
+    """
+    lines = [_END * DEPTH + b" ".join([*words[:-1], _END]) for words in texts]
+    ends = np.cumsum([0, *map(len, lines)])
+    buffer = np.frombuffer(b"".join(lines), np.uint8)
+    for low in range(DEPTH, len(buffer), STRETCH):
+        high = min(low + STRETCH, len(buffer))
+        owner = np.repeat(np.arange(len(lines)), np.diff(np.clip(ends, low, high)))
+        key = np.zeros(high - low, np.int64)
+        for d in range(DEPTH + 1):
+            key |= buffer[low - d : high - d].astype(np.int64) << (8 * d)
+        inside = np.arange(low, high) - ends[owner] >= DEPTH
+        yield key[inside], owner[inside]
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,19 +86,20 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return (key, *sums)
 
     def batch_of(x) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(a) for a in x], names=["key", "c", "words"])
+        return pa.record_batch([pa.array(a) for a in x], names=["key", "c", "seen"])
 
     for batch in batches:
-        if not len(batch):
-            continue
-        key, owner = pair_keys(batch.column("word").to_pylist())
-        c = batch.column("c").to_numpy()[owner]
-        held.append((key, c, np.ones(len(key), np.int64)))
-        if sum(len(h[0]) for h in held) > 8 * COUNTED:
-            held[:] = [merged()]
-            if len(held[0][0]) > 4 * COUNTED:
-                yield batch_of(held[0])
-                held.clear()
+        out = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+        for key, owner in coded([words_of(t) for t in batch.column("text").to_pylist()]):
+            apart = out[owner]
+            for keys, learned in ((key[~apart], 1), (key[apart], 0)):
+                kinds, n = np.unique(keys, return_counts=True)
+                held.append((kinds, n * learned, n))
+            if sum(len(h[0]) for h in held) > 2 * COUNTED_PAIRS:
+                held[:] = [merged()]
+                if len(held[0][0]) > COUNTED_PAIRS:
+                    yield batch_of(held[0])
+                    held.clear()
     if held:
         yield batch_of(merged())
 
@@ -127,43 +131,54 @@ def _weigh(kt: np.ndarray, below: np.ndarray, leaf: np.ndarray) -> tuple[np.ndar
 
 
 def _subtree(frame: pd.DataFrame) -> pd.DataFrame:
-    """All pairs whose contexts end in the same two bytes: the chance of each choice from depth 2 on.
+    """All pairs of some contexts of three bytes: the chance of each choice from depth 3 on.
 
-    Rows with a key hold the eight chances; rows with a node hold the node's weighted probability.
+    Rows with a key hold the eight chances; rows with a node hold the node's weighted probability
+    under its three bytes `near`.
     """
     key, c = frame["key"].to_numpy(), frame["c"].to_numpy(np.float64)
     context, (node, bit) = key >> 8, _choices(key & 255)
     node, bit = node.ravel(), bit.ravel()
-    count = np.repeat(c, 8)
+    context, count = np.repeat(context, 8), np.repeat(c, 8)
     levels = []
-    for d in range(2, DEPTH + 1):
-        oldest = (context >> (8 * (d - 1))) & 255
-        closed = oldest == _OPEN
-        gone = np.zeros(len(key), bool)  # closed at a lesser depth already
-        for e in range(1, d):
-            gone |= ((context >> (8 * (e - 1))) & 255) == _OPEN
-        use = np.flatnonzero(np.repeat(~gone, 8))
-        ids = (context & ((1 << (8 * d)) - 1))[use // 8] << 8 | node[use]
-        _, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
-        ones = np.bincount(inverse, count[use] * bit[use], len(first))
-        zeros = np.bincount(inverse, count[use] * (1 - bit[use]), len(first))
-        where = np.full(len(node), -1)
-        where[use] = inverse
-        levels.append((where, use[first], zeros, ones, np.repeat(closed, 8)[use[first]] | (d == DEPTH)))
-    chance, below = np.full(len(node), 0.5), None
-    for where, first, zeros, ones, leaf in reversed(levels):
+    for d in range(3, DEPTH + 1):
+        ids = (context & ((1 << (8 * d)) - 1)) << 8 | node
+        _, first, where = np.unique(ids, return_index=True, return_inverse=True)
+        ones = np.bincount(where, count * bit, len(first))
+        levels.append((where, first, np.bincount(where, count, len(first)) - ones, ones))
+    chance, deeper = np.zeros(len(node)), None
+    for where, first, zeros, ones in reversed(levels):
         kt = log_kt(zeros, ones)
-        both, weight = _weigh(kt, np.zeros(len(kt)) if below is None else below(where, len(kt)), leaf)
-        use = where >= 0
-        i = where[use]
-        own = (np.where(bit[use], ones[i], zeros[i]) + 0.5) / (zeros[i] + ones[i] + 1)
-        chance[use] = weight[i] * own + (1 - weight[i]) * chance[use]
+        below = kt if deeper is None else np.bincount(where[deeper[0]], deeper[1], len(kt))
+        both, weight = _weigh(kt, below, np.full(len(kt), deeper is None))
+        own = (np.where(bit, ones[where], zeros[where]) + 0.5) / (zeros + ones + 1)[where]
+        chance = weight[where] * own + (1 - weight[where]) * chance
+        deeper = first, both
+    top = pd.DataFrame({"key": -1, "seen": 0, "chances": None, "node": node[first], "log_p": both, "near": context[first] & 0xFFFFFF})
+    rows = pd.DataFrame({"key": key, "seen": frame["seen"].to_numpy(), "chances": list(chance.reshape(-1, 8)), "node": -1, "log_p": 0.0, "near": -1})
+    return pd.concat([rows, top], ignore_index=True)
 
-        def below(parent, n, both=both, first=first):
-            return np.bincount(parent[first], both, n)
 
-    top = pd.DataFrame({"key": -1, "words": 0, "chances": None, "node": node[first], "log_p": both, "last": int(context[0] & 255)})
-    rows = pd.DataFrame({"key": key, "words": frame["words"].to_numpy(), "chances": list(chance.reshape(-1, 8)), "node": -1, "log_p": 0.0, "last": -1})
+def _second(frame: pd.DataFrame) -> pd.DataFrame:
+    """Depth 2 of all contexts that end in one byte, 256 at most.
+
+    Of `frame`, rows with a byte are counts, rows with a node the weighted probability of all longer contexts.
+    Rows with a byte come out with weight and own chance of each choice, rows with a node with the
+    weighted probability of all these contexts.
+    """
+    counts, longer = frame[frame["byte"] >= 0], frame[frame["byte"] < 0]
+    two, c = counts["two"].to_numpy(), counts["c"].to_numpy(np.float64)
+    node, bit = (x.ravel() for x in _choices(counts["byte"].to_numpy()))
+    ids, first, where = np.unique(np.repeat(two, 8) << 8 | node, return_index=True, return_inverse=True)
+    ones = np.bincount(where, np.repeat(c, 8) * bit, len(ids))
+    zeros = np.bincount(where, np.repeat(c, 8), len(ids)) - ones
+    at = np.searchsorted(ids, longer["two"].to_numpy() << 8 | longer["node"].to_numpy())
+    both, weight = _weigh(log_kt(zeros, ones), np.bincount(at, longer["log_p"].to_numpy(), len(ids)), np.zeros(len(ids), bool))
+    own = (np.where(bit, ones[where], zeros[where]) + 0.5) / (zeros + ones + 1)[where]
+    per = lambda x: list(x.reshape(-1, 8))
+    rows = pd.DataFrame({"three": two << 8 | counts["byte"].to_numpy(), "own": per(own), "weight": per(weight[where]), "last": -1, "node": -1, "log_p": 0.0})
+    sums = np.bincount(node[first], both, 256)  # of all contexts that end in the byte
+    top = pd.DataFrame({"three": -1, "own": None, "weight": None, "last": int(two[0] & 255), "node": np.arange(256), "log_p": sums})
     return pd.concat([rows, top], ignore_index=True)
 
 
@@ -175,9 +190,7 @@ def _shallow(last_byte: np.ndarray, byte: np.ndarray, c: np.ndarray, below: np.n
     node, bit = _choices(byte)
     counts = np.zeros((2, 256, 256))
     np.add.at(counts, (bit.ravel(), np.repeat(last_byte, 8), node.ravel()), np.repeat(c.astype(np.float64), 8))
-    leaf = np.zeros((256, 1), bool)
-    leaf[_OPEN] = True
-    both, weight1 = _weigh(log_kt(counts[0], counts[1]), below, leaf)
+    both, weight1 = _weigh(log_kt(counts[0], counts[1]), below, np.zeros((256, 1), bool))
     zeros, ones = counts.sum(axis=1)
     _, weight0 = _weigh(log_kt(zeros, ones), both.sum(axis=0), np.zeros(256, bool))
     return weight0, (ones + 0.5) / (zeros + ones + 1), weight1, (counts[1] + 0.5) / (counts.sum(axis=0) + 1)
@@ -189,88 +202,73 @@ def _lengths(weight0, one0, weight1, one1):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key = batch.column("key").to_numpy()
-            deep = batch.column("chances").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, 8)
+            deep, own, weight = (batch.column(k).flatten().to_numpy(zero_copy_only=False).reshape(-1, 8) for k in ("chances", "own", "weight"))
             node, bit = _choices(key & 255)
             last = ((key >> 8) & 255)[:, None]
             chance = lambda one: np.where(bit, one, 1 - one)
+            p = weight * own + (1 - weight) * deep
             w = weight1[last, node]
-            p = w * chance(one1[last, node]) + (1 - w) * deep
+            p = w * chance(one1[last, node]) + (1 - w) * p
             p = weight0[node] * chance(one0[node]) + (1 - weight0[node]) * p
-            yield pa.record_batch([pa.array(key), batch.column("words"), pa.array(np.log10(p).sum(axis=1))], names=["key", "words", "log_p"])
+            yield pa.record_batch([pa.array(key), batch.column("seen"), pa.array(np.log10(p).sum(axis=1))], names=["key", "seen", "log_p"])
 
     return run
 
 
-def model(words: DataFrame) -> DataFrame:
-    """`key`, `words`, `log_p` for each pair of context and byte in `words` (`word`, `c`)."""
-    pairs = words.select("word", "c").mapInArrow(_pairs, "key long, c long, words long").groupBy("key").agg(F.sum("c").alias("c"), F.sum("words").alias("words"))
+def model(rows: DataFrame) -> DataFrame:
+    """`key`, `seen`, `log_p` for each pair of context and byte in `rows` (`text`, `held_out`)."""
+    pairs = rows.select("text", "held_out").mapInArrow(_pairs, "key long, c long, seen long").groupBy("key").agg(F.sum("c").alias("c"), F.sum("seen").alias("seen"))
     pairs = common.written(pairs, "context-pairs")
-    opening = F.expr("(key >> 8) & 255") == _OPEN  # depth 1 is all there is
-    deep = pairs.where(~opening).groupBy(F.expr("(key >> 8) & 65535")).applyInPandas(_subtree, "key long, words long, chances array<double>, node int, log_p double, last int")
+    groups = pairs.count() // WEIGHTED + 1
+    together = F.pmod(F.xxhash64(F.expr("(key >> 8) & 16777215")), F.lit(groups))
+    deep = pairs.groupBy(together.alias("g")).applyInPandas(_subtree, "key long, seen long, chances array<double>, node int, log_p double, near long")
     deep = common.written(deep, "context-chances")
-    tops = deep.where("node >= 0").groupBy("last", "node").agg(F.sum("log_p").alias("log_p")).collect()  # 256 x 255 at most
+    counts = pairs.groupBy(F.expr("(key >> 8) & 65535").alias("two"), F.expr("key & 255").alias("byte")).agg(F.sum("c").alias("c"))
+    longer = deep.where("node >= 0").groupBy(F.expr("near & 65535").alias("two"), "node").agg(F.sum("log_p").alias("log_p"))
+    both = counts.select("two", "byte", "c", F.lit(-1).alias("node"), F.lit(0.0).alias("log_p")).union(longer.select("two", F.lit(-1), F.lit(0), "node", "log_p"))
+    second = both.groupBy(F.expr("two & 255")).applyInPandas(_second, "three long, own array<double>, weight array<double>, last int, node int, log_p double")
+    second = common.written(second, "context-seconds")
     below = np.zeros((256, 256))
-    for r in tops:
+    for r in second.where("node >= 0").select("last", "node", "log_p").collect():  # 256 x 256 at most
         below[r["last"], r.node] = r.log_p
     short = pairs.groupBy(F.expr("(key >> 8) & 255").alias("last"), F.expr("key & 255").alias("byte")).agg(F.sum("c").alias("c")).collect()  # 256 x 256 at most
-    table = [np.array([r[k] for r in short], np.int64) for k in ("last", "byte", "c")]
-    shallow = _shallow(*table, below)
-    half = F.array_repeat(F.lit(0.5), 8)
-    every = deep.where("node < 0").select("key", "words", "chances").union(pairs.where(opening).select("key", "words", half))
-    return common.written(every.mapInArrow(_lengths(*shallow), "key long, words long, log_p double"), "context-lengths")
+    shallow = _shallow(*(np.array([r[k] for r in short], np.int64) for k in ("last", "byte", "c")), below)
+    every = deep.where("node < 0").select("key", "seen", "chances", F.expr("key & 16777215").alias("three"))
+    every = every.join(second.where("node < 0").select("three", "own", "weight"), "three").drop("three")
+    return common.written(every.mapInArrow(_lengths(*shallow), "key long, seen long, log_p double"), "context-lengths")
 
 
-def _word_lengths(keys, log_p):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, value = keys.value, log_p.value
-        for batch in batches:
-            if not len(batch):
-                continue
-            words = batch.column("word").to_pylist()
-            key, owner = pair_keys(words)
-            i = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
-            have = known[i] == key if len(known) else np.zeros(len(key), bool)
-            total = np.bincount(owner[have], value[i[have]], len(words)) if have.any() else np.zeros(len(words))
-            rest, ends = key[~have], np.searchsorted(owner[~have], np.arange(len(words) + 1))
-            missing = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(rest))
-            yield pa.record_batch([batch.column("word"), batch.column("c"), batch.column("seen"), pa.array(total), missing], names=["word", "c", "seen", "log_p", "missing"])
-
-    return run
-
-
-def word_lengths(words: DataFrame, pairs: DataFrame) -> DataFrame:
-    """`words` with `log_p`, the log10 of the word's probability."""
-    sc = words.sparkSession.sparkContext
-    most = common.most(pairs, "words", HELD_PAIRS)
-    held = pairs.where(most).select("key", "log_p").toArrow()
-    order = np.argsort(held.column("key").to_numpy())
-    keys, log_p = (sc.broadcast(held.column(c).to_numpy()[order]) for c in ("key", "log_p"))
-    out = common.written(words.mapInArrow(_word_lengths(keys, log_p), "word binary, c long, seen long, log_p double, missing array<long>"), "word-lengths")
-    rest = out.where(F.size("missing") > 0).select("word", F.explode("missing").alias("key")).join(pairs.where(~most).select("key", F.col("log_p").alias("more")), "key")
-    rest = rest.groupBy("word").agg(F.sum("more").alias("more"))
-    some = out.where(F.size("missing") > 0).join(rest, "word").select("word", "c", "seen", (F.col("log_p") + F.col("more")).alias("log_p"))
-    return common.written(out.where(F.size("missing") == 0).select("word", "c", "seen", "log_p").union(some), "words")
-
-
-def _texts(words, c, log_p, n_learned: int, n_different: int):
+def _texts(words, c, keys, log_p, n_learned: int, n_different: int):
     over = n_learned + 0.1 * (n_different + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = dict(zip(words.value, range(len(words.value))))
-        counts, length = c.value, log_p.value
+        counts, known, lengths = c.value, keys.value, log_p.value
         base = np.log10((counts + 0.1) / over)
         for batch in batches:
-            out = []
-            for text in batch.column("text").to_pylist():
-                own = words_of(text)
+            if not len(batch):
+                continue
+            out, texts = [], [words_of(t) for t in batch.column("text").to_pylist()]
+            for own in texts:
                 at = np.fromiter((index.get(w, -1) for w in own), np.int64, len(own))
                 have = at[at >= 0]
                 rest = [own[i] for i in np.flatnonzero(at < 0)]
-                out.append((len(own), sum(map(len, own)) + len(own), int((counts[have] > 0).sum()), float(base[have].sum()), float(length[have].sum()), rest))
-            cols = list(zip(*out)) if out else [[]] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()))
-            names = ["n_tokens", "n_coded", "n_known", "base_score", "score", "rest"]
-            yield pa.record_batch([*(batch.column(k) for k in ("_f", "_r", "doc_id", "held_out")), *(pa.array(x, t) for x, t in zip(cols, kinds))], names=["_f", "_r", "doc_id", "held_out", *names])
+                out.append((len(own), sum(map(len, own)) + len(own), int((counts[have] > 0).sum()), float(base[have].sum()), rest))
+            score, missing, owners = np.zeros(len(texts)), [], []
+            for key, owner in coded(texts):
+                kinds, kind = np.unique(key, return_inverse=True)
+                at = np.minimum(np.searchsorted(known, kinds), max(len(known) - 1, 0))
+                have = known[at] == kinds if len(known) else np.zeros(len(kinds), bool)
+                value = np.where(have, lengths[at], 0.0) if len(known) else np.zeros(len(kinds))
+                score += np.bincount(owner, value[kind], len(texts))
+                lost = ~have[kind]
+                missing.append(key[lost]), owners.append(owner[lost])
+            missing, owners = np.concatenate(missing), np.concatenate(owners)
+            ends = np.searchsorted(owners, np.arange(len(texts) + 1)).astype(np.int32)
+            cols = [pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary())))]
+            names = ["n_tokens", "n_coded", "n_known", "base_score", "rest", "score", "missing"]
+            cols += [pa.array(score), pa.ListArray.from_arrays(pa.array(ends), pa.array(missing))]
+            yield pa.record_batch([*(batch.column(k) for k in ("_f", "_r", "doc_id", "held_out")), *cols], names=["_f", "_r", "doc_id", "held_out", *names])
 
     return run
 
@@ -282,28 +280,33 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     under the model, `bits_per_byte` its code length; `base_score` is the contract's sum over
     counted words.
 
-    Every word and every context of the corpus is counted. Words that tasks hold are the most
-    frequent, HELD_WORDS at most; a text's other words are joined with the words' table, and so
-    are the words' rarer contexts. Null and empty texts are an end alone. Equal rows are scored
-    each. Without rows to learn from all chances are a half per bit. An empty table gives no rows.
+    Every word and every context of the corpus is counted. Words and contexts that tasks hold are the
+    most frequent, HELD_WORDS and HELD_PAIRS at most; a text's other ones are joined. Null and empty
+    texts are an end alone. Equal rows are scored each. Without rows to learn from all chances are a
+    half per bit. An empty table gives no rows.
     """
     rows = common.keyed(docs, id_col, text_col)
     rows = rows.select("_f", "_r", rows[id_col].alias("doc_id"), held_out.alias("held_out"), rows[text_col].alias("text"))
     counted = rows.select("text", "held_out").mapInArrow(_count, "word binary, c long, seen long")
     words = common.written(counted.groupBy("word").agg(F.sum("c").alias("c"), F.sum("seen").alias("seen")), "word-counts")
-    words = word_lengths(words, model(words))
     n_learned, n_different = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    most = common.most(words, "seen", HELD_WORDS)
-    held = words.where(most).select("word", "c", "log_p").toArrow()
+    pairs = model(rows)
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast(held.column("word").to_pylist()), *(sc.broadcast(held.column(k).to_numpy()) for k in ("c", "log_p"))
-    kinds = "_f long, _r long, doc_id {}, held_out boolean, n_tokens long, n_coded long, n_known long, base_score double, score double, rest array<binary>"
+    most, mostly = common.most(words, "seen", HELD_WORDS), common.most(pairs, "seen", HELD_PAIRS)
+    held = words.where(most).select("word", "c").toArrow()
+    shared = [sc.broadcast(held.column("word").to_pylist()), sc.broadcast(held.column("c").to_numpy())]
+    held = pairs.where(mostly).select("key", "log_p").toArrow()
+    order = np.argsort(held.column("key").to_numpy())
+    shared += [sc.broadcast(held.column(k).to_numpy()[order]) for k in ("key", "log_p")]
+    kinds = "_f long, _r long, doc_id {}, held_out boolean, n_tokens long, n_coded long, n_known long, base_score double, rest array<binary>, score double, missing array<long>"
     kind = rows.schema["doc_id"].dataType.simpleString()
     texts = common.written(rows.mapInArrow(_texts(*shared, n_learned, n_different), kinds.format(kind)), "text-scores")
-    rare = texts.where(F.size("rest") > 0).select("_f", "_r", F.explode("rest").alias("word")).join(words.where(~most), "word")
     base = F.log10((F.col("c") + 0.1) / (n_learned + 0.1 * (n_different + 1)))
-    rare = rare.groupBy("_f", "_r").agg(F.count_if(F.col("c") > 0).alias("k"), F.sum(base).alias("b"), F.sum("log_p").alias("s"))
-    out = texts.drop("rest").join(rare, ["_f", "_r"], "left")
+    rare = texts.where(F.size("rest") > 0).select("_f", "_r", F.explode("rest").alias("word")).join(words.where(~most), "word")
+    rare = rare.select("_f", "_r", (F.col("c") > 0).cast("long").alias("k"), base.alias("b"), F.lit(0.0).alias("s"))
+    seldom = texts.where(F.size("missing") > 0).select("_f", "_r", F.explode("missing").alias("key")).join(pairs.where(~mostly), "key")
+    rare = rare.union(seldom.select("_f", "_r", F.lit(0), F.lit(0.0), "log_p")).groupBy("_f", "_r").agg(*[F.sum(k).alias(k) for k in "kbs"])
+    out = texts.drop("rest", "missing").join(rare, ["_f", "_r"], "left")
     plus = lambda c, more: (F.col(c) + F.coalesce(more, F.lit(0))).alias(c)
     total = out.select("doc_id", "held_out", "n_tokens", plus("n_known", "k"), F.lit(n_learned).cast("long").alias("train_tokens"), plus("base_score", "b"), plus("score", "s"), "n_coded")
     return total.withColumn("bits_per_byte", -F.col("score") / float(np.log10(2)) / F.col("n_coded")).drop("n_coded")
