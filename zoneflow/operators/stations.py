@@ -1,14 +1,12 @@
 """Which weather stations explain a zone's demand best: every subset, scored.
 
 The regression of each subset needs only moments per (hour, weekday), so the observations
-are reduced to at most 168 rows per (zone, subset) before anything is grouped into one task.
+are reduced to at most 168 rows per (zone, subset), these to one matrix, and that is solved in place.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneflow.functions.calendar import degree_hours_f
@@ -19,7 +17,10 @@ from zoneflow.functions.display import c_to_f
 MOST_STATIONS = 10
 SUBSET = ["zone", "mask"]
 MOMENTS = ["y", "c", "h"]
-SCORES = "zone string, mask int, n int, stations string, partial_r2 double"
+#: In the order in which they are taken out: weekdays, degree hours; demand last.
+VARIABLES = [*[f"day{d}" for d in range(7)], "c", "h", "y"]
+#: Share of a variable's own squares below which what is left of it is rounding.
+NOTHING = 1e-12
 
 
 def station_subsets(candidates: DataFrame) -> DataFrame:
@@ -78,43 +79,60 @@ def _cells(observations: DataFrame) -> DataFrame:
     )
 
 
-def _partial_r2(cells: pd.DataFrame) -> float | None:
-    """Share of demand's scatter, given hour and weekday, that the degree hours explain.
+def _moments(cells: DataFrame) -> DataFrame:
+    """Per (zone, subset) the moments of VARIABLES given the hour, as a matrix, and each one's own scale.
 
-    From summed moments alone. `between` holds the moments of the cell means with the hour and
-    weekday marks; sweeping the marks out of it and adding the scatter inside cells leaves the
-    3 x 3 moments of y, c, h given the marks.
+    Values are centred first, so that sums of squares keep their digits. What scatters inside a cell is
+    added to what scatters between cells.
     """
-    w = cells["w"].to_numpy(float)
-    marks = pd.get_dummies(cells[["hour", "dow"]].astype("category")).to_numpy(float)
-    means = cells[MOMENTS].to_numpy(float)
-    corner = np.linalg.pinv(marks.T @ (marks * w[:, None]), hermitian=True)
-    cross = marks.T @ (means * w[:, None])
-    left = means.T @ (means * w[:, None]) - cross.T @ corner @ cross
-    for i, a in enumerate(MOMENTS):
-        for j, b in enumerate(MOMENTS):
-            left[i, j] += cells["s_" + (a + b if i <= j else b + a)].sum()
-    total, shared = left[0, 0], left[0, 1:]
-    return None if total <= 0 else float(shared @ np.linalg.pinv(left[1:, 1:], hermitian=True) @ shared / total)
-
-
-def _score(cells: pd.DataFrame) -> pd.DataFrame:
-    head = cells.iloc[0]
-    return pd.DataFrame(
-        [(head["zone"], head["mask"], head["n"], head["stations"], _partial_r2(cells))],
-        columns=["zone", "mask", "n", "stations", "partial_r2"],
+    group = Window.partitionBy(*SUBSET)
+    centred = cells.withColumns({f"d_{m}": F.col(m) - F.sum(F.col("w") * F.col(m)).over(group) / F.sum("w").over(group) for m in MOMENTS})
+    value = {f"day{d}": (F.col("dow") == d).cast("double") for d in range(7)} | {m: F.col(f"d_{m}") for m in MOMENTS}
+    pairs = [(a, b) for i, a in enumerate(VARIABLES) for b in VARIABLES[i:]]
+    inside = {(a, b): F.sum(f"s_{a}{b}" if f"s_{a}{b}" in cells.columns else f"s_{b}{a}") for a, b in pairs if a in MOMENTS}
+    by_hour = centred.groupBy("zone", "mask", "n", "stations", "hour").agg(
+        F.sum("w").alias("w"),
+        *[F.sum(F.col("w") * value[v]).alias(f"m_{v}") for v in VARIABLES],
+        *[(F.sum(F.col("w") * value[a] * value[b]) + inside.get((a, b), F.lit(0.0))).alias(f"q_{a}_{b}") for a, b in pairs],
+        *[F.sum(F.col("w") * (value[v] if v not in MOMENTS else F.col(v)) ** 2).alias(f"scale_{v}") for v in VARIABLES],
     )
+    given = by_hour.groupBy("zone", "mask", "n", "stations").agg(
+        *[F.sum(F.col(f"q_{a}_{b}") - F.col(f"m_{a}") * F.col(f"m_{b}") / F.col("w")).alias(f"q_{a}_{b}") for a, b in pairs],
+        *[F.sum(f"scale_{v}").alias(f"scale_{v}") for v in VARIABLES],
+    )
+    entry = {(a, b): F.col(f"q_{a}_{b}") for a, b in pairs}
+    matrix = F.array(*[F.array(*[entry[a, b] if (a, b) in entry else entry[b, a] for b in VARIABLES]) for a in VARIABLES])
+    return given.select("zone", "mask", "n", "stations", matrix.alias("moments"), F.array(*[f"scale_{v}" for v in VARIABLES]).alias("scales"))
+
+
+def _swept(moments: Column, scales: Column, first: int, last: int) -> Column:
+    """Moments given the variables `first` to `last` too. One that the others explain wholly is left out."""
+
+    def out(m: Column, k: Column) -> Column:
+        pivot = m[k][k]
+        swept = F.transform(m, lambda row: F.transform(row, lambda v, j: v - row[k] * m[k][j] / pivot))
+        return F.when(pivot > NOTHING * scales[k], swept).otherwise(m)
+
+    return F.aggregate(F.sequence(F.lit(first), F.lit(last)), moments, out)
 
 
 def score_subsets(temps: DataFrame, load: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Partial R2 of degree hours over hour and weekday, per zone and station subset."""
-    cells = _cells(subset_observations(temps, load, candidates))
-    return cells.groupBy(*SUBSET).applyInPandas(_score, SCORES)
+    """Partial R2 of degree hours over hour and weekday, per zone and station subset.
+
+    The share of demand's scatter, given hour and weekday, that the degree hours explain; null where hour
+    and weekday leave none. The regressions are sweeps of a 10 x 10 matrix of moments for each subset.
+    """
+    moments = _moments(_cells(subset_observations(temps, load, candidates)))
+    c, y = VARIABLES.index("c"), VARIABLES.index("y")
+    marks = moments.withColumn("moments", _swept(F.col("moments"), F.col("scales"), 0, c - 1))
+    both = marks.withColumn("rest", _swept(F.col("moments"), F.col("scales"), c, c + 1)[y][y])
+    total = F.col("moments")[y][y]
+    return both.select(*SUBSET, "n", "stations", F.when(total > NOTHING * F.col("scales")[y], 1 - F.col("rest") / total).alias("partial_r2"))
 
 
 def best_subsets(scores: DataFrame) -> DataFrame:
-    """Best single station and best composite per zone, by gain. Ties go to the lower mask."""
-    rank = F.struct("partial_r2", -F.col("mask"))
+    """Best single station and best composite per zone, by gain. Scores that agree to nine digits go to the lower mask."""
+    rank = F.struct(F.round("partial_r2", 9), -F.col("mask"))
     single, multi = F.col("n") == 1, F.col("n") > 1
     best = scores.groupBy("zone").agg(
         F.max_by(F.when(single, F.col("stations")), F.when(single, rank)).alias("best_single"),

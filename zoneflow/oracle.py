@@ -184,6 +184,37 @@ VIEWS = {
 LABELLED_INPUT = "select * from labels where demand_lag_168h is not null"
 
 
+def _regressed() -> dict[str, str]:
+    """Rows of each station subset with hour, weekdays and degree hours taken out of demand, one after the other."""
+    out = {
+        "subset_rows": """
+        select zone, mask, n, stations, hour(time) as hod, y, y as demand, greatest(f - 65, 0) as c, greatest(65 - f, 0) as h, """
+        + ", ".join(f"(isodow(time) = {k + 1})::double as day{k}" for k in range(7))
+        + """ from (select m.zone, m.mask::int as mask, m.n, m.stations, l.time, l.demand_mw as y, avg(t.temperature) * 9 / 5 + 32 as f
+                   from temps t join masks m on m.zone = t.zone and list_contains(string_split(m.stations, ' + '), t.city)
+                   join load_pjm l on l.zone = t.zone and l.time = t.time + interval 1 hour
+                   group by m.zone, m.mask, m.n, m.stations, l.time, l.demand_mw)"""
+    }
+    left = [*[f"day{k}" for k in range(7)], "c", "h", "y"]
+    kept = "zone, mask, n, stations, demand"
+    out["without_hour"] = f"select {kept}, " + ", ".join(f"{v} - avg({v}) over (partition by zone, mask, hod) as {v}" for v in left) + " from subset_rows"
+    before = "without_hour"
+    while len(left) > 1:
+        gone, *left = left
+        marks = ", given_marks" if gone == "h" else ", y as given_marks" if gone == "c" else ""
+        share = f"coalesce(sum({gone} * {{v}}) over g / nullif(if(sum({gone} * {gone}) over g > 1e-9, sum({gone} * {gone}) over g, 0), 0), 0)"
+        rest = ", ".join(f"{v} - {gone} * {share.format(v=v)} as {v}" for v in left)
+        out[f"without_{gone}"] = f"select {kept}, {rest}{marks} from {before} window g as (partition by zone, mask)"
+        before = f"without_{gone}"
+    out["subset_scores"] = f"""
+        select zone, mask, n, stations, case when sum(given_marks * given_marks) > 1e-12 * sum(demand * demand)
+               then 1 - sum(y * y) / sum(given_marks * given_marks) end as partial_r2 from {before} group by all"""
+    return out
+
+
+VIEWS |= _regressed()
+
+
 def _sql(names: str, body: str) -> str:
     """`body` over the named views and whatever they use."""
     wanted: list[str] = []
@@ -850,6 +881,18 @@ def oracle_sql() -> dict[str, str]:
                    join load_pjm l on l.zone = t.zone and l.time = t.time + interval 1 hour
                    group by m.zone, m.mask, m.n, m.stations, l.time, l.demand_mw)""",
         ),
+        "station_subset_scores": _sql("subset_scores", "select * exclude (partial_r2), round(partial_r2, 6) as partial_r2 from subset_scores"),
+        "best_station_subsets": _sql(
+            "subset_scores",
+            """select s.zone, s.stations as best_single, s.single_r2, c.stations as best_composite, c.composite_r2,
+               round(gain, 6) as gain from (
+                   select s.zone, s.stations, round(s.partial_r2, 6) as single_r2, s.partial_r2 from subset_scores s where n = 1
+                   qualify row_number() over (partition by zone order by round(partial_r2, 9) desc nulls last, mask) = 1) s
+               left join (
+                   select zone, stations, round(partial_r2, 6) as composite_r2, partial_r2 from subset_scores where n > 1
+                   qualify row_number() over (partition by zone order by round(partial_r2, 9) desc nulls last, mask) = 1) c
+               on c.zone = s.zone, lateral (select c.partial_r2 - s.partial_r2 as gain)""",
+        ),
         "territory_cells": _sql("cells", "select entity, cell_x, cell_y from cells"),
         "territory_area": _sql("areas", "select * from areas"),
         "territory_assign": _sql("owned", "select * from owned"),
