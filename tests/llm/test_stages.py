@@ -1,12 +1,15 @@
 """The filtering functions on frames that are no plain file scan, and the pipeline's near copies."""
 
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from llm.conftest import rows
-from zoneflow.llm import decontamination, near_copies, quality_rules, simhash, suffixes
+from llm.conftest import SMALL, rows
+from zoneflow import session
+from zoneflow.llm import common, decontamination, near_copies, quality_rules, simhash, suffixes
 
 
 def _docs():
@@ -125,3 +128,83 @@ def test_near_dedup_compares_no_template_pages(spark, monkeypatch):
 
 def test_near_dedup_of_no_rows(empty):
     assert near_copies.one_of_each(empty).collect() == []
+
+
+def _folders(spark):
+    return set(os.listdir(os.path.dirname(session.scratch(spark, "none").removeprefix("file:"))))
+
+
+def _labels(folders):
+    return sorted(f.rpartition("-")[0] for f in folders)
+
+
+@pytest.mark.parametrize("stage,left", [(near_copies.one_of_each, {"near-kept", "edges"}), (suffixes.without_repeats, {"repeated-spans"}), (suffixes.repeats, {"repeated-spans"})])
+def test_what_a_stage_leaves_in_the_scratch_folder(spark, odd, stage, left):
+    """Only what the returned rows are read from, not the tables in between."""
+    os.makedirs(os.path.dirname(session.scratch(spark, "none").removeprefix("file:")), exist_ok=True)
+    before = _folders(spark)
+    assert stage(odd).collect()
+    assert set(_labels(_folders(spark) - before)) <= left
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    files = lambda: {f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("|").split("|") if "shuffle_" in f}
+    df = spark.range(10_000).groupBy((F.col("id") % 1000).alias("k")).agg(F.count("*").alias("n"))
+    before, setting = files(), spark.conf.get(common.RELEASE)
+    assert df.collect() and files() - before  # what is not written stays until garbage is collected
+    before = files()
+    steps = common.Steps(spark)
+    assert common.written(df, "counts").count() == steps.write(df, "counts").count() == 1000
+    both = [f for f in files() - before if spark._jvm.java.io.File(f).length() > 1000]  # the two count() shuffle a number each
+    assert not both and spark.conf.get(common.RELEASE) == setting
+    with pytest.raises(Exception, match="no such"):
+        common.written(df.select(F.raise_error(F.lit("no such"))), "counts")
+    assert spark.conf.get(common.RELEASE) == setting
+
+
+def test_near_dedup_reads_each_text_once_for_its_prefixes(spark, odd, monkeypatch):
+    """The index and the join with it read one shuffle, and no table of all prefixes is written."""
+    read, made = spark.sparkContext.accumulator(0), near_copies._prefixes
+
+    def counted(known):
+        def run(batches):
+            def each():
+                for b in batches:
+                    read.add(b.num_rows)
+                    yield b
+
+            return made(known)(each())
+
+        return run
+
+    labels, write = [], common.Steps.write
+    monkeypatch.setattr(near_copies, "_prefixes", counted)
+    monkeypatch.setattr(common.Steps, "write", lambda self, df, label: labels.append(label) or write(self, df, label))
+    for threshold in ("-1", "10m"):
+        monkeypatch.setattr(read, "_value", 0)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            near_copies.one_of_each(odd)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert read.value == odd.count()
+    assert "near-prefixes" not in labels
+
+
+def test_few_contaminated_rows_go_without_a_shuffle_of_the_others(spark, given):
+    bench = spark.createDataFrame([(1, " ".join(given.first().text.split()[:20]))], "item_id long, text string")
+    clean = decontamination.clean(given, bench)
+    left = {r.doc_id for r in clean.collect()}
+    hit = {r.doc_id for r in decontamination.hits(given, bench).where("n_hit > 0").collect()}
+    assert hit and left == {r.doc_id for r in given.collect()} - hit
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_pipeline_keeps_one_written_stage(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(k, lambda spark, docs, sf_dir, k=k: docs.where(F.col("doc_id") % k != 0)) for k in (2, 3, 5, 7)])
+    os.makedirs(os.path.dirname(session.scratch(spark, "none").removeprefix("file:")), exist_ok=True)
+    before = _folders(spark)
+    ids = [r.doc_id for r in corpus_pipeline.run(spark, SMALL).collect()]
+    assert ids and all(i % k for i in ids for k in (2, 3, 5, 7))
+    assert len(_folders(spark) - before) == 1

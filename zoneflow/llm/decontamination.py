@@ -114,4 +114,4 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 def clean(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
     """The rows of `docs` without a hit word."""
     docs = common.filed(docs)
-    return common.among(docs, hits(docs, benchmark, **names).where("n_hit = 0"))
+    return common.without(docs, hits(docs, benchmark, **names).where("n_hit > 0"))

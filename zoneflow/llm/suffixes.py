@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.llm import common
@@ -239,26 +239,32 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def spans(rows: DataFrame) -> DataFrame:
     """(`_f`, `_r`, `at`, `n`): SPAN bytes from each of `n` starts from `at` on also start elsewhere. `rows`: `_f`, `_r`, `text` (binary)."""
-    found = common.written(rows.mapInArrow(_runs, "_f long, _r long, at int, n int, bucket long, piece long"), "suffix-runs")
+    steps = common.Steps(rows.sparkSession)
+    found = steps.write(rows.mapInArrow(_runs, "_f long, _r long, at int, n int, bucket long, piece long"), "suffix-runs")
     twice = found.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    twice = common.written(twice, "repeated-buckets")  # else both sides of the join are one stage, and a hot bucket is not split
-    found = common.written(found.join(twice, "bucket"), "repeated-runs")
+    twice = steps.write(twice, "repeated-buckets")  # else both sides of the join are one stage, and a hot bucket is not split
+    found = steps.write(found.join(twice, "bucket"), "repeated-runs")
+    steps.drop("suffix-runs", "repeated-buckets")
     pieces = found.groupBy("bucket", "piece").agg(F.count("*").alias("times"), F.min(F.struct("_f", "_r", "at", "n")).alias("one"))
-    pieces = common.written(pieces, "pieces")
-    kinds = common.written(pieces.groupBy("bucket").agg(F.count("*").alias("kinds")), "buckets")
+    pieces = steps.write(pieces, "pieces")
+    kinds = steps.write(pieces.groupBy("bucket").agg(F.count("*").alias("kinds")), "buckets")
     alike = found.join(kinds.where("kinds = 1"), "bucket").select("_f", "_r", "at", "n")
     mixed = pieces.join(kinds.where("kinds > 1"), "bucket")
     wanted = mixed.groupBy("one._f", "one._r").agg(F.collect_list(F.struct("bucket", "piece", "times", "one.at", "one.n")).alias("wanted"))
     data = rows.join(wanted, ["_f", "_r"]).select("text", "wanted").mapInArrow(_pieces, "bucket long, piece long, times long, data binary")
-    data = common.written(data.join(kinds.where("kinds > 1"), "bucket"), "piece-bytes")
+    data = steps.write(data.join(kinds.where("kinds > 1"), "bucket"), "piece-bytes")
+    steps.drop("pieces")
     small = data.where(F.col("kinds") <= BLOCK_PIECES).drop("kinds").repartition("bucket").sortWithinPartitions("bucket")
     hit = small.mapInArrow(_sorted_blocks, "bucket long, piece long, skip int, n int")
     each = data.where(F.col("kinds") > BLOCK_PIECES).drop("kinds").mapInArrow(_strings, "bucket long, piece long, times long, skip int, one long, two long")
     equal = each.groupBy("bucket", "one", "two").agg(F.sum("times").alias("times")).where("times > 1").drop("times")
     hit = hit.unionByName(each.join(equal, ["bucket", "one", "two"]).select("bucket", "piece", "skip", F.lit(1).alias("n")))
-    hit = common.written(hit, "repeated-suffixes")
+    hit = steps.write(hit, "repeated-suffixes")
+    steps.drop("piece-bytes")
     some = found.drop("n").join(hit, ["bucket", "piece"]).select("_f", "_r", (F.col("at") + F.col("skip")).alias("at"), "n")
-    return alike.unionByName(some)
+    out = steps.write(alike.unionByName(some), "repeated-spans")
+    steps.drop("repeated-runs", "buckets", "repeated-suffixes")
+    return out
 
 
 def _covered(size: int, found: list[dict] | None) -> list[tuple[int, int]]:
@@ -288,31 +294,32 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for text, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist()):
-            if not found:
-                out.append(None)
-                continue
-            inner = []  # whole characters only: a character that is covered in part stays
-            for a, b in _covered(len(text), found):
-                while a < b and text[a] & 0xC0 == 0x80:
-                    a += 1
-                while b > a and b < len(text) and text[b] & 0xC0 == 0x80:
-                    b -= 1
-                inner.append((a, b))
-            out.append(_rest(text, inner).decode())
-        yield pa.record_batch([batch.column("_f"), batch.column("_r"), pa.array(out, pa.string())], names=["_f", "_r", "cleaned"])
-
-
-def _with_spans(docs: DataFrame, columns: list[str], text_col: str) -> DataFrame:
-    """Rows with their `text` in bytes and the repeated starts `found` in it."""
-    rows = common.keyed(docs, *columns)
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+def _cleaned(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    """Texts without their repeated bytes; null where none repeats."""
+    out = []
+    for text, found in zip(texts.to_pylist(), spans.to_pylist()):
+        if not found:
+            out.append(None)
+            continue
+        inner = []  # whole characters only: a character that is covered in part stays
+        for a, b in _covered(len(text), found):
+            while a < b and text[a] & 0xC0 == 0x80:
+                a += 1
+            while b > a and b < len(text) and text[b] & 0xC0 == 0x80:
+                b -= 1
+            inner.append((a, b))
+        out.append(_rest(text, inner).decode())
+    return pa.array(out, pa.string())
+
+
+def _found(rows: DataFrame, text: Column) -> DataFrame:
+    """The repeated starts `found` in each row's `text`, bytes without nulls; only rows that have some."""
     found = spans(rows.select("_f", "_r", text.alias("text")))
-    found = found.groupBy("_f", "_r").agg(F.collect_list(F.struct("at", "n")).alias("found"))
-    return rows.withColumn("_text", text).join(found, ["_f", "_r"], "left")
+    return found.groupBy("_f", "_r").agg(F.collect_list(F.struct("at", "n")).alias("found"))
+
+
+def _bytes(text: Column) -> Column:
+    return F.coalesce(text, F.lit("")).cast("binary")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -323,7 +330,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     text of SPAN bytes or more lose all of it. Equal rows count as two texts. Texts shorter than
     SPAN stay whole. An empty table gives no rows.
     """
-    rows = _with_spans(docs, [id_col, text_col], text_col).select(F.col(id_col).cast("long").alias("doc_id"), F.col("_text").alias("text"), "found")
+    rows = common.keyed(docs, id_col, text_col)
+    text = _bytes(F.col(text_col))
+    rows = rows.join(_found(rows, text), ["_f", "_r"], "left").select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), "found")
     return rows.mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -334,10 +343,11 @@ def without_repeats(docs: DataFrame, text_col: str = "text", chars_col: str = "n
     text has changed, if there is such a column.
     """
     docs = common.filed(docs)
-    rows = _with_spans(docs, [text_col], text_col)
-    cut = rows.where("found is not null").select("_f", "_r", F.col("_text").alias("text"), "found").mapInArrow(_cleaned, "_f long, _r long, cleaned string")
-    rows = common.whole(docs).join(cut, ["_f", "_r"], "left")
+    found = _found(common.keyed(docs, text_col), _bytes(F.col(text_col)))
+    rows = common.whole(docs).join(found, ["_f", "_r"], "left")
     old, new = F.col("_row"), F.col("cleaned")
+    # one join: texts that stay as they are go to no Python
+    rows = rows.withColumn("cleaned", F.arrow_udf(_cleaned, "string")(F.when(F.col("found").isNotNull(), _bytes(old[text_col])), "found"))
     changed = {text_col: F.coalesce(new, old[text_col])}
     if chars_col in docs.columns:
         kind = docs.schema[chars_col].dataType
