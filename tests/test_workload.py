@@ -30,7 +30,7 @@ def test_query(spark, con, name):
 
 def test_oracle_names():
     assert set(SQL) <= set(QUERIES) and set(QUERIES) <= set(entry.queries())
-    assert set(QUERIES) - set(SQL) == {"station_subset_scores", "best_station_subsets", "gbt_forecast"}
+    assert set(QUERIES) - set(SQL) == {"gbt_forecast"}
 
 
 def test_entry(spark):
