@@ -2,10 +2,13 @@
 
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 from functools import cache
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -207,6 +210,30 @@ def test_lengths_are_the_tree_s(spark, monkeypatch):
             assert got[i][4:] == pytest.approx(want[i][4:], abs=1e-6)
 
 
+def test_tasks_hold_little():
+    """Counts go on in short batches, add up, and neither counting nor weighting takes hundreds of MB beside the executor."""
+
+    def peak(work):
+        tracemalloc.start()
+        try:
+            return work(), tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+
+    rng = np.random.default_rng(1)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789 ", np.uint8)
+    texts = [rng.choice(letters, 140_000).tobytes().decode() for _ in range(48)]
+    batches = [pa.record_batch([pa.array(texts[i : i + 8]), pa.array([k % 4 == 0 for k in range(8)])], names=["text", "held_out"]) for i in range(0, 48, 8)]
+    own = [context_trees.words_of(t) for t in texts]
+    lengths = [[len(w) for w in own], [sum(len(w) + 1 for w in words) for words in own]]
+    for count, n, most in ((context_trees._count, lengths[0], 100), (context_trees._pairs, lengths[1], 250)):
+        sums, mb = peak(lambda count=count: [(len(b), sum(b.column("c").to_pylist()), sum(b.column("seen").to_pylist())) for b in count(iter(batches))])
+        assert max(x[0] for x in sums) < 1 << 16 and mb < most
+        assert sum(x[1] for x in sums) == sum(k for i, k in enumerate(n) if i % 4) and sum(x[2] for x in sums) == sum(n)
+    frame = pd.DataFrame({"key": rng.integers(0, 1 << 48, context_trees.WEIGHTED), "c": 1, "seen": 1})
+    assert peak(lambda: context_trees._subtree(frame))[1] < 120
+
+
 def test_order_of_words_matters(spark):
     """What was learned from comes cheaper than the same words in another order."""
     line = "many small words stand in a row here"

@@ -30,9 +30,11 @@ DEPTH = 5
 #: Words and (context, byte) pairs that tasks hold at most; the rarer ones are joined.
 HELD_WORDS, HELD_PAIRS = 1 << 18, 1 << 21
 #: Different words, or pairs, that a task counts before it passes them on.
-COUNTED_WORDS, COUNTED_PAIRS = 300_000, 1_200_000
+COUNTED_WORDS, COUNTED_PAIRS = 300_000, 800_000
 #: Bytes of text that are looked at together; pairs that are weighted together, more where contexts share three bytes.
-STRETCH, WEIGHTED = 1 << 20, 100_000
+STRETCH, WEIGHTED = 1 << 18, 20_000
+#: Rows of counts that a task passes on at once: a batch is held whole on both sides.
+PASSED_ON = 1 << 14
 _END = b"\n"
 
 
@@ -41,22 +43,28 @@ def words_of(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), b""]
 
 
+def _passed_on(names: list[str], columns: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    whole = pa.record_batch(columns, names=names)
+    for low in range(0, len(whole), PASSED_ON):
+        yield whole.slice(low, PASSED_ON)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     learned, other = Counter(), Counter()
 
-    def flush() -> pa.RecordBatch:
+    def flush() -> Iterator[pa.RecordBatch]:
         words = [*learned, *other]
         c = np.concatenate([np.fromiter(learned.values(), np.int64, len(learned)), np.zeros(len(other), np.int64)])
         seen = np.concatenate([c[: len(learned)], np.fromiter(other.values(), np.int64, len(other))])
         learned.clear(), other.clear()
-        return pa.record_batch([pa.array(words, pa.binary()), pa.array(c), pa.array(seen)], names=["word", "c", "seen"])
+        return _passed_on(["word", "c", "seen"], [pa.array(words, pa.binary()), pa.array(c), pa.array(seen)])
 
     for batch in batches:
         for text, held in zip(batch.column("text").to_pylist(), batch.column("held_out").to_pylist()):
             (other if held else learned).update(words_of(text))
             if len(learned) + len(other) > COUNTED_WORDS:
-                yield flush()
-    yield flush()
+                yield from flush()
+    yield from flush()
 
 
 def coded(texts: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -81,12 +89,15 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        key, inverse = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-        sums = (np.bincount(inverse, np.concatenate([h[k] for h in held]).astype(np.float64), len(key)).astype(np.int64) for k in (1, 2))
-        return (key, *sums)
+        key = np.concatenate([h[0] for h in held])
+        order = np.argsort(key, kind="stable")  # of sorted runs
+        key = key[order]
+        first = np.flatnonzero(np.diff(key, prepend=key[:1] - 1))
+        sums = (np.add.reduceat(np.concatenate([h[k] for h in held])[order], first) for k in (1, 2))
+        return (key[first], *sums)
 
-    def batch_of(x) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(a) for a in x], names=["key", "c", "seen"])
+    def passed_on() -> Iterator[pa.RecordBatch]:
+        return _passed_on(["key", "c", "seen"], [pa.array(x) for x in held.pop()])
 
     for batch in batches:
         out = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
@@ -98,10 +109,10 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if sum(len(h[0]) for h in held) > 2 * COUNTED_PAIRS:
                 held[:] = [merged()]
                 if len(held[0][0]) > COUNTED_PAIRS:
-                    yield batch_of(held[0])
-                    held.clear()
+                    yield from passed_on()
     if held:
-        yield batch_of(merged())
+        held[:] = [merged()]
+        yield from passed_on()
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -215,9 +226,14 @@ def _lengths(weight0, one0, weight1, one1):
     return run
 
 
+def _summed(counted: DataFrame, by: str) -> DataFrame:
+    """Tasks have counted already, so rows are dealt out as they are: no second table of a task's counts beside its own."""
+    return counted.repartition(by).groupBy(by).agg(F.sum("c").alias("c"), F.sum("seen").alias("seen"))
+
+
 def model(rows: DataFrame) -> DataFrame:
     """`key`, `seen`, `log_p` for each pair of context and byte in `rows` (`text`, `held_out`)."""
-    pairs = rows.select("text", "held_out").mapInArrow(_pairs, "key long, c long, seen long").groupBy("key").agg(F.sum("c").alias("c"), F.sum("seen").alias("seen"))
+    pairs = _summed(rows.select("text", "held_out").mapInArrow(_pairs, "key long, c long, seen long"), "key")
     pairs = common.written(pairs, "context-pairs")
     groups = pairs.count() // WEIGHTED + 1
     together = F.pmod(F.xxhash64(F.expr("(key >> 8) & 16777215")), F.lit(groups))
@@ -288,7 +304,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     rows = common.keyed(docs, id_col, text_col)
     rows = rows.select("_f", "_r", rows[id_col].alias("doc_id"), held_out.alias("held_out"), rows[text_col].alias("text"))
     counted = rows.select("text", "held_out").mapInArrow(_count, "word binary, c long, seen long")
-    words = common.written(counted.groupBy("word").agg(F.sum("c").alias("c"), F.sum("seen").alias("seen")), "word-counts")
+    words = common.written(_summed(counted, "word"), "word-counts")
     n_learned, n_different = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     pairs = model(rows)
     sc = docs.sparkSession.sparkContext
